@@ -1 +1,9 @@
 """strata: layered data-pipeline operators as plain Spark DataFrame functions."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few Python functions that run inside tasks travel with the job, so executors
+# need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

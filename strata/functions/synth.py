@@ -1,0 +1,57 @@
+"""Synthetic columns that depend only on a row id and a seed, so reruns give the same rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def unit(key: Column, seed: int) -> Column:
+    """Uniform in [0, 1)."""
+    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+
+
+def uniform(key: Column, seed: int, low: float, high: float) -> Column:
+    return F.lit(low) + unit(key, seed) * (high - low)
+
+
+def normal(key: Column, seed: int, mean: float, deviation: float) -> Column:
+    """Normally distributed, by the Box-Muller transform of two uniform values."""
+    radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - unit(key, seed)))
+    return F.lit(mean) + F.lit(deviation) * radius * F.cos(F.lit(6.283185307179586) * unit(key, seed + 1))
+
+
+def choice(key: Column, seed: int, weighted: list[tuple[object, float]]) -> Column:
+    """A value drawn with the given weights; None is a possible value."""
+    total = sum(w for _, w in weighted)
+    draw, passed, picked = unit(key, seed), 0.0, None
+    for value, weight in weighted[:-1]:
+        passed += weight / total
+        picked = (picked.when(draw < passed, F.lit(value)) if picked is not None
+                  else F.when(draw < passed, F.lit(value)))
+    last = F.lit(weighted[-1][0])
+    return picked.otherwise(last) if picked is not None else last
+
+
+def identifier(key: Column, seed: int) -> Column:
+    """UUID-shaped text."""
+    digest = F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed))))
+    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
+    return F.concat_ws("-", *[F.substring(digest, start, n) for start, n in cuts])
+
+
+def word(key: Column, seed: int, length: int = 8) -> Column:
+    """A run of lower-case letters."""
+    return F.translate(F.substring(F.md5(F.concat_ws("/", key.cast("string"), F.lit(str(seed)))), 1, length),
+                       "0123456789", "ghijklmnop")
+
+
+def maybe_null(value: Column, key: Column, seed: int, share: float) -> Column:
+    """`value`, replaced by null in the given share of rows."""
+    return F.when(unit(key, seed) >= share, value)
+
+
+def time_between(key: Column, seed: int, first: str, last: str) -> Column:
+    """A time between two timestamps, to the second."""
+    low, high = F.unix_seconds(F.lit(first).cast("timestamp")), F.unix_seconds(F.lit(last).cast("timestamp"))
+    return F.timestamp_seconds(low + F.floor(unit(key, seed) * (high - low)))
