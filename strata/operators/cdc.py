@@ -10,7 +10,7 @@ from strata.operators import neighbors
 START, END = "__START_AT", "__END_AT"
 
 
-def _flagged(changes: DataFrame, deletes: str | Column | None) -> DataFrame:
+def flag_deletes(changes: DataFrame, deletes: str | Column | None) -> DataFrame:
     """Add ``_deleted``; a predicate that is null (full-load rows without an op) is no delete."""
     if deletes is None:
         return changes.withColumn("_deleted", F.lit(False))
@@ -18,18 +18,16 @@ def _flagged(changes: DataFrame, deletes: str | Column | None) -> DataFrame:
     return changes.withColumn("_deleted", F.coalesce(predicate, F.lit(False)))
 
 
-def latest_changes(changes: DataFrame, keys: list[str], sequence_by: str,
-                   deletes: str | Column | None = None) -> DataFrame:
-    """One row per key, the newest change, deletes included as ``_deleted`` rows.
+def newest(flagged: DataFrame, keys: list[str], sequence_by: str) -> DataFrame:
+    """The newest change of every key, deletes included.
 
     A single ``max`` over (sequence, deleted, rest of the row), so it combines on the
     map side and a key with very many changes costs no more than any other. Equal
     sequences resolve to the delete, then to the greatest row.
     """
-    flagged = _flagged(changes, deletes)
     rest = [c for c in flagged.columns if c not in {*keys, sequence_by, "_deleted"}]
-    newest = F.max(F.struct(sequence_by, "_deleted", *rest)).alias("_newest")
-    return flagged.groupBy(*keys).agg(newest).select(*keys, "_newest.*").select(*flagged.columns)
+    change = F.max(F.struct(sequence_by, "_deleted", *rest)).alias("_newest")
+    return flagged.groupBy(*keys).agg(change).select(*keys, "_newest.*").select(*flagged.columns)
 
 
 def drop_deleted(latest: DataFrame, except_columns: list[str] = ()) -> DataFrame:
@@ -44,7 +42,7 @@ def apply_changes(changes: DataFrame, keys: list[str], sequence_by: str,
     The result depends only on the set of changes, not on their order of arrival.
     """
     if scd_type == 1:
-        return drop_deleted(latest_changes(changes, keys, sequence_by, deletes), except_columns)
+        return drop_deleted(newest(flag_deletes(changes, deletes), keys, sequence_by), except_columns)
     if scd_type != 2:
         raise ValueError(f"scd_type must be 1 or 2, not {scd_type}")
     return _history(changes, keys, sequence_by, deletes, list(except_columns), heavy_rows)
@@ -53,7 +51,7 @@ def apply_changes(changes: DataFrame, keys: list[str], sequence_by: str,
 def _history(changes: DataFrame, keys: list[str], sequence_by: str, deletes, except_columns: list[str],
              heavy_rows: int) -> DataFrame:
     values = [c for c in changes.columns if c not in {*keys, sequence_by, *except_columns}]
-    feed = (_flagged(changes, deletes)
+    feed = (flag_deletes(changes, deletes)
             .withColumn(START, F.col(sequence_by))
             .select(*keys, START, "_deleted", *values))
     slices = neighbors.plan_slices(feed, keys, START, heavy_rows)

@@ -1,79 +1,98 @@
-"""Global row numbers and oldest-N selection without a single-task sort.
-
-Rows are put into a bounded number of ordered buckets. Counting rows per bucket gives
-the number of rows before each bucket; only rows inside one bucket need a local sort.
-"""
+"""Global row numbers and oldest-N selection without a single-task sort."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.operators.neighbors import _number
-
-# First cut of the order column, then further cuts of every bucket that holds more than
-# one BIG-th of all rows: at most BIG such buckets exist, which bounds every table that
-# is broadcast below (COARSE + 2 + 2 * BIG * (FINE + 2) rows at the very most).
-COARSE, FINE, BIG = 1024, 64, 4096
-
-
-def _with_bucket(df: DataFrame, order: list[str]) -> DataFrame:
-    """Add ``_bucket``, which never decreases along `order`."""
-    first = _number(df, order[0])
-    second = _number(df, order[1]) if len(order) > 1 else F.lit(0.0)
-    bounds = df.agg(F.min(first).alias("low"), F.max(first).alias("high"))
-    cut = F.width_bucket(first, bounds.select("low").scalar(), bounds.select("high").scalar(), F.lit(COARSE))
-    bucketed = df.withColumn("_bucket", F.coalesce(cut, F.lit(0)).cast("bigint"))
-    for _ in range(2):
-        bucketed = _refine(bucketed, first, second)
-    return bucketed
-
+from strata import workspace
 
-def _refine(bucketed: DataFrame, first: Column, second: Column) -> DataFrame:
-    """Cut big buckets again: by the first order column, or by the second where the first is constant."""
-    sizes = bucketed.groupBy("_bucket").agg(
-        F.count(F.lit(1)).alias("_n"), F.min(first).alias("_f0"), F.max(first).alias("_f1"),
-        F.min(second).alias("_s0"), F.max(second).alias("_s1"))
-    total = sizes.agg(F.sum("_n").alias("n")).scalar()
-    big = F.broadcast(sizes.where(F.col("_n") * BIG > total).drop("_n"))
-    finer = F.when(F.col("_f0") < F.col("_f1"), F.width_bucket(first, F.col("_f0"), F.col("_f1"), F.lit(FINE))) \
-             .otherwise(F.width_bucket(second, F.col("_s0"), F.col("_s1"), F.lit(FINE)))
-    return (bucketed.join(big, "_bucket", "left")
-            .withColumn("_bucket", F.col("_bucket") * (FINE + 2) + F.coalesce(finer, F.lit(0)))
-            .drop("_f0", "_f1", "_s0", "_s1"))
-
-
-def _bucket_table(bucketed: DataFrame) -> DataFrame:
-    """Rows before and inside each bucket."""
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return (bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_inside"))
-            .withColumn("_before", F.coalesce(F.sum("_inside").over(before), F.lit(0))))
+BUCKETS = 1024
+# A boundary bucket of up to this many rows is sorted; a larger one is cut again.
+SORTED_ROWS = 1_000_000
 
 
 def row_numbers(df: DataFrame, order: list[str], name: str = "row_num") -> DataFrame:
-    """Add 1-based positions of the rows sorted by the number or time columns `order`."""
-    bucketed = _with_bucket(df, order)
-    within = Window.partitionBy("_bucket").orderBy(*order)
-    return (bucketed.join(F.broadcast(_bucket_table(bucketed).drop("_inside")), "_bucket")
-            .withColumn(name, F.col("_before") + F.row_number().over(within))
-            .drop("_bucket", "_before"))
-
+    """Add 1-based positions of the rows sorted by `order`.
 
-def first_n(df: DataFrame, order: list[str], n: Column) -> DataFrame:
-    """The `n` smallest rows by `order`, where `n` may grow with the table.
-
-    Buckets that fit completely are kept without any shuffle; only the one bucket
-    holding the cut is sorted.
+    Rows are range-partitioned and sorted, which spreads even a single dominant value as
+    long as `order` as a whole varies. The sorted rows are stored once, because sampled
+    range bounds must not be drawn again; per-partition counts then give the offsets.
+    """
+    placed = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+              .withColumn("_id", F.monotonically_increasing_id()))
+    stored = workspace.materialize(placed, "row-numbers")
+    # Documented layout of the id: partition number above bit 33, position below.
+    numbered = stored.withColumn("_part", F.shiftright("_id", 33)) \
+                     .withColumn("_place", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    # One row per partition of the sort.
+    return (numbered.join(F.broadcast(offsets), "_part")
+            .withColumn(name, F.col("_before") + F.col("_place") + 1)
+            .drop("_id", "_part", "_place", "_before"))
+
+
+def _to_number(df: DataFrame, name: str) -> Column:
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name)
+    return F.col(name)
+
+
+def _from_number(df: DataFrame, name: str, value) -> Column:
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(value))
+    if isinstance(kind, T.DateType):
+        return F.date_from_unix_date(F.lit(value))
+    return F.lit(value)
+
+
+def first_n(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The `n` smallest rows by the number or time columns `order`, where `n` may grow with the table.
+
+    Histograms of at most BUCKETS rows narrow down where the cut falls. All rows below the
+    cut bucket are then a plain filter with literal bounds, which reaches the scan, and
+    only the cut bucket is sorted. `order` should end with a unique column.
     """
-    bucketed = _with_bucket(df, order)
-    cells = F.broadcast(_bucket_table(bucketed))
-    placed = bucketed.join(cells, "_bucket").withColumn("_n", n)
-    whole = placed.where("_before + _inside <= _n")
-    within = Window.partitionBy("_bucket").orderBy(*order)
-    cut = (placed.where("_before < _n AND _before + _inside > _n")
-           .withColumn("_place", F.col("_before") + F.row_number().over(within))
-           .where("_place <= _n"))
-    return whole.unionByName(cut.drop("_place")).drop("_bucket", "_inside", "_before", "_n")
+    below: list[Column] = []
+    inside = F.lit(True)
+    remaining, columns = n, list(order)
+    while remaining > 0:
+        scope = df.where(inside)
+        position = _to_number(df, columns[0])
+        low, high, rows = scope.agg(F.min(position), F.max(position), F.count(F.lit(1))).first()
+        if rows <= remaining:
+            below.append(inside)
+            remaining = 0
+        elif low == high and len(columns) > 1:
+            columns = columns[1:]
+        elif rows <= SORTED_ROWS or low == high:
+            break
+        else:
+            bucket = F.width_bucket(position.cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(BUCKETS))
+            histogram = (scope.groupBy(bucket.alias("b"))
+                         .agg(F.count(F.lit(1)).alias("n"), F.min(position).alias("low"), F.max(position).alias("high"))
+                         .orderBy("b").collect())
+            passed = 0
+            for cell in histogram:
+                if passed + cell["n"] > remaining:
+                    break
+                passed += cell["n"]
+            column = F.col(columns[0])
+            start = _from_number(df, columns[0], cell["low"])
+            below.append(inside & (column < start))
+            inside = inside & (column >= start) & (column <= _from_number(df, columns[0], cell["high"]))
+            remaining -= passed
+    whole = df.where(reduce(lambda a, b: a | b, below, F.lit(False)))
+    return whole.unionByName(df.where(inside).orderBy(*order).limit(remaining)) if remaining else whole
 
 
 def zip_rows(left: DataFrame, left_order: list[str], right: DataFrame, right_order: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata import workspace
 from strata.operators.cdc import END, START
 from strata.operators.ranking import first_n
 
@@ -30,6 +31,12 @@ def change_set(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFram
             .select(*keys, *[F.coalesce(f"new.{c}", f"old.{c}").alias(c) for c in values], "_change"))
 
 
+def apply_change_set(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """`target` after inserting, updating and deleting by key."""
+    untouched = target.join(changes.select(*keys), keys, "left_anti")
+    return untouched.unionByName(changes.where("_change <> 'delete'").drop("_change"))
+
+
 def history(snapshots: list[tuple[DataFrame, object]], keys: list[str],
             track: list[str] | None = None) -> DataFrame:
     """Type 2 history of an ordered series of (snapshot, version) pairs.
@@ -85,6 +92,23 @@ def advance_history(open_rows: DataFrame, snapshot: DataFrame, version, keys: li
             .select(*keys, "r.*"))
 
 
+def fold_history(first: tuple[DataFrame, object], later: list[tuple[DataFrame, object]], keys: list[str],
+                 track: list[str] | None = None) -> DataFrame:
+    """Full history of a series, by advancing snapshot after snapshot.
+
+    Every step is stored, so plans do not grow with the number of snapshots.
+    """
+    start, version = first
+    at = F.lit(version)
+    opened = start.withColumn(START, at).withColumn(END, F.when(F.lit(False), at))
+    closed = []
+    for snapshot, version in later:
+        step = workspace.materialize(advance_history(opened, snapshot, version, keys, track), "history-step")
+        closed.append(step.where(F.col(END).isNotNull()))
+        opened = step.where(F.col(END).isNull())
+    return reduce(DataFrame.unionByName, closed, opened)
+
+
 def evolve(current: DataFrame, new_rows: DataFrame, key: str, status: str, date: str, now: Column,
            update_share: float = 0.3, delete_share: float = 0.1) -> DataFrame:
     """The next snapshot of an order table.
@@ -93,18 +117,14 @@ def evolve(current: DataFrame, new_rows: DataFrame, key: str, status: str, date:
     by their key; of the oldest returned rows (up to `delete_share`), those with an odd
     key are removed; `new_rows` are added.
     """
-    total = current.select(F.count(F.lit(1)).alias("n"))
-
-    def share(part: float) -> Column:
-        return total.select(F.floor(F.col("n") * F.lit(part))).scalar()
-
+    total = current.count()
     # Successor status by key modulo 3.
     successor = (F.when(F.col(key) % 3 == 0, "shipping")
                   .when(F.col(key) % 3 == 1, "delivered")
                   .otherwise("cancelled"))
-    updated = (first_n(current.where(F.col(status) == "pending"), [date, key], share(update_share))
+    updated = (first_n(current.where(F.col(status) == "pending"), [date, key], int(total * update_share))
                .withColumn(status, successor).withColumn(date, now))
-    removed = (first_n(current.where(F.col(status) == "returned"), [date, key], share(delete_share))
+    removed = (first_n(current.where(F.col(status) == "returned"), [date, key], int(total * delete_share))
                .where(F.col(key) % 2 != 0))
     touched = updated.select(key).unionByName(removed.select(key))
     return (current.join(touched, key, "left_anti")

@@ -27,14 +27,16 @@ class ChangeTable:
         self.schema = schema
         self.stored = T.StructType(schema.fields + [T.StructField("_deleted", T.BooleanType())])
 
-    def _reduce(self, changes: DataFrame, deletes) -> DataFrame:
+    def _merged(self, flagged: DataFrame) -> DataFrame:
+        """What has to be kept of changes already marked ``_deleted``: the newest, or all distinct ones."""
         if self.scd_type == 1:
-            return cdc.latest_changes(changes, self.keys, self.sequence_by, deletes)
-        return cdc._flagged(changes, deletes).dropDuplicates()
+            return cdc.newest(flagged, self.keys, self.sequence_by)
+        return flagged.dropDuplicates()
 
     def fold(self, batch: DataFrame, batch_id: int) -> None:
         """Store one micro-batch."""
-        self._reduce(batch, self.deletes).write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch_id}")
+        flagged = cdc.flag_deletes(batch, self.deletes)
+        self._merged(flagged).write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch_id}")
 
     def _base(self) -> int:
         """Last batch id covered by the newest finished base, -1 without one."""
@@ -59,9 +61,7 @@ class ChangeTable:
         """The table as of the batches stored so far."""
         changes = self._changes()
         if self.scd_type == 1:
-            newest = cdc.latest_changes(changes.drop("_deleted").withColumn("_was", changes["_deleted"]),
-                                        self.keys, self.sequence_by, "_was")
-            return cdc.drop_deleted(newest.drop("_was"), self.except_columns)
+            return cdc.drop_deleted(self._merged(changes), self.except_columns)
         return cdc.apply_changes(changes, self.keys, self.sequence_by, "_deleted",
                                  [*self.except_columns, "_deleted"], 2)
 
@@ -71,9 +71,7 @@ class ChangeTable:
         if not ids or max(ids) <= self._base():
             return
         last = max(ids)
-        rows = self._changes(last).withColumnRenamed("_deleted", "_was")
-        merged = self._reduce(rows, "_was").drop("_was")
-        merged.write.mode("overwrite").parquet(f"{self.path}/base/through={last}")
+        self._merged(self._changes(last)).write.mode("overwrite").parquet(f"{self.path}/base/through={last}")
 
     def run(self, changes: DataFrame, checkpoint: str, every: str | None = None):
         """Start folding a stream of changes into this table."""

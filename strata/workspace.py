@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -63,3 +63,10 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
 def committed(spark: SparkSession, path: str) -> bool:
     """Whether a Spark write into `path` finished."""
     return exists(spark, f"{path}/_SUCCESS")
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Store `df` in the shared folder and read it back: its lineage ends here and survives lost executors."""
+    path = new_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
