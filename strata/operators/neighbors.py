@@ -1,8 +1,7 @@
 """Row-to-row lookups inside a key, safe when one key holds a huge share of rows.
 
 A plain ``lead``/``lag`` window sends all rows of a key to one task. Here the keys
-with more than `threshold` rows are found first (a count with map-side combine).
-Their rows are cut into consecutive slices along the sequence, the window runs per
+with more than `threshold` rows are found first (a count over a sample). Their rows are cut into consecutive slices along the sequence, the window runs per
 (key, slice), and one edge row per slice carries the value across the cut. Results
 do not depend on the slicing. Without heavy keys the plan is the plain window.
 """
@@ -16,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HEAVY_ROWS = 2_000_000
+# Heavy keys are found in a sample that holds about this many rows of a key at the threshold.
+SAMPLED_ROWS = 10_000
 # Heavy keys are listed on the driver only up to this many; beyond it they stay a
 # distributed table and are joined like any other.
 LISTED_KEYS = 50_000
@@ -55,14 +56,20 @@ class Slices:
 
 
 def plan_slices(df: DataFrame, keys: list[str], along: str, threshold: int = HEAVY_ROWS) -> Slices:
-    """Find heavy keys of `df`. Sequences that are neither numbers nor times are not sliced."""
+    """Find heavy keys of `df`. Sequences that are neither numbers nor times are not sliced.
+
+    The sample only decides how work is cut, never what the result is.
+    """
     if not isinstance(df.schema[along].dataType, _SLICEABLE):
         return Slices(keys, along, None)
     position = _number(df, along)
-    stats = (df.groupBy(*keys)
+    fraction = min(1.0, SAMPLED_ROWS / threshold)
+    sample = df.select(*keys, along)
+    sample = sample.sample(fraction, seed=17) if fraction < 1 else sample
+    stats = (sample.groupBy(*keys)
                .agg(F.count(F.lit(1)).alias("_n"), F.min(position).alias("_low"), F.max(position).alias("_high"))
-               .where(F.col("_n") > threshold)
-               .withColumn("_cuts", F.ceil(F.col("_n") * SLICES_PER_THRESHOLD / F.lit(threshold)).cast("bigint"))
+               .where(F.col("_n") > threshold * fraction)
+               .withColumn("_cuts", F.ceil(F.col("_n") * SLICES_PER_THRESHOLD / F.lit(threshold * fraction)).cast("bigint"))
                .drop("_n"))
     listed = stats.limit(LISTED_KEYS + 1).collect()
     if not listed:

@@ -32,8 +32,10 @@ def expect(df: DataFrame, rules: list[Rule]) -> DataFrame:
     for rule in (r for r in rules if r.action == "fail"):
         message = F.lit(f"expectation '{rule.name}' failed: {rule.predicate}")
         kept = kept.where(F.when(rule.holds(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
-    drops = [r for r in rules if r.action == "drop"]
-    return kept.where(_all(drops)) if drops else kept
+    # A filter drops rows whose predicate is null by itself; the bare predicates reach the scan.
+    for rule in (r for r in rules if r.action == "drop"):
+        kept = kept.where(rule.predicate)
+    return kept
 
 
 def observed(df: DataFrame, rules: list[Rule], name: str) -> DataFrame:

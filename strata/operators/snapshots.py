@@ -28,7 +28,8 @@ def change_set(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFram
     return (old.join(new, keys, "full")
             .withColumn("_change", change)
             .where("_change IS NOT NULL")
-            .select(*keys, *[F.coalesce(f"new.{c}", f"old.{c}").alias(c) for c in values], "_change"))
+            .withColumn("row", F.coalesce("new", "old"))
+            .select(*keys, "row.*", "_change"))
 
 
 def apply_change_set(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:

@@ -117,21 +117,31 @@ _MEASURES = ["num_parts", "num_parts_returned", "gross_sales", "sales_returned",
 def daily_sales_snapshot(facts: DataFrame, dates: DataFrame) -> DataFrame:
     """Sales per customer, part and receipt day; days without sales appear with unknown keys and zeros.
 
-    Facts are summed before the calendar join, so the join carries one row per group.
+    An outer join on the day would bring all sales of a day to one task. Instead the
+    calendar's days enter the aggregation as empty rows, and a second grouping level tells
+    which days sold nothing, so the sales are shuffled once, by the full grouping key.
     """
-    returned = F.col("is_returned")
-    daily = (facts.groupBy("receipt_date_key", "customer_key", "part_key")
-             .agg(F.sum("num_parts").alias("num_parts"),
-                  F.sum(F.col("num_parts") * returned).alias("num_parts_returned"),
-                  F.sum("gross_sales").alias("gross_sales"),
-                  F.sum(F.col("gross_sales") * returned).alias("sales_returned"),
-                  F.sum("net_sales").alias("net_sales")))
-    keyed = daily.join(dates.select(F.col("key").alias("receipt_date_key")), "receipt_date_key", "right")
-    return keyed.select(
-        *[F.coalesce(k, F.lit(UNKNOWN)).alias(k) for k in ("customer_key", "part_key")],
-        *[F.coalesce(m, F.lit(0)).cast(f"decimal({38 if m.endswith('returned') else 28},2)").alias(m)
-          for m in _MEASURES],
-        "receipt_date_key")
+    day, who = "receipt_date_key", ["customer_key", "part_key"]
+
+    # A conditional keeps the 18-digit type that sums fast; a product would widen it.
+    def if_returned(measure: str) -> Column:
+        return F.when(F.col("is_returned") == 1, F.col(measure)).otherwise(F.lit(0)).cast("decimal(18,2)")
+
+    sold = facts.select(
+        day, *[F.coalesce(k, F.lit(UNKNOWN)).alias(k) for k in who],
+        "num_parts", if_returned("num_parts").alias("num_parts_returned"),
+        "gross_sales", if_returned("gross_sales").alias("sales_returned"), "net_sales", F.lit(1).alias("_sold"))
+    empty = dates.select(F.col("key").alias(day), *[F.lit(UNKNOWN).alias(k) for k in who],
+                         *[F.lit(0).cast("decimal(18,2)").alias(m) for m in _MEASURES], F.lit(0).alias("_sold"))
+    groups = (sold.unionByName(empty).groupingSets([[day, *who], [day]], day, *who)
+              .agg(*[F.sum(m).alias(m) for m in _MEASURES], F.sum("_sold").alias("_sold"),
+                   F.grouping("part_key").alias("_whole_day")))
+    kept = groups.where("(_whole_day = 0 AND _sold > 0) OR (_whole_day = 1 AND _sold = 0)")
+    # The calendar is bounded by its date range, whatever the size of the facts.
+    return (kept.join(F.broadcast(dates.select(F.col("key").alias(day))), day)
+            .select(*[F.coalesce(k, F.lit(UNKNOWN)).alias(k) for k in who],
+                    *[F.coalesce(m, F.lit(0)).cast(f"decimal({38 if m.endswith('returned') else 28},2)").alias(m)
+                      for m in _MEASURES], day))
 
 
 def monthly_sales_snapshot(daily: DataFrame) -> DataFrame:

@@ -45,17 +45,6 @@ def time_weighted_average(df: DataFrame, keys: list[str], ts: str, value: str, i
             .withColumnRenamed("_end", "timestamp"))
 
 
-def tumbling(df: DataFrame, ts: str, width: str, aggregates: list[Column], keys: list[str] = ()) -> DataFrame:
-    """Aggregates per key and fixed window, with the window's start and end; batch or stream."""
-    return (df.groupBy(*keys, F.window(ts, width).alias("window")).agg(*aggregates)
-            .select(*keys, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                    *[c for c in _names(df, aggregates)]))
-
-
-def _names(df: DataFrame, aggregates: list[Column]) -> list[str]:
-    return df.limit(0).agg(*aggregates).columns if not df.isStreaming else [a._jc.named().name() for a in aggregates]
-
-
 def resample_max(df: DataFrame, key: str, ts: str, value: str, step_seconds: int) -> DataFrame:
     """Maximum per key and time bin, with empty bins between a key's first and last set to 0.
 
@@ -63,10 +52,10 @@ def resample_max(df: DataFrame, key: str, ts: str, value: str, step_seconds: int
     and tasks instead of one long array.
     """
     step = F.lit(step_seconds)
-    bins = (df.select(key, (F.floor(F.unix_seconds(ts) / step) * step).alias("bin"), F.col(value).alias("_v"))
-            .groupBy(key, "bin").agg(F.max("_v").alias("_max")))
+    binned = df.select(key, (F.floor(F.unix_seconds(ts) / step) * step).alias("bin"), F.col(value).alias("_v"))
+    bins = binned.groupBy(key, "bin").agg(F.max("_v").alias("_max"))
     day = F.lit(86_400)
-    spans = bins.groupBy(key).agg(F.min("bin").alias("_low"), F.max("bin").alias("_high"))
+    spans = binned.groupBy(key).agg(F.min("bin").alias("_low"), F.max("bin").alias("_high"))
     days = spans.select(key, "_low", "_high", F.explode(F.sequence(
         F.floor(F.col("_low") / day), F.floor(F.col("_high") / day))).alias("_day"))
     in_day = F.sequence(F.lit(0).cast("bigint"), F.lit(86_400 // step_seconds - 1).cast("bigint"))

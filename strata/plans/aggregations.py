@@ -119,7 +119,7 @@ def max_per_device(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT user_id AS device, MAX(value) AS max_magn FROM events GROUP BY 1")
 def stream_max_per_device(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table_stream(spark, sf_dir, "events")
-    return runner.completed(rows.groupBy(F.col("user_id").alias("device")).agg(F.max("value").alias("max_magn")), "max")
+    return runner.upserted(rows.groupBy(F.col("user_id").alias("device")).agg(F.max("value").alias("max_magn")), ["device"], "max")
 
 
 @query("SELECT COUNT(*) AS n FROM lineitem")

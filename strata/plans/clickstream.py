@@ -16,7 +16,7 @@ RULES = [
 
 _SQL = """clicks AS (SELECT CAST(user_id AS INTEGER) AS current_page_id,
                  'page_' || json_extract_string(props, '$.k') AS current_page_title,
-                 CAST(ceil(value) AS INTEGER) AS click_count, CAST(event_id AS INTEGER) AS previous_page_id,
+                 CAST(floor(value) AS INTEGER) + 1 AS click_count, CAST(event_id AS INTEGER) AS previous_page_id,
                  event_type || '_' || user_id AS previous_page_title FROM events)"""
 
 
@@ -25,7 +25,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("curr_id"),
         F.concat(F.lit("page_"), F.get_json_object("props", "$.k")).alias("curr_title"),
-        F.ceil("value").cast("string").alias("n"), F.col("event_id").cast("string").alias("prev_id"),
+        (F.floor("value") + 1).cast("string").alias("n"), F.col("event_id").cast("string").alias("prev_id"),
         F.concat_ws("_", "event_type", "user_id").alias("prev_title"))
 
 

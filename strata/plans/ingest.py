@@ -31,7 +31,7 @@ def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def scan_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _land(table(spark, sf_dir, "customer"), "json", "json")
-    return files.read(spark, path, "json", files.sample_schema(spark, path, "json", samplingRatio=0.1))
+    return files.read(spark, path, "json", files.sample_schema(spark, path, "json"))
 
 
 @query("SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -41,15 +41,22 @@ def scan_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read(spark, path, "csv", schema, header=True)
 
 
-@query("""SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey
-          FROM nation""")
+@query("SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def scan_multiline_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pretty = table(spark, sf_dir, "nation").select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value"))
-    path = _land(pretty, "documents", "text", maxRecordsPerFile=1)
+    pretty = table(spark, sf_dir, "customer").select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value"))
+    path = _land(pretty.mapInPandas(_documents, "value STRING"), "documents", "text", maxRecordsPerFile=1)
     schema = files.sample_schema(spark, path, "json", multiLine=True)
     return files.read(spark, path, "json", schema, multiLine=True)
 
 
+def _documents(batches):
+    """One JSON document, an array over many lines, per batch of records."""
+    import pandas as pd
+
+    for batch in batches:
+        yield pd.DataFrame({"value": ["[" + ",\n".join(batch["value"]) + "]"]})
+
+
 @query("SELECT event_id, 'events.parquet' AS source_file_name FROM events")
 def file_metadata_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.with_file_name(table(spark, sf_dir, "events").select("event_id", "_metadata")).drop("_metadata")
@@ -60,7 +67,7 @@ def schema_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "events").selectExpr(
         "event_id", "event_type AS action_name", f"named_struct('k', {K}) AS request_params")
     path = _land(raw, "audit", "json")
-    schema = files.sample_schema(spark, path, "json", hints="request_params STRING", samplingRatio=0.1)
+    schema = files.sample_schema(spark, path, "json", hints="request_params STRING")
     return files.read(spark, path, "json", schema)
 
 
@@ -177,14 +184,41 @@ def message_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runner.appended(_decoded(table_stream(spark, sf_dir, "events")), "decoded")
 
 
-@query("SELECT event_id, user_id, event_type, value, epoch_us(ts) AS ts_us FROM events")
+@query("SELECT event_id, user_id, event_type, value, epoch_us(ts) AS ts_us, strftime(ts, '%Y-%m-%d') AS date FROM events")
 def stream_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value",
                                                 F.unix_micros("ts").alias("ts_us"))
     path = _land(raw, "landing", "json")
-    schema = files.sample_schema(spark, path, "json", samplingRatio=0.1)
-    bronze = runner.appended(files.stream(spark, path, "json", schema), "bronze")
-    return bronze.select("event_id", "user_id", "event_type", "value", "ts_us")
+    schema = files.sample_schema(spark, path, "json")
+    dated = files.stream(spark, path, "json", schema).withColumn("date", F.to_date(F.timestamp_micros("ts_us")))
+    bronze = runner.appended(dated, "bronze", partition_by=["date"])
+    return bronze.withColumn("date", F.col("date").cast("string"))
+
+
+@query("""SELECT c_name AS name, c_nationkey AS nationkey, 'customers' AS flow FROM customer
+          UNION ALL SELECT s_name, s_nationkey, 'suppliers' FROM supplier""")
+def stream_append_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams into one bronze table, each with its own checkpoint."""
+    flows = {label: table_stream(spark, sf_dir, name).selectExpr(f"{prefix}_name AS name", f"{prefix}_nationkey AS nationkey")
+             for label, name, prefix in (("customers", "customer", "c"), ("suppliers", "supplier", "s"))}
+    base = workspace.new_dir(spark, "append-flow")
+    for started in runner.append_flows(flows, f"{base}/table", f"{base}/checkpoints"):
+        runner.finish(started)
+    return runner.read_flows(spark, f"{base}/table", flows["customers"].schema, list(flows), "flow")
+
+
+@query("""SELECT user_id, CAST(floor(value) AS INTEGER) AS bpm, event_type AS model FROM events
+          WHERE floor(value) > 0 AND event_type <> 'error'""")
+def tracker_cleansed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded tracker messages under several drop rules; errors play the undefined model."""
+    events = table(spark, sf_dir, "events").selectExpr(
+        "user_id", "CAST(floor(value) AS INT) AS heart_bpm", "CASE WHEN event_type = 'error' THEN 'undef' ELSE event_type END AS model",
+        "CAST(ts AS STRING) AS time", "ts")
+    sent = messages.encode(events, "user_id", ["user_id", "heart_bpm", "model", "time"], "ts")
+    decoded = messages.decode(sent, "user_id BIGINT, heart_bpm INT, model STRING, time TIMESTAMP")
+    rules = [quality.Rule("heart rate is set", "bpm IS NOT NULL", "drop"), quality.Rule("event time is set", "time IS NOT NULL", "drop"),
+             quality.Rule("human has pulse >0", "bpm > 0", "drop"), quality.Rule("tracker is valid", "model <> 'undef'", "drop")]
+    return quality.expect(decoded.withColumnRenamed("heart_bpm", "bpm"), rules).select("user_id", "bpm", "model")
 
 
 @query("""SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(NULL AS VARCHAR) AS Op,

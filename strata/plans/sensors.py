@@ -35,7 +35,7 @@ def tumbling_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
            FROM (SELECT *, time_bucket(INTERVAL 1 MINUTE, ts) AS w FROM events) GROUP BY event_type, w""")
 def tumbling_avg_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = windows.tumbling(table_stream(spark, sf_dir, "events"), "ts", "1 minute", _totals(), ["event_type"])
-    return _average(windows.flat(runner.completed(rows, "windows-by-key")))
+    return _average(windows.flat(runner.upserted(rows, ["event_type", "window"], "windows-by-key")))
 
 
 @query(f"""SELECT epoch_us(w) // 1000000 AS window_start, epoch_us(w) // 1000000 + 1 AS window_end, COUNT(*) AS n,

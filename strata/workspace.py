@@ -60,6 +60,17 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in listing if s.isDirectory())
 
 
+def some_files(spark: SparkSession, path: str, n: int) -> list[str]:
+    """Up to `n` data files below `path`, without listing the rest."""
+    listing = _file_system(spark, path).listFiles(_hadoop_path(spark, path), True)
+    found: list[str] = []
+    while len(found) < n and listing.hasNext():
+        file = listing.next()
+        if file.getLen() > 0 and file.getPath().getName()[0] not in "._":
+            found.append(file.getPath().toString())
+    return found
+
+
 def committed(spark: SparkSession, path: str) -> bool:
     """Whether a Spark write into `path` finished."""
     return exists(spark, f"{path}/_SUCCESS")
