@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,16 +58,17 @@ def _history(changes: DataFrame, keys: list[str], sequence_by: str, deletes, exc
             .select(*keys, START, "_deleted", *values))
     slices = neighbors.plan_slices(feed, keys, START, heavy_rows)
     order = [START, "_deleted", *values]
-    state = F.struct("_deleted", F.struct(*values).alias("values")) if values else F.struct("_deleted")
 
     # A change opens a version unless it repeats what the key already is; comparing with
     # the preceding change is enough, since repeated changes leave the state as it was.
-    with_before = neighbors.previous_value(feed, slices, order, state, "_before")
-    same_values = F.col("_before.values").eqNullSafe(F.struct(*values)) if values else F.lit(True)
-    opens = ~F.col("_deleted") & (F.col("_before").isNull() | F.col("_before._deleted") | ~same_values)
-    closes = F.col("_deleted") & F.col("_before").isNotNull() & ~F.col("_before._deleted")
-    turns = with_before.where(opens | closes).drop("_before")
-    ended = neighbors.next_value(turns, slices, order, F.col(START), END)
+    before = {f"_before_{c}": c for c in ["_deleted", *values]}
+    seen = neighbors.previous_values(feed, slices, order, before)
+    was_deleted = F.col("_before__deleted")
+    same_values = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_before_{c}")) for c in values], F.lit(True))
+    opens = ~F.col("_deleted") & (was_deleted.isNull() | was_deleted | ~same_values)
+    closes = F.col("_deleted") & was_deleted.isNotNull() & ~was_deleted
+    turns = seen.where(opens | closes).drop(*before)
+    ended = neighbors.next_values(turns, slices, order, {END: START})
     return (ended.where(~F.col("_deleted") & (F.col(END).isNull() | (F.col(START) < F.col(END))))
             .select(*keys, *values, START, END))
 
@@ -81,6 +84,7 @@ def as_of_join(facts: DataFrame, history: DataFrame, fact_key: str, key: str, at
 
     Facts and versions are merged into one time-ordered sequence per key, and the newest
     version is carried forward, so a busy key costs its rows and not facts x versions.
+    Both sides are read twice, once to find busy keys, so `history` should be a stored table.
     """
     version = F.struct(F.col(END).alias("end"), *[F.col(c) for c in columns])
     events = (history.select(F.col(key).alias("_key"), F.col(START).alias("_at"), F.lit(0).alias("_kind"),

@@ -20,6 +20,8 @@ SAMPLED_ROWS = 10_000
 # Heavy keys are listed on the driver only up to this many; beyond it they stay a
 # distributed table and are joined like any other.
 LISTED_KEYS = 50_000
+# Edge rows, one per slice, are broadcast up to this many; the number is known from the list.
+BROADCAST_EDGES = 100_000
 SLICES_PER_THRESHOLD = 4
 
 _SLICEABLE = (T.NumericType, T.TimestampType, T.DateType)
@@ -36,11 +38,15 @@ def _number(df: DataFrame, name: str) -> Column:
 
 @dataclass(frozen=True)
 class Slices:
-    """How the rows of heavy keys are cut along `along`; ``heavy`` is None when no key is."""
+    """How the rows of heavy keys are cut along `along`; ``heavy`` is None when no key is.
+
+    ``count`` bounds the number of slices, None when it is not known.
+    """
 
     keys: list[str]
     along: str
     heavy: DataFrame | None
+    count: int | None = None
 
     def mark(self, df: DataFrame) -> DataFrame:
         """Add ``_slice``: 0 for ordinary keys, the slice number for heavy ones."""
@@ -76,69 +82,77 @@ def plan_slices(df: DataFrame, keys: list[str], along: str, threshold: int = HEA
         return Slices(keys, along, None)
     if len(listed) > LISTED_KEYS:
         return Slices(keys, along, stats)
-    return Slices(keys, along, df.sparkSession.createDataFrame(listed, stats.schema))
+    heavy = F.broadcast(df.sparkSession.createDataFrame(listed, stats.schema))
+    # A slice lies between two cuts, before the first or after the last one.
+    return Slices(keys, along, heavy, sum(row["_cuts"] + 2 for row in listed))
 
 
 def _order_struct(order: list[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
-def _across(df: DataFrame, keys: list[str], edges: DataFrame) -> DataFrame:
-    """Attach one edge row per (key, slice); null keys match each other."""
+def _across(df: DataFrame, slices: Slices, edges: DataFrame) -> DataFrame:
+    """Attach one edge row per (key, slice); null keys match each other.
+
+    Broadcast edges leave the rows where they are, so a second lookup needs no new shuffle.
+    """
+    keys = slices.keys
+    if slices.count is not None and slices.count <= BROADCAST_EDGES:
+        edges = F.broadcast(edges)
     renamed = edges.select(*[F.col(c).alias(f"_e_{c}") for c in [*keys, "_slice"]], "_edge")
     on = [F.col(c).eqNullSafe(F.col(f"_e_{c}")) for c in [*keys, "_slice"]]
     return df.join(renamed, on, "left").drop(*[f"_e_{c}" for c in [*keys, "_slice"]])
 
 
-def _adjacent(df: DataFrame, slices: Slices, order: list[str], take: Column, name: str, ahead: bool) -> DataFrame:
+def _adjacent(df: DataFrame, slices: Slices, order: list[str], take: dict[str, str], ahead: bool) -> DataFrame:
     keys = slices.keys
     shift = F.lead if ahead else F.lag
-    if "_slice" not in df.columns:
-        df = slices.mark(df)
-    df = df.withColumn("_take", take)
     if slices.heavy is None:
+        # Plain columns: nothing but the row itself goes through the shuffle.
         local = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, shift("_take").over(local)).drop("_take")
+        return df.withColumns({name: shift(column).over(local) for name, column in take.items()})
+    if "_slice" not in df.columns:
+        df = slices.mark(df)
     local = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    # Values travel in a struct, so that "no neighbour" and "null value" differ.
+    row = F.struct(*[F.col(column).alias(name) for name, column in take.items()])
     pick = F.min_by if ahead else F.max_by
-    # An edge is wrapped in a struct so that "no neighbour" and "null value" differ.
     edges = (df.where("_slice > 0")
                .groupBy(*keys, "_slice")
-               .agg(pick(F.struct("_take"), _order_struct(order)).alias("_first"))
+               .agg(pick(row, _order_struct(order)).alias("_first"))
                .withColumn("_edge", shift("_first").over(Window.partitionBy(*keys).orderBy("_slice"))))
-    boxed = df.withColumn("_near", shift(F.struct("_take")).over(local))
-    return (_across(boxed, keys, edges)
-            .withColumn(name, F.coalesce(F.col("_near"), F.col("_edge"))["_take"])
-            .drop("_take", "_near", "_edge"))
+    found = _across(df.withColumn("_near", shift(row).over(local)), slices, edges) \
+        .withColumn("_found", F.coalesce("_near", "_edge"))
+    return found.withColumns({name: F.col(f"_found.{name}") for name in take}).drop("_near", "_edge", "_found")
 
 
-def next_value(df: DataFrame, slices: Slices, order: list[str], take: Column, name: str) -> DataFrame:
-    """Add `take` of the following row of the same key, null on the last one."""
-    return _adjacent(df, slices, order, take, name, ahead=True)
+def next_values(df: DataFrame, slices: Slices, order: list[str], take: dict[str, str]) -> DataFrame:
+    """Add columns of the following row of the same key, null on the last one; `take` maps new name to column."""
+    return _adjacent(df, slices, order, take, ahead=True)
 
 
-def previous_value(df: DataFrame, slices: Slices, order: list[str], take: Column, name: str) -> DataFrame:
-    """Add `take` of the preceding row of the same key, null on the first one."""
-    return _adjacent(df, slices, order, take, name, ahead=False)
+def previous_values(df: DataFrame, slices: Slices, order: list[str], take: dict[str, str]) -> DataFrame:
+    """Add columns of the preceding row of the same key, null on the first one; `take` maps new name to column."""
+    return _adjacent(df, slices, order, take, ahead=False)
 
 
 def carry_forward(df: DataFrame, slices: Slices, order: list[str], take: Column, name: str) -> DataFrame:
     """Add the newest non-null `take` at or before each row of the same key."""
     keys = slices.keys
-    if "_slice" not in df.columns:
+    cut = [] if slices.heavy is None else ["_slice"]
+    if cut and "_slice" not in df.columns:
         df = slices.mark(df)
-    df = df.withColumn("_take", take)
-    running = (Window.partitionBy(*keys, "_slice") if slices.heavy is not None else Window.partitionBy(*keys))
-    running = running.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = df.withColumn("_near", F.last("_take", ignorenulls=True).over(running))
+    running = (Window.partitionBy(*keys, *cut).orderBy(*order)
+                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     if slices.heavy is None:
-        return df.withColumnRenamed("_near", name).drop("_take")
+        return df.withColumn(name, F.last(take, ignorenulls=True).over(running))
+    df = df.withColumn("_take", take).withColumn("_near", F.last("_take", ignorenulls=True).over(running))
     earlier = (Window.partitionBy(*keys).orderBy("_slice")
                      .rowsBetween(Window.unboundedPreceding, -1))
     edges = (df.where("_slice > 0")
                .groupBy(*keys, "_slice")
                .agg(F.max_by("_take", F.when(F.col("_take").isNotNull(), _order_struct(order))).alias("_last"))
                .withColumn("_edge", F.last("_last", ignorenulls=True).over(earlier)))
-    return (_across(df, keys, edges)
+    return (_across(df, slices, edges)
             .withColumn(name, F.coalesce("_near", "_edge"))
             .drop("_take", "_near", "_edge"))

@@ -26,8 +26,8 @@ def time_weighted_average(df: DataFrame, keys: list[str], ts: str, value: str, i
                      interval_end(ts, f"{interval_minutes} minutes").alias("_end"))
     slices = neighbors.plan_slices(rows, group, "_ts", heavy_rows)
     order = ["_ts", "_v"]
-    rows = neighbors.next_value(rows, slices, order, F.struct("_ts"), "_next")
-    rows = neighbors.previous_value(rows, slices, order, F.struct("_ts"), "_prev")
+    rows = neighbors.next_values(rows, slices, order, {"_next": "_ts"})
+    rows = neighbors.previous_values(rows, slices, order, {"_prev": "_ts"})
 
     def minutes(since: Column, until: Column) -> Column:
         micros = F.unix_micros(until) - F.unix_micros(since)
@@ -36,7 +36,7 @@ def time_weighted_average(df: DataFrame, keys: list[str], ts: str, value: str, i
         return F.floor(micros / F.lit(60_000_000)).cast("bigint")
 
     start = F.col("_end") - F.make_dt_interval(mins=F.lit(interval_minutes))
-    held = minutes(F.col("_ts"), F.coalesce(F.col("_next._ts"), F.col("_end")))
+    held = minutes(F.col("_ts"), F.coalesce(F.col("_next"), F.col("_end")))
     before = F.when(F.col("_prev").isNull(), minutes(start, F.col("_ts"))).otherwise(F.lit(0))
     area = F.sum(F.col("_v") * (held + before))
     return (rows.groupBy(*group)

@@ -23,8 +23,11 @@ _HOUR = "(epoch_us(TIMESTAMP '2024-01-15 18:00:00') // 1000000)"  # the hour of
 
 _STATUS_SQL = f"""status AS (SELECT *, poll - reported AS secs_since_last_reported,
       poll // 3600 * 3600 AS last_updated_hr FROM
-    (SELECT event_id, user_id AS station_id, {SQL_K} % 5 AS bikes, CAST(floor(value) AS INTEGER) % 7 AS docks, {SQL_K} % 3 AS ebikes,
-            epoch_us(ts) // 1000000 AS reported, epoch_us(date_trunc('hour', ts)) // 1000000 + 1800 AS poll FROM events))"""
+    (SELECT max(event_id) AS event_id, station_id, poll, arg_max({SQL_K} % 5, event_id) AS bikes,
+            arg_max(CAST(floor(value) AS INTEGER) % 7, event_id) AS docks, arg_max({SQL_K} % 3, event_id) AS ebikes,
+            arg_max(epoch_us(ts) // 1000000, event_id) AS reported
+     FROM (SELECT *, user_id AS station_id, epoch_us(date_trunc('hour', ts)) // 1000000 + 1800 AS poll FROM events)
+     GROUP BY station_id, poll))"""
 _INFO_SQL = """info AS (SELECT c_custkey AS station_id, c_name AS name, CASE WHEN c_nationkey % 2 = 0 THEN 'classic' ELSE 'lightweight' END
    AS station_type, 10 + c_nationkey AS capacity, c_nationkey * 1.5::DOUBLE AS lat, c_nationkey * -0.5::DOUBLE AS lon FROM customer)"""
 _WEATHER_SQL = f"""weather AS (SELECT event_id, user_id AS station_id, epoch_us(ts) // 1000000 AS dt,
@@ -33,12 +36,15 @@ _WEATHER_SQL = f"""weather AS (SELECT event_id, user_id AS station_id, epoch_us(
 
 
 def raw_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    poll = clean.hour_epoch(F.col("ts")) + 1800
-    station = F.struct(F.col("user_id").alias("station_id"), F.expr(f"{K} % 5").alias("num_bikes_available"),
-                       F.expr("CAST(floor(value) AS INT) % 7").alias("num_docks_available"),
-                       F.expr(f"{K} % 3").alias("num_ebikes_available"), F.unix_seconds("ts").alias("last_reported"),
-                       F.col("event_id").alias("report_id"))
-    return table(spark, sf_dir, "events").select(poll.alias("last_updated"), F.struct(F.array(station).alias("stations")).alias("data"))
+    """Half-hourly polls; a station reports once per poll, with the last event of that hour."""
+    last = F.max(F.struct("event_id", "k", "value", "ts")).alias("e")
+    reports = (table(spark, sf_dir, "events").withColumn("k", F.expr(K))
+               .groupBy("user_id", (clean.hour_epoch(F.col("ts")) + 1800).alias("last_updated")).agg(last))
+    station = F.struct(F.col("user_id").alias("station_id"), (F.col("e.k") % 5).alias("num_bikes_available"),
+                       (F.floor("e.value").cast("int") % 7).alias("num_docks_available"),
+                       (F.col("e.k") % 3).alias("num_ebikes_available"), F.unix_seconds("e.ts").alias("last_reported"),
+                       F.col("e.event_id").alias("report_id"))
+    return reports.select("last_updated", F.struct(F.array(station).alias("stations")).alias("data"))
 
 
 def clean_status(raw: DataFrame) -> DataFrame:
@@ -67,12 +73,13 @@ def station_information(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wind = F.when(F.col("k") < 50, "calm").otherwise("breezy")
     kind = F.array(F.struct(F.col("event_type").alias("main"), F.col("event_type").alias("description")),
-                   F.struct(F.lit("Wind").alias("main"), F.expr(f"CASE WHEN {K} < 50 THEN 'calm' ELSE 'breezy' END").alias("description")))
-    return table(spark, sf_dir, "events").select(
+                   F.struct(F.lit("Wind").alias("main"), wind.alias("description")))
+    return table(spark, sf_dir, "events").withColumn("k", F.expr(K)).select(
         "event_id", F.concat(F.lit("weather_info_1_station_"), "user_id", F.lit(".json")).alias("json_file_name"),
         kind.alias("weather"), F.struct((F.col("value") / 10 + 260).alias("temp")).alias("main"),
-        F.struct(F.expr(f"{K} / 10.0D").alias("speed")).alias("wind"), F.unix_seconds("ts").alias("dt"))
+        F.struct((F.col("k") / 10).alias("speed")).alias("wind"), F.unix_seconds("ts").alias("dt"))
 
 
 def clean_weather(raw: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata import workspace
 from strata.operators import cdc, quality
 from strata.plans.changes import _HISTORY_SQL, history
 from strata.plans.registry import query
@@ -88,8 +89,8 @@ def c360_join_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_TX_SQL} SELECT transaction_id, customer_id, amount, category, event_type
            FROM tx LEFT JOIN history ON user_id = customer_id AND tx_ts >= start_ts AND (tx_ts < end_ts OR end_ts IS NULL)""")
 def c360_join_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = cdc.as_of_join(transactions(spark, sf_dir), contacts(spark, sf_dir), "customer_id", "user_id", "tx_ts",
-                            ["event_type"])
+    silver_contacts = workspace.materialize(contacts(spark, sf_dir), "silver-contacts")
+    joined = cdc.as_of_join(transactions(spark, sf_dir), silver_contacts, "customer_id", "user_id", "tx_ts", ["event_type"])
     return joined.select("transaction_id", "customer_id", "amount", "category", "event_type")
 
 

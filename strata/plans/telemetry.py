@@ -13,7 +13,7 @@ from strata.tables import table
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases and clicks report progress, views define flows, errors measure the cluster, signups start updates."""
-    k = F.expr(K)
+    k = F.col("k")
     rule = F.struct(F.concat(F.lit("rule_"), k % 4).alias("name"), F.concat(F.lit("table_"), k % 7).alias("dataset"),
                     k.cast("bigint").alias("passed_records"), (k % 9).cast("bigint").alias("failed_records"))
     second = F.struct(F.lit("id_present").alias("name"), F.concat(F.lit("table_"), k % 7).alias("dataset"),
@@ -41,7 +41,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.concat(F.lit("cluster_"), F.dayofmonth("ts")).alias("cluster_id"),
                       F.when(F.dayofmonth("ts") == 30, "m1").alias("maintenance_id"),
                       F.concat(F.lit("update_"), F.col("user_id") % 10).alias("update_id"))
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").withColumn("k", F.expr(K)).select(
         F.col("event_id").alias("id"), F.col("ts").alias("timestamp"), kind.alias("event_type"), origin.alias("origin"),
         F.concat(F.lit("event "), "event_type").alias("message"), F.lit("INFO").alias("level"), details.alias("details"))
 

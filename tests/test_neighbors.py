@@ -32,17 +32,19 @@ def test_next_previous_and_carry(skewed, threshold):
     slices = neighbors.plan_slices(skewed, ["k"], "at", threshold)
     assert (slices.heavy is None) == (threshold == 10**9)
     order = ["at", "id"]
-    df = neighbors.next_value(skewed, slices, order, F.col("id"), "nxt")
-    df = neighbors.previous_value(df, slices, order, F.struct("v"), "prv")
+    df = neighbors.next_values(skewed, slices, order, {"nxt": "id", "nxt_v": "v"})
+    df = neighbors.previous_values(df, slices, order, {"prv": "v"})
     df = neighbors.carry_forward(df, slices, order, F.col("v"), "seen")
     got = {r.id: r for r in df.collect()}
     nxt = brute(skewed, lambda g, i: g[i + 1].id if i + 1 < len(g) else None)
-    prv = brute(skewed, lambda g, i: (g[i - 1].v,) if i else None)
+    nxt_v = brute(skewed, lambda g, i: g[i + 1].v if i + 1 < len(g) else None)
+    prv = brute(skewed, lambda g, i: g[i - 1].v if i else None)
     seen = brute(skewed, lambda g, i: next((r.v for r in reversed(g[:i + 1]) if r.v is not None), None))
     assert len(got) == 960
     for id_, r in got.items():
         assert r.nxt == nxt[id_]
-        assert (None if r.prv is None else tuple(r.prv)) == prv[id_]
+        assert r.nxt_v == nxt_v[id_]
+        assert r.prv == prv[id_]
         assert r.seen == seen[id_]
 
 
@@ -53,9 +55,11 @@ def test_heavy_keys_are_cut_into_bounded_slices(skewed):
     assert marked.where("k <> 'hot' AND _slice <> 0").count() == 0
 
 
-def test_many_heavy_keys_stay_distributed(skewed, monkeypatch):
-    monkeypatch.setattr(neighbors, "LISTED_KEYS", 1)
+@pytest.mark.parametrize("limit", ["LISTED_KEYS", "BROADCAST_EDGES"])
+def test_beyond_the_limits_nothing_is_broadcast(skewed, monkeypatch, limit):
+    monkeypatch.setattr(neighbors, limit, 1)
     slices = neighbors.plan_slices(skewed, ["k"], "at", 5)
-    df = neighbors.next_value(skewed, slices, ["at", "id"], F.col("id"), "nxt")
+    df = neighbors.next_values(skewed, slices, ["at", "id"], {"nxt": "id"})
+    assert (slices.count is None) == (limit == "LISTED_KEYS")
     expected = brute(skewed, lambda g, i: g[i + 1].id if i + 1 < len(g) else None)
     assert {r.id: r.nxt for r in df.collect()} == expected
