@@ -9,13 +9,16 @@ UNKNOWN = -1
 
 
 def register_functions(spark: SparkSession) -> None:
-    """SQL functions of the model. Catalyst inlines them, so they cost what their bodies cost."""
+    """SQL functions of the model. Catalyst inlines them, so they cost what their bodies cost.
+
+    Fixed values: the yyyyMMdd key, and net sales as the price after discount, tax and return.
+    """
     spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION date_key(day DATE) RETURNS BIGINT
                  RETURN CAST(year(day) * 10000 + month(day) * 100 + day(day) AS BIGINT)""")
     spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION net_sales(
                    price DECIMAL(18,2), discount DECIMAL(18,2), tax DECIMAL(18,2), is_returned INT)
                  RETURNS DECIMAL(18,2)
-                 RETURN (price - price * discount) * (tax + 1) * (1 - is_returned)""")
+                 RETURN price * (1 - discount) * (1 + tax) * (1 - is_returned)""")
 
 
 def with_unknown(dimension: DataFrame, **texts: str) -> DataFrame:

@@ -75,7 +75,7 @@ def time_weighted_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _STREAM_INTEGRAL_SQL = f"""WITH {_INTEGRAL_SQL}
-  SELECT CAST(user_id AS VARCHAR) AS location_id, event_type AS sensor, interval_end, value, count_rows FROM averages WHERE e <= (SELECT MAX(ts) - INTERVAL 10 MINUTE FROM events)"""
+  SELECT CAST(user_id AS VARCHAR) AS location_id, event_type AS sensor, interval_end, value, count_rows FROM averages"""
 
 
 def _streamed(spark: SparkSession, sf_dir: str, average, label: str) -> DataFrame:
@@ -86,11 +86,16 @@ def _streamed(spark: SparkSession, sf_dir: str, average, label: str) -> DataFram
     return rows.select("location_id", "sensor", F.unix_seconds("timestamp").alias("interval_end"), "value", "count_rows")
 
 
-@query(_STREAM_INTEGRAL_SQL)
+@query(_STREAM_INTEGRAL_SQL + " WHERE e <= (SELECT MAX(ts) - INTERVAL 10 MINUTE FROM events)")
 def stream_time_weighted_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, integral.time_weighted_average, "integral")
 
 
+@query(_STREAM_INTEGRAL_SQL + " WHERE e < (SELECT MAX(e) - INTERVAL 10 MINUTE FROM averages)")
+def stream_strict_time_weighted_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir, integral.strict_time_weighted_average, "strict-integral")
+
+
 _BINS_SQL = """bins AS (SELECT user_id, epoch_us(ts) // 21600000000 * 21600 AS bin, MAX(value) AS m FROM events GROUP BY 1, 2),
   spans AS (SELECT user_id, MIN(bin) AS lo, MAX(bin) AS hi FROM bins GROUP BY 1),
   grid AS (SELECT user_id, unnest(generate_series(lo, hi, 21600)) AS bin FROM spans),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 OUTPUT = "location_id STRING, sensor STRING, timestamp TIMESTAMP, value FLOAT, count_rows INT"
-BUFFER = "at ARRAY<TIMESTAMP>, reading ARRAY<FLOAT>"
+BUFFER = "at ARRAY<TIMESTAMP>, reading ARRAY<DOUBLE>"
 
 
 def _whole_minutes(since: Column, until: Column) -> Column:
