@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.functions import clean, synth
 from strata.operators import aggregates, quality, timeseries
 from strata.plans.registry import query
-from strata.streaming import runner
+from strata.streaming import changes, runner
 from strata.tables import table, table_stream
 
 RULES = [quality.Rule("low_discount", "l_discount < 0.05"), quality.Rule("big_enough", "l_quantity > 2", "drop"),
@@ -119,7 +119,7 @@ def max_per_device(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT user_id AS device, MAX(value) AS max_magn FROM events GROUP BY 1")
 def stream_max_per_device(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table_stream(spark, sf_dir, "events")
-    return runner.upserted(rows.groupBy(F.col("user_id").alias("device")).agg(F.max("value").alias("max_magn")), ["device"], "max")
+    return changes.upserted(rows.groupBy(F.col("user_id").alias("device")).agg(F.max("value").alias("max_magn")), ["device"], "max")
 
 
 @query("SELECT COUNT(*) AS n FROM lineitem")

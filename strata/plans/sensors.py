@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import timeseries
 from strata.plans.registry import query
-from strata.streaming import integral, runner, windows
+from strata.streaming import changes, integral, runner, windows
 from strata.tables import table, table_stream
 
 _SUM = "CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE)"
@@ -35,15 +35,17 @@ def tumbling_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
            FROM (SELECT *, time_bucket(INTERVAL 1 MINUTE, ts) AS w FROM events) GROUP BY event_type, w""")
 def tumbling_avg_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = windows.tumbling(table_stream(spark, sf_dir, "events"), "ts", "1 minute", _totals(), ["event_type"])
-    return _average(windows.flat(runner.upserted(rows, ["event_type", "window"], "windows-by-key")))
+    return _average(windows.flat(changes.upserted(rows, ["event_type", "window"], "windows-by-key")))
 
 
 @query(f"""SELECT epoch_us(w) // 1000000 AS window_start, epoch_us(w) // 1000000 + 1 AS window_end, COUNT(*) AS n,
              {_SUM} / COUNT(*) AS average FROM (SELECT *, time_bucket(INTERVAL 1 SECOND, ts) AS w FROM events) GROUP BY w
            ORDER BY w DESC LIMIT 30""")
 def latest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest windows of a keyed result, so that closed windows can leave the state."""
     rows = windows.tumbling(table_stream(spark, sf_dir, "events"), "ts", "1 second", _totals(), delay="3 seconds")
-    return _average(windows.flat(runner.completed(windows.newest_windows(rows, 30), "newest")))
+    kept = changes.upserted(rows, ["window"], "by-second")
+    return _average(windows.flat(windows.newest_windows(kept, 30)))
 
 
 @query("SELECT event_id, user_id, event_type, value, epoch_us(ts) AS ts_us FROM events")

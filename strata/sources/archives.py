@@ -65,8 +65,8 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def unpack_archives(files: DataFrame) -> DataFrame:
     """One row per member of every tar.gz; an unreadable archive gives one row with ``error`` set.
 
-    Archives are independent rows, so Spark spreads them over the cluster; keep
-    ``spark.sql.execution.arrow.maxRecordsPerBatch`` small when archives are large.
+    Archives are independent rows, so Spark spreads them over the cluster. How many a task
+    holds at once is bounded by ``spark.sql.execution.arrow.maxBytesPerBatch``.
     """
     return files.select("path", "modificationTime", "length", "content").mapInPandas(_unpack, MEMBERS)
 

@@ -2,7 +2,8 @@
 
 Each micro-batch is reduced to what a reader needs and stored as one folder named by
 its batch id, so a repeated batch replaces itself. The cost of a batch depends on the
-batch, not on the table. `compact` folds older folders into a base from time to time.
+batch, not on the table. `compact` folds older folders into a base from time to time;
+batch and base folders older than the newest base are no longer read.
 Deletes stay in the stored rows, so a late change cannot bring a deleted key back.
 """
 
@@ -21,7 +22,9 @@ class ChangeTable:
     """Keyed table fed by change batches; `scd_type` 1 stores newest changes, 2 stores all."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], sequence_by: str,
-                 deletes: str | None = None, except_columns: list[str] = (), scd_type: int = 1):
+                 deletes: str | None = None, except_columns: list[str] = (), scd_type: int = 1,
+                 compact_every: int | None = None):
+        self.compact_every = compact_every
         self.spark, self.path, self.keys, self.sequence_by = spark, path, keys, sequence_by
         self.deletes, self.except_columns, self.scd_type = deletes, list(except_columns), scd_type
         self.schema = schema
@@ -37,6 +40,8 @@ class ChangeTable:
         """Store one micro-batch."""
         flagged = cdc.flag_deletes(batch, self.deletes)
         self._merged(flagged).write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch_id}")
+        if self.compact_every and batch_id % self.compact_every == self.compact_every - 1:
+            self.compact()
 
     def _base(self) -> int:
         """Last batch id covered by the newest finished base, -1 without one."""
@@ -76,3 +81,33 @@ class ChangeTable:
     def run(self, changes: DataFrame, checkpoint: str, every: str | None = None):
         """Start folding a stream of changes into this table."""
         return runner.folded(changes, self.fold, checkpoint, every)
+
+
+_UPDATED = "_updated_in"
+
+
+def aggregate_table(stream: DataFrame, keys: list[str], path: str, **options) -> ChangeTable:
+    """The change table behind `upsert`: the sequence of a group is the batch that changed it."""
+    schema = T.StructType([*stream.schema.fields, T.StructField(_UPDATED, T.LongType())])
+    return ChangeTable(stream.sparkSession, path, schema, keys, _UPDATED, except_columns=[_UPDATED], **options)
+
+
+def upsert(stream: DataFrame, keys: list[str], path: str, checkpoint: str, every: str | None = None, **options):
+    """Keep a keyed streaming aggregate up to date: every batch stores only the groups it changed.
+
+    Update mode also lets a watermark evict closed groups from the state.
+    """
+    target = aggregate_table(stream, keys, path, **options)
+
+    def store(changed: DataFrame, batch: int) -> None:
+        target.fold(changed.withColumn(_UPDATED, F.lit(batch).cast("bigint")), batch)
+
+    return (stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+            .foreachBatch(store).trigger(**runner._trigger(every)).start())
+
+
+def upserted(stream: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """Run a keyed aggregate over available data and read its final state."""
+    base = workspace.new_dir(stream.sparkSession, label)
+    runner.finish(upsert(stream, keys, f"{base}/table", f"{base}/checkpoint"))
+    return aggregate_table(stream, keys, f"{base}/table").read()

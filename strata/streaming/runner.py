@@ -6,11 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata import workspace
-from strata.operators.cdc import newest
 from strata.sources.files import union_evolved
 
 
@@ -41,7 +39,11 @@ def read_flows(spark: SparkSession, target: str, schema, names: list[str], tag:
 
 
 def replace(stream: DataFrame, target: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Publish a complete-mode aggregate: every batch writes its own version of the result."""
+    """Publish a complete-mode aggregate: every batch writes its own version of the result.
+
+    For results that stay small. State is never evicted in this mode; a keyed result that
+    grows belongs into `changes.upsert`.
+    """
 
     def publish(result: DataFrame, batch: int) -> None:
         result.write.mode("overwrite").parquet(f"{target}/version={batch:012d}")
@@ -77,29 +79,6 @@ def completed(stream: DataFrame, label: str) -> DataFrame:
     return latest_version(spark, f"{base}/table")
 
 
-def upsert(stream: DataFrame, target: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Keep a keyed aggregate up to date: every batch stores only the groups it changed."""
-    def store(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{target}/batch={batch}")
-
-    return (stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-            .foreachBatch(store).trigger(**_trigger(every)).start())
-
-
-def read_upserted(spark: SparkSession, target: str, schema, keys: list[str]) -> DataFrame:
-    """The newest stored state of every group."""
-    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(target)
-    return newest(rows.withColumn("_deleted", F.lit(False)), keys, "batch").drop("batch", "_deleted")
-
-
-def upserted(stream: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """Run a keyed aggregate over available data and read its final state."""
-    spark = stream.sparkSession
-    base = workspace.new_dir(spark, label)
-    finish(upsert(stream, f"{base}/table", f"{base}/checkpoint"))
-    return read_upserted(spark, f"{base}/table", stream.schema, keys)
-
-
 def folded(stream: DataFrame, fold: Callable[[DataFrame, int], None], checkpoint: str,
            every: str | None = None) -> StreamingQuery:
     """Hand every micro-batch and its id to `fold`, which must tolerate a repeated id."""

@@ -25,7 +25,7 @@ def flat(windowed: DataFrame) -> DataFrame:
 
 
 def newest_windows(windowed: DataFrame, n: int) -> DataFrame:
-    """The newest `n` windows, for complete-mode output."""
+    """The newest `n` windows, of a table or of a complete-mode stream."""
     return windowed.orderBy(F.desc("window")).limit(n)
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from strata import workspace
 from strata.operators import cdc, quality
 from strata.sources import files
-from strata.streaming import integral, runner, windows
+from strata.streaming import changes, integral, runner, windows
 from strata.streaming.changes import ChangeTable
 
 READING = "location_id STRING, sensor STRING, timestamp TIMESTAMP, value FLOAT"
@@ -113,8 +113,22 @@ def test_upserted_groups_hold_their_newest_state(spark, rows):
     for batch in ([("a", 1), ("b", 2)], [("a", 5)], [("c", 1), ("b", 1)]):
         spark.createDataFrame(batch, schema).write.mode("append").parquet(f"{base}/in")
         best = files.stream(spark, f"{base}/in", "parquet", schema).groupBy("k").agg(F.max("v").alias("best"))
-        runner.finish(runner.upsert(best, f"{base}/table", f"{base}/checkpoint"))
-    assert rows(runner.read_upserted(spark, f"{base}/table", best.schema, ["k"])) == [("a", 5), ("b", 2), ("c", 1)]
+        runner.finish(changes.upsert(best, ["k"], f"{base}/table", f"{base}/checkpoint", compact_every=2))
+    table = changes.aggregate_table(best, ["k"], f"{base}/table")
+    assert rows(table.read()) == [("a", 5), ("b", 2), ("c", 1)]
+    assert table._base() == 1
+
+
+def test_complete_mode_publishes_sorted_newest_windows(spark, rows):
+    base = workspace.new_dir(spark, "complete")
+    schema = "ts TIMESTAMP, v INT"
+    for clocks in (["12:00", "12:01"], ["12:05", "12:00"]):
+        (spark.createDataFrame([(at(c),) for c in clocks], "t STRING").select(F.col("t").cast("timestamp").alias("ts"), F.lit(1).alias("v"))
+         .write.mode("append").parquet(f"{base}/in"))
+        counted = windows.tumbling(files.stream(spark, f"{base}/in", "parquet", schema), "ts", "1 minute", [F.sum("v").alias("n")])
+        runner.finish(runner.replace(windows.newest_windows(counted, 2), f"{base}/out", f"{base}/checkpoint"))
+    newest = runner.latest_version(spark, f"{base}/out").select(F.date_format("window.start", "HH:mm"), "n")
+    assert rows(newest) == [("12:01", 1), ("12:05", 1)]
 
 
 def test_failing_rule_stops_the_stream(spark):
