@@ -18,8 +18,8 @@ from strata.tables import table
 _TX_AT = "TIMESTAMP '2024-01-01 00:00:00' + make_dt_interval(CAST(o_orderkey % 30 AS INT), CAST(o_custkey % 24 AS INT))"
 _TX_SQL = f"""{_HISTORY_SQL},
   tx AS (SELECT o_orderkey AS transaction_id, o_custkey AS customer_id, o_totalprice AS amount, o_orderpriority AS category,
-           o_orderkey % 12 AS item_count, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(o_orderkey % 30 AS INTEGER))
-           + to_hours(CAST(o_custkey % 24 AS INTEGER)) AS tx_ts FROM orders WHERE o_orderkey % 12 > 0)"""
+           CAST(floor(o_totalprice / 50000) AS BIGINT) AS item_count, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(o_orderkey % 30 AS INTEGER))
+           + to_hours(CAST(o_custkey % 24 AS INTEGER)) AS tx_ts FROM orders WHERE floor(o_totalprice / 50000) > 0)"""
 RULES = [quality.Rule("item_count should be positive value", "item_count > 0", "drop")]
 
 
@@ -31,7 +31,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("transaction_id"), F.col("o_custkey").alias("customer_id"),
         F.col("o_totalprice").alias("amount"), F.col("o_orderpriority").alias("category"),
-        (F.col("o_orderkey") % 12).alias("item_count"), F.expr(_TX_AT).alias("tx_ts"))
+        F.floor(F.col("o_totalprice") / 50_000).alias("item_count"), F.expr(_TX_AT).alias("tx_ts"))
     return quality.expect(rows, RULES)
 
 

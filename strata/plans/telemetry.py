@@ -40,7 +40,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     origin = F.struct(F.lit("orders").alias("pipeline_name"),
                       F.concat(F.lit("cluster_"), F.dayofmonth("ts")).alias("cluster_id"),
                       F.when(F.dayofmonth("ts") == 30, "m1").alias("maintenance_id"),
-                      F.concat(F.lit("update_"), F.col("user_id") % 10).alias("update_id"))
+                      F.concat(F.lit("update_"), F.dayofmonth("ts")).alias("update_id"))
     return table(spark, sf_dir, "events").withColumn("k", F.expr(K)).select(
         F.col("event_id").alias("id"), F.col("ts").alias("timestamp"), kind.alias("event_type"), origin.alias("origin"),
         F.concat(F.lit("event "), "event_type").alias("message"), F.lit("INFO").alias("level"), details.alias("details"))
@@ -92,9 +92,9 @@ def lineage_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
              CASE WHEN u THEN {SQL_K} / 100.0::DOUBLE END AS avg_task_slot_utilization,
              CASE WHEN u THEN ({SQL_K} % 3)::DOUBLE END AS queue_size, CASE WHEN NOT u THEN value END AS backlog
            FROM (SELECT *, event_type = 'error' AS u FROM events)
-           WHERE event_type IN ('error', 'purchase', 'click') AND user_id % 10 = 3""")
+           WHERE event_type IN ('error', 'purchase', 'click') AND day(ts) = 15""")
 def eventlog_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _timed(telemetry.utilization(event_log(spark, sf_dir), "update_3"))
+    return _timed(telemetry.utilization(event_log(spark, sf_dir), "update_15"))
 
 
 @query(f"""WITH newest AS (SELECT arg_max(day(ts), ts) AS d FROM events WHERE day(ts) <> 30)
