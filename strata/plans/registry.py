@@ -13,7 +13,10 @@ ORACLE: dict[str, str] = {}
 
 
 def query(sql: str | None = None, name: str | None = None):
-    """Register ``fn(spark, sf_dir)``; `sql` computes the same rows in ANSI SQL."""
+    """Register ``fn(spark, sf_dir)``; `sql` computes the same rows in ANSI SQL.
+
+    A registered query sets the session to UTC, the zone its tables are meant in.
+    """
 
     def register(fn: Query) -> Query:
         key = name or fn.__name__

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions import clean, text
+from strata.functions import text
 from strata.operators import aggregates, quality
 from strata.plans.registry import query
 from strata.tables import table
