@@ -9,6 +9,7 @@ end and cut at window ends; the last rest of a partition is cut into powers of t
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 
@@ -17,13 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from strata.llm.tools import SLICE, slices
+from strata.llm.tools import slices
 
 SCHEMA = ("doc_id BIGINT, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc_tokens BIGINT, "
           "sequence_id BIGINT, offset BIGINT")
 #: ASCII white space separates pre-tokens in the tokenizer, so chunks between it can be encoded on their own.
 CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
-REMEMBERED = 200_000
+REMEMBERED = 800_000
 
 
 class Encoder:
@@ -33,18 +34,36 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        added = sorted(i for i, t in self.tokenizer.get_added_tokens_decoder().items()
+                       if not (t.normalized or t.single_word or t.lstrip or t.rstrip))
+        self.mark_id = added[0] if added else None
+        self.mark = self.tokenizer.id_to_token(added[0]) if added else None
         self._forget()
 
     def _forget(self):
         self.number: dict[str, int] = {}
         self.flat, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and how many each chunk has.
+
+        An added token of the vocabulary splits a text before anything else happens to it, so chunks with it
+        between them are encoded in one call as they would be one by one.
+        """
+        plain = self.mark is not None and not any(self.mark in c for c in chunks)
+        texts = [self.mark.join(chunks)] if plain else chunks
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if not plain:
+            return np.fromiter((i for x in ids for i in x), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+        row = np.array(ids[0], np.uint32)
+        marks = np.flatnonzero(row == self.mark_id)
+        return np.delete(row, marks), np.diff(np.r_[-1, marks, len(row)]) - 1
+
     def _learn(self, chunks: list[str]):
-        ids = [e.ids for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        row, size = self._ids(chunks)
         self.start = np.r_[self.start, len(self.flat) + np.cumsum(size) - size]
         self.size = np.r_[self.size, size]
-        self.flat = np.r_[self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))]
+        self.flat = np.r_[self.flat, row]
         self.number.update(zip(chunks, range(len(self.number), len(self.number) + len(chunks))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -65,6 +84,12 @@ class Encoder:
         return out
 
 
+@functools.lru_cache(maxsize=1)
+def encoder(file: str) -> Encoder:
+    """One encoder per Python worker, so that tasks share what it remembers."""
+    return Encoder(file)
+
+
 class Packer:
     """Online packing of one stream of documents; `emit` collects output rows."""
 
@@ -155,7 +180,7 @@ def pack(documents: DataFrame, tokenizer_file: str, window: int = 2048, end_id:
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
     def run(batches):
-        encoder = Encoder(tokenizer_file)
+        encode = encoder(tokenizer_file).encode
         packer = Packer(window, max_open, TaskContext.get().partitionId() << 40)
 
         def rows():
@@ -163,10 +188,10 @@ def pack(documents: DataFrame, tokenizer_file: str, window: int = 2048, end_id:
             columns = zip(*out) if out else [[]] * 7
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
-        for part in slices(batches, SLICE):
+        for part in slices(batches, 256):
             columns = part.to_pydict()
-            for doc, ids in zip(columns["doc_id"], encoder.encode([t or "" for t in columns["text"]])):
-                packer.add(doc, np.append(ids, np.uint32(end_id)).astype(np.uint32))
+            for doc, ids in zip(columns["doc_id"], encode([t or "" for t in columns["text"]])):
+                packer.add(doc, np.append(ids, np.uint32(end_id)))
             yield rows()
         packer.close()
         yield rows()

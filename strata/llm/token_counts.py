@@ -9,6 +9,7 @@ in that round. What survives is counted; a character outside the vocabulary coun
 
 from __future__ import annotations
 
+import functools
 import re
 
 import numpy as np
@@ -22,7 +23,7 @@ SPACE = "▁"
 PRE_TOKEN = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 NONE = np.int64(1 << 40)
 #: Distinct pre-tokens remembered by a worker; the memory is emptied beyond it.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 class Merges:
@@ -123,6 +124,12 @@ class Merges:
         return at[first | ~np.isin(own, own[lower])]
 
 
+@functools.lru_cache(maxsize=1)
+def remembered(model_file: str) -> tuple[Merges, dict[str, int]]:
+    """The merges and the counts of known pre-tokens, shared by the tasks of a Python worker."""
+    return Merges(model_file), {}
+
+
 def count_tokens(documents: DataFrame, model_file: str, limit: int = 4096) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit (n_tokens > limit) of each whole text.
 
@@ -131,7 +138,7 @@ def count_tokens(documents: DataFrame, model_file: str, limit: int = 4096) -> Da
     """
 
     def make():
-        merges, known = Merges(model_file), {}
+        merges, known = remembered(model_file)
 
         def work(rows):
             texts = [t or "" for t in rows["text"]]
