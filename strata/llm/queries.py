@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import packing, quality_rules, secrets, token_counts, url_filter
+from strata.llm import byte_bpe, line_dedup, packing, quality_rules, secrets, token_counts, url_filter
 from strata.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,31 @@ def op2_secret_scan(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents")).drop("found")
 
 
+@query("""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i
+  FROM documents),
+e AS (
+  SELECT *, substr(md5(coalesce(lag(md5(line)) OVER (PARTITION BY doc_id ORDER BY i), '') || md5(line)), 1, 1)
+            IN ('0', '4', '8', 'c') AS ends FROM l),
+c AS (
+  SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            AS chunk FROM e),
+g AS (
+  SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body,
+         count(*) FILTER (WHERE regexp_matches(line, '[^\x20\x09-\x0D]')) AS filled
+  FROM c GROUP BY ALL),
+r AS (
+  SELECT doc_id, chunk, row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) > 1 AND filled > 1 AS gone FROM g)
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE gone))::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM c JOIN r USING (doc_id, chunk) GROUP BY doc_id""")
+def op3_line_dedup(spark, sf_dir):
+    left = line_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query()
 def op4_quality_rules(spark, sf_dir):
     judged = quality_rules.filter_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -59,6 +84,12 @@ def op6_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query()
+def op8_byte_bpe(spark, sf_dir):
+    return byte_bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                  public_tokenizers.PATTERN)
+
+
 @query("""
 WITH cut AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest

@@ -21,7 +21,8 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
             yield batch.slice(start, rows)
 
 
-def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[], Callable[[dict], list]]) -> DataFrame:
+def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[], Callable[[dict], list]],
+             rows: int = SLICE) -> DataFrame:
     """``make()`` runs once per task; what it returns turns the column lists of a slice into output columns.
 
     Only `columns` are read, so further columns of `df`, whatever their names, play no part.
@@ -33,7 +34,7 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[],
 
     def run(batches):
         work = make()
-        for part in slices(batches):
+        for part in slices(batches, rows):
             out = work(part.to_pydict())
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, target)], schema=target)
 
