@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, line_dedup, packing, quality_rules, secrets, token_counts, url_filter
+from strata.llm import byte_bpe, jaccard_join, line_dedup, packing, quality_rules, secrets, token_counts, url_filter
 from strata.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,11 @@ def op6_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query()
+def op7_jaccard_join(spark, sf_dir):
+    return jaccard_join.cluster(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 @query()
 def op8_byte_bpe(spark, sf_dir):
     return byte_bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
