@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, jaccard_join, line_dedup, packing, quality_rules, secrets, token_counts, url_filter
+from strata.llm import byte_bpe, jaccard_join, line_dedup, packing, quality_rules, secrets, suffix_dedup, token_counts, url_filter
 from strata.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op2_secret_scan(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents")).drop("found")
