@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import packing, quality_rules, secrets
+from strata.llm import jaccard_join, line_dedup, packing, quality_rules, secrets
 from strata.tables import SCHEMAS, table
 from strata.workspace import new_dir
 
@@ -18,6 +18,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.keep_documents(docs, table(spark, sf_dir, "labels"))
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents without the multi-line chunks that came before; documents of which no word is left go."""
+    return line_dedup.drop_repeats(docs)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose sets of five-word shingles have a similarity of 0.8 or more."""
+    return jaccard_join.keep_first(docs, n=5, percent=80)
+
+
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by a mark."""
     return secrets.redact(docs)
@@ -28,7 +38,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("quality_rules", quality_stage), ("secret_scan", secret_stage), ("packing", packing_stage)]
+STAGES = [("quality_rules", quality_stage), ("line_dedup", line_stage), ("jaccard_join", near_duplicate_stage),
+          ("secret_scan", secret_stage), ("packing", packing_stage)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

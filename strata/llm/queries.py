@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, jaccard_join, line_dedup, packing, quality_rules, secrets, suffix_dedup, token_counts, url_filter
+from strata.llm import bm25_search, byte_bpe, jaccard_join, line_dedup, packing, quality_rules, secrets, suffix_dedup, token_counts, url_filter
 from strata.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +100,12 @@ def op8_byte_bpe(spark, sf_dir):
                                   public_tokenizers.PATTERN)
 
 
+@query()
+def op9_bm25_search(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return bm25_search.search(documents, documents.where("doc_id % 100 = 0"), k=10)
+
+
 @query("""
 WITH cut AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
