@@ -11,7 +11,6 @@ in any order and ties are real: they go to the smaller doc_id.
 
 from __future__ import annotations
 
-import functools
 import io
 from collections import Counter
 
@@ -25,22 +24,22 @@ from strata.llm.jaccard_join import LOWER
 from strata.llm.tools import map_rows, slices
 from strata.workspace import materialize, new_dir
 
-K1, B, SCALE = 1.2, 0.75, 1_000_000
+K1, B, SCALE = 1.2, 0.75, 100_000
 #: Documents and words at most in a shard, documents in a block, queries sent at a time.
-SHARD_DOCS, SHARD_WORDS, BLOCK, QUERIES = 8192, 6_000_000, 64, 4096
+SHARD_DOCS, SHARD_WORDS, BLOCK, QUERIES = 8192, 2_000_000, 64, 4096
 #: Terms in at least one in so many documents of a shard are held as full rows.
 DENSE = 16
 NO_ID = -(1 << 63)
 
 
-@functools.lru_cache(maxsize=400_000)
-def _hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word) - (1 << 63)
+def words_of(text: str | None) -> Counter:
+    """The words of a text (no ASCII white space, A-Z lower-cased) and how often each occurs."""
+    return Counter((text or "").encode("utf-8", "replace").translate(LOWER).split())
 
 
-def terms_of(text: str | None) -> Counter:
-    """Hashes of the words of a text (no ASCII white space, A-Z lower-cased) and how often each occurs."""
-    return Counter(map(_hash, (text or "").encode("utf-8", "replace").translate(LOWER).split()))
+def terms_of(words: Counter) -> np.ndarray:
+    """64-bit hashes of distinct words."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
 def _pack(**arrays: np.ndarray) -> bytes:
@@ -49,17 +48,23 @@ def _pack(**arrays: np.ndarray) -> bytes:
     return out.getvalue()
 
 
-def build_shard(ids: list[int], bags: list[Counter]) -> tuple[np.ndarray, np.ndarray, bytes]:
-    """Terms, document frequencies and the packed postings of some documents."""
-    sizes = np.fromiter(map(len, bags), np.int64, len(bags))
-    total = int(sizes.sum())
-    term = np.fromiter((t for bag in bags for t in bag), np.int64, total)
-    tf = np.fromiter((n for bag in bags for n in bag.values()), np.int32, total)
-    doc = np.repeat(np.arange(len(bags), dtype=np.int32), sizes)
+Bag = tuple[np.ndarray, np.ndarray]
+
+
+def bag_of(text: str | None) -> Bag:
+    """Term hashes and frequencies of a text, as arrays."""
+    words = words_of(text)
+    return terms_of(words), np.fromiter(words.values(), np.int32, len(words))
+
+
+def build_shard(ids: list[int], bags: list[Bag]) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """Terms, document frequencies, document lengths and the packed postings of some documents."""
+    term, tf = np.concatenate([t for t, _ in bags]), np.concatenate([n for _, n in bags])
+    doc = np.repeat(np.arange(len(bags), dtype=np.int32), [len(t) for t, _ in bags])
     order = np.argsort(term, kind="stable")
     terms, df = np.unique(term, return_counts=True)
-    lengths = np.fromiter((sum(b.values()) for b in bags), np.int64, len(bags))
-    return terms, df, _pack(ids=np.array(ids, np.int64), lengths=lengths, doc=doc[order], tf=tf[order])
+    lengths = np.fromiter((n.sum() for _, n in bags), np.int64, len(bags))
+    return terms, df, lengths, _pack(ids=np.array(ids, np.int64), lengths=lengths, doc=doc[order], tf=tf[order])
 
 
 def index(documents: DataFrame) -> DataFrame:
@@ -67,18 +72,18 @@ def index(documents: DataFrame) -> DataFrame:
 
     def run(batches):
         def row(ids, bags):
-            terms, df, blob = build_shard(ids, bags)
+            terms, df, lengths, blob = build_shard(ids, bags)
             return pa.RecordBatch.from_arrays([
                 pa.array([terms], pa.list_(pa.int64())), pa.array([df], pa.list_(pa.int64())), pa.array([len(ids)], pa.int64()),
-                pa.array([sum(sum(b.values()) for b in bags)], pa.int64()), pa.array([blob], pa.binary())],
+                pa.array([int(lengths.sum())], pa.int64()), pa.array([blob], pa.binary())],
                 names=["terms", "df", "n_docs", "n_words", "blob"])
 
         ids, bags, words = [], [], 0
         for part in slices(batches):
             for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 ids.append(NO_ID if i is None else i)
-                bags.append(terms_of(text))
-                words += len(bags[-1])
+                bags.append(bag_of(text))
+                words += len(bags[-1][0])
                 if len(ids) >= SHARD_DOCS or words >= SHARD_WORDS:
                     yield row(ids, bags)
                     ids, bags, words = [], [], 0
@@ -101,63 +106,69 @@ class Shard:
         self.part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * packed["lengths"][self.doc] / mean_length))
         self.n = len(self.ids)
         self.blocks = -(-self.n // BLOCK)
-        self.rows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def weights(self, at: int, idf: float) -> tuple[np.ndarray | None, np.ndarray, np.ndarray]:
-        """(documents or None for all, weights, block maxima) of the term at position `at`."""
-        if at in self.rows:
-            return None, *self.rows[at]
-        docs = self.doc[self.start[at]:self.end[at]]
-        weight = np.rint(self.part[self.start[at]:self.end[at]] * idf * SCALE).astype(np.int64)
-        if len(docs) * DENSE < self.n:
-            best = np.zeros(self.blocks, np.int64)
-            np.maximum.at(best, docs // BLOCK, weight)
-            return docs, weight, best
-        row = np.zeros(self.blocks * BLOCK, np.int64)
-        row[docs] = weight
-        self.rows[at] = row, row.reshape(-1, BLOCK).max(axis=1)
-        return None, *self.rows[at]
-
-    def search(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(doc_id, score) of the k best documents with a score above 0, best first."""
+        # Terms of at least every DENSE-th document are rows of a matrix, with their block maxima beside them.
+        self.row: dict[int, int] = {}
+        self.rows = np.zeros((0, self.blocks * BLOCK), np.int32)
+        self.tops = np.zeros((0, self.blocks), np.int64)
+        self.sparse: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _weights(self, at: int, idf: float) -> tuple[np.ndarray, np.ndarray]:
+        return (self.doc[self.start[at]:self.end[at]],
+                np.rint(self.part[self.start[at]:self.end[at]] * idf * SCALE).astype(np.int64))
+
+    def prepare(self, terms: np.ndarray, df: np.ndarray, n: int) -> None:
+        """Weigh the postings of all terms that queries will ask for. df and n are global."""
         at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
         hit = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        lists = [self.weights(int(a), float(i)) for a, i in zip(at[hit], idf[hit])]
-        bound = np.zeros(self.blocks, np.int64)
-        for _, _, best in lists:
-            bound += best
+        idf, terms, at = np.log1p((n - df + 0.5) / (df + 0.5))[hit], terms[hit], at[hit]
+        dense = (self.end - self.start)[at] * DENSE >= self.n
+        self.rows = np.zeros((int(dense.sum()), self.blocks * BLOCK), np.int32)
+        for i, (term, a, w) in enumerate(zip(terms[dense].tolist(), at[dense].tolist(), idf[dense].tolist())):
+            docs, weight = self._weights(a, w)
+            self.row[term] = i
+            self.rows[i, docs] = weight
+        self.tops = self.rows.reshape(len(self.rows), -1, BLOCK).max(axis=2, initial=0).astype(np.int64)
+        for term, a, w in zip(terms[~dense].tolist(), at[~dense].tolist(), idf[~dense].tolist()):
+            self.sparse[term] = self._weights(a, w)
+
+    def search(self, terms: list[int], k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(doc_id, score) of the k best documents with a score above 0, best first."""
+        rows = np.array([self.row[t] for t in terms if t in self.row], np.int64)
+        rare = [self.sparse[t] for t in terms if t in self.sparse]
+        score = np.zeros(self.blocks * BLOCK, np.int64)
+        if rare:
+            # Integers below 2^53 add up exactly as floats.
+            score = np.bincount(np.concatenate([d for d, _ in rare]), np.concatenate([w for _, w in rare]),
+                                minlength=len(score)).astype(np.int64)
+        score = score.reshape(-1, BLOCK)
+        bound = score.max(axis=1) + self.tops[rows].sum(axis=0)
         order = np.argsort(-bound, kind="stable")
         found = np.zeros((0, 2), np.int64)
-        step, done, floor = max(1, k // BLOCK + 1), 0, 0
+        step, done, floor = 8 * (1 + k // BLOCK), 0, 1
         while done < len(order):
             take = order[done:done + step]
-            take = take[bound[take] >= max(floor, 1)]
+            take = take[bound[take] >= floor]
             if not len(take):
                 break
-            done, step = done + step, step * 4
-            score = self._score(lists, take)
-            docs = (take[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
-            good = np.flatnonzero(score >= max(floor, 1))
+            done, step = done + step, step * 16
+            total = (score[take] + self._dense(rows, take)).reshape(-1)
+            good = np.flatnonzero(total >= floor)
             if len(good):
-                found = np.concatenate([found, np.stack([self.ids[docs[good]], score[good]], axis=1)])
+                docs = take[good // BLOCK] * BLOCK + good % BLOCK
+                found = np.concatenate([found, np.stack([self.ids[docs], total[good]], axis=1)])
                 found = found[np.lexsort((found[:, 0], -found[:, 1]))][:k]
-                floor = found[-1, 1] if len(found) == k else 0
+                floor = max(1, found[-1, 1]) if len(found) == k else 1
         return found[:, 0], found[:, 1]
 
-    def _score(self, lists, take: np.ndarray) -> np.ndarray:
-        """Scores of all documents of some blocks, in the blocks' order."""
-        score = np.zeros((len(take), BLOCK), np.int64)
-        place = np.full(self.blocks, -1, np.int64)
-        place[take] = np.arange(len(take))
-        flat = score.reshape(-1)
-        for docs, weight, best in lists:
-            if docs is None:
-                score += weight.reshape(-1, BLOCK)[take]
-            else:
-                where = place[docs // BLOCK]
-                inside = where >= 0
-                flat[where[inside] * BLOCK + docs[inside] % BLOCK] += weight[inside]
-        return flat
+    def _dense(self, rows: np.ndarray, take: np.ndarray) -> np.ndarray:
+        """Summed weights of the rows in some blocks. A weight is below 2^20, so 2,000 rows fit 32 bits."""
+        kind = np.int32 if len(rows) < 2000 else np.int64
+        if 4 * len(take) < self.blocks:
+            return self.rows.reshape(len(self.rows), -1, BLOCK)[rows[:, None], take].sum(axis=0, dtype=kind)
+        out = np.zeros(self.blocks * BLOCK, kind)
+        for i in rows:
+            out += self.rows[i]
+        return out.reshape(-1, BLOCK)[take]
 
 
 def _blocks(rows, size: int):
@@ -185,7 +196,7 @@ def search(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     def make():
         def work(rows):
-            bags = [list(terms_of(t)) for t in rows["text"]]
+            bags = [terms_of(words_of(t)) for t in rows["text"]]
             return [rows["doc_id"], bags]
 
         return work
@@ -201,7 +212,7 @@ def search(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     spark.createDataFrame([], schema).write.parquet(path)
     for block in _blocks(known.toLocalIterator(prefetchPartitions=True), QUERIES):
         sent = spark.sparkContext.broadcast([
-            (q.query_id, np.array([t.term for t in q.terms]), np.array([t.df for t in q.terms], np.float64)) for q in block])
+            (q.query_id, [t.term for t in q.terms], [t.df for t in q.terms]) for q in block])
         shards.select("terms", "df", "blob").mapInArrow(_searcher(sent, n, mean, k), schema).write.mode("append").parquet(path)
         sent.unpersist()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
@@ -211,11 +222,14 @@ def search(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
 def _searcher(sent, n: int, mean: float, k: int):
     def run(batches):
+        df_of = {t: d for _, terms, dfs in sent.value for t, d in zip(terms, dfs)}
+        wanted, of = np.fromiter(df_of, np.int64, len(df_of)), np.fromiter(df_of.values(), np.float64, len(df_of))
         for batch in batches:
             for i in range(batch.num_rows):
                 terms, df = (batch.column(c)[i].values.to_numpy() for c in (0, 1))
                 shard = Shard(terms, df, batch.column(2)[i].as_py(), mean)
-                found = [(q, *shard.search(wanted, np.log1p((n - of + 0.5) / (of + 0.5)), k)) for q, wanted, of in sent.value]
+                shard.prepare(wanted, of, n)
+                found = [(q, *shard.search(terms, k)) for q, terms, _ in sent.value]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.repeat(np.array([q for q, _, _ in found], np.int64), [len(ids) for _, ids, _ in found])),
                     pa.array(np.concatenate([ids for _, ids, _ in found])), pa.array(np.concatenate([s for _, _, s in found]))],

@@ -249,8 +249,9 @@ def find_repeats(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     keyed = _keyed(documents)
     contexts = _all_contexts(keyed)
-    repeated = (contexts.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi"))
-                .where("n > 1").select("gram", (F.col("lo") != F.col("hi")).alias("several")))
+    # Stored, so that both sides of the join are shuffled for it alone and a very common gram's rows can be split.
+    repeated = materialize(contexts.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi"))
+                .where("n > 1").select("gram", (F.col("lo") != F.col("hi")).alias("several")), "suffix-grams")
     hits = materialize(contexts.join(repeated, "gram"), "suffix-hits")
     open_hits = hits.where("several").drop("several")
     samples = open_hits.groupBy("gram", "context").agg((F.count("*") > 1).alias("known"), F.min(F.struct("id", "place")).alias("at"))
