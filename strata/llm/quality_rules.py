@@ -162,8 +162,8 @@ def cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = 0.02, delta:
     chosen: dict[str, dict[str, float]] = {}
     for stratum, good in good_of.items():
         for rule in RULES:
-            # Cutoff i rejects the documents that are beyond more than i cutoffs of the grid.
-            lost = {kind: [sum(tally[stratum, rule.name, kind, s] for s in range(i + 1, len(rule.grid) + 1))
+            # A document beyond a cutoff is beyond all stricter ones, so cutoff i rejects those beyond len - i or more.
+            lost = {kind: [sum(tally[stratum, rule.name, kind, s] for s in range(len(rule.grid) - i, len(rule.grid) + 1))
                            for i in range(len(rule.grid))] for kind in (True, False)}
             passed = certified(lost[True], good, share, level_of(len(good_of)))
             worth = [lost[False][i] - price * lost[True][i] for i in range(passed)]
