@@ -181,7 +181,7 @@ def test_binomial_guarantee(spark, docs, none):
     judged = quality_rules.filter_documents(texts, labels)
     assert {(r.kept, r.bad) for r in judged.selectExpr("kept", "doc_id % 4 = 0 AS bad").distinct().collect()} == {(True, False), (False, True)}
     no_labels = labels.where("false")
-    assert quality_rules.filter_documents(docs, no_labels).where("kept != NOT base_failed").count() == 0
+    assert quality_rules.filter_documents(docs, no_labels).where("kept = base_failed").count() == 0
     kept = quality_rules.keep_documents(docs, no_labels)
     assert kept.columns == docs.columns and kept.count() == quality_rules.filter_documents(docs, no_labels).where("kept").count()
     assert quality_rules.filter_documents(none, no_labels).count() == 0
