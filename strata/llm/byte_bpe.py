@@ -15,6 +15,7 @@ import functools
 import hashlib
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -24,20 +25,20 @@ from strata.llm.tools import map_rows
 SCHEMA = "doc_id BIGINT, n_tokens BIGINT, ids_sha256 STRING, decoded_sha256 STRING"
 LONG = 128
 #: Distinct words remembered by a worker; the memory is emptied beyond it.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 
 #: Rows with the rank of each adjacent pair (null: none) and the word's lowest.
 PAIRS = """
   SELECT s.w, s.pos, s.tok, s.it + 1 AS it, m.rank, min(m.rank) OVER (PARTITION BY s.w) AS low
   FROM (SELECT w, pos, tok, it, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS nxt FROM {rows}) s
-  LEFT JOIN merges m ON m.pair = s.tok * 65536 + s.nxt"""
+  LEFT JOIN merges m ON m.pair = s.tok::BIGINT * 65536 + s.nxt"""
 
 # A row's `key` orders its pair with the next row by rank, then position; the word's lowest key is contracted.
 SHORT_SQL = """
 WITH RECURSIVE step(w, pos, tok, key, it) AS (
   SELECT l.w, l.pos, l.tok, m.rank * 65536 + l.pos, 0
   FROM (SELECT *, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS nxt FROM letters) l
-  LEFT JOIN merges m ON m.pair = l.tok * 65536 + l.nxt
+  LEFT JOIN merges m ON m.pair = l.tok::BIGINT * 65536 + l.nxt
   UNION ALL
   SELECT s.w, s.pos, s.tok, m.rank * 65536 + s.pos, s.it
   FROM (SELECT w, pos, it + 1 AS it, CASE WHEN key = best THEN best // 65536 ELSE tok END AS tok,
@@ -47,7 +48,7 @@ WITH RECURSIVE step(w, pos, tok, key, it) AS (
                      lead(tok) OVER word AS nxt, lead(tok, 2) OVER word AS nxt2
               FROM step WINDOW word AS (PARTITION BY w ORDER BY pos))
         WHERE best IS NOT NULL AND before IS DISTINCT FROM best) s
-  LEFT JOIN merges m ON m.pair = s.tok * 65536 + s.nxt
+  LEFT JOIN merges m ON m.pair = s.tok::BIGINT * 65536 + s.nxt
 )
 SELECT s.w, s.pos, s.tok FROM step s JOIN (SELECT w, max(it) AS it FROM step GROUP BY w) l ON s.w = l.w AND s.it = l.it"""
 
@@ -108,34 +109,37 @@ class Codec:
             self.db.register("given", rows)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
-        self.byte = [self.ranks[bytes([b])] for b in range(256)]
+        self.byte = np.array([self.ranks[bytes([b])] for b in range(256)])
         self.split = regex.compile(pattern).findall
         self.known: dict[str, tuple[int, str, bytes]] = {}
 
-    def _table(self, name: str, rows: list[tuple[int, int, int]]) -> None:
-        columns = zip(*rows) if rows else ([], [], [])
-        given = pa.table([pa.array(c, pa.int64()) for c in columns], names=["w", "pos", "tok"])
-        self.db.register("given", given)
+    def _table(self, name: str, w: np.ndarray, pos: np.ndarray, tok: np.ndarray) -> None:
+        self.db.register("given", pa.table({"w": w.astype(np.int32), "pos": pos.astype(np.int32), "tok": tok.astype(np.int32)}))
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
+    def _letters(self, at: list[int], raws: list[bytes]) -> None:
+        """One row per byte of the words `at`, in the table letters."""
+        chosen = [raws[w] for w in at]
+        size = np.fromiter(map(len, chosen), np.int64, len(at))
+        ends = np.cumsum(size)
+        self._table("letters", np.repeat(np.array(at), size), np.arange(int(ends[-1])) - np.repeat(ends - size, size),
+                    self.byte[np.frombuffer(b"".join(chosen), np.uint8)])
+
     def learn(self, words: list[str]) -> None:
         """Encode distinct words."""
-        ready, short, long = [], [], []
-        for w, word in enumerate(words):
-            raw = word.encode("utf-8", "replace")
-            if raw in self.ranks:
-                ready.append((w, 0, self.ranks[raw]))
-            else:
-                (short if len(raw) <= LONG else long).extend((w, pos, self.byte[b]) for pos, b in enumerate(raw))
-        self._table("ready", ready)
-        self.db.execute("CREATE OR REPLACE TEMP TABLE merged (w BIGINT, pos BIGINT, tok BIGINT)")
-        for rows, sql in ((short, SHORT_SQL), (long, LONG_SQL)):
-            if rows:
-                self._table("letters", rows)
+        raws = [word.encode("utf-8", "replace") for word in words]
+        whole = [w for w, raw in enumerate(raws) if raw in self.ranks]
+        self._table("ready", np.array(whole, np.int64), np.zeros(len(whole)), np.array([self.ranks[raws[w]] for w in whole], np.int64))
+        self.db.execute("CREATE OR REPLACE TEMP TABLE merged (w INTEGER, pos INTEGER, tok INTEGER)")
+        rest = [w for w, raw in enumerate(raws) if raw not in self.ranks]
+        for at, sql in (([w for w in rest if len(raws[w]) <= LONG], SHORT_SQL), ([w for w in rest if len(raws[w]) > LONG], LONG_SQL)):
+            if at:
+                self._letters(at, raws)
                 self.db.execute(f"INSERT INTO merged {sql}")
-        for w, n, ids, text in self.db.execute(GATHER).fetchall():
-            self.known[words[w]] = (n, ids, bytes.fromhex(text))
+        done = self.db.execute(GATHER).fetchnumpy()
+        self.known.update((words[w], (n, ids, bytes.fromhex(text))) for w, n, ids, text in
+                          zip(done["w"].tolist(), done["n"].tolist(), done["ids"].tolist(), done["hex"].tolist()))
 
     def encode(self, texts: list[str]) -> list[list[tuple[int, str, bytes]]]:
         """Per text, its words' (number of tokens, ids joined by spaces, decoded bytes), in order."""
@@ -173,4 +177,4 @@ def encode_decode(documents: DataFrame, rank_file: str, pattern: str) -> DataFra
 
         return work
 
-    return map_rows(documents, ["doc_id", "text"], SCHEMA, make, rows=512)
+    return map_rows(documents, ["doc_id", "text"], SCHEMA, make, rows=1024)
