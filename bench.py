@@ -16,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 HEADLINE = [
     "top_pages", "loan_clean", "sales_by_city_currency", "sales_facts", "daily_sales_snapshot", "monthly_sales_snapshot",
-    "customers_dim", "cdc_scd1", "cdc_scd2", "stream_cdc_scd1", "snapshot_change_set", "snapshot_scd2", "snapshot_evolve",
+    "customers_dim", "cdc_scd1", "cdc_scd2", "stream_cdc_scd1", "snapshot_change_set", "snapshot_scd2", "oldest_n",
     "c360_join_as_of", "categorized_transactions", "expectation_metrics", "quarantine", "customer_agg",
     "incremental_agg_merge", "time_weighted_average", "resample_gapfill", "tumbling_avg", "stream_file_ingest",
     "stream_dedup", "eventlog_expectations", "lineage_latest", "dash_status_weather", "union_distinct_zero",

@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata import workspace
 
-BUCKETS = 1024
-# A boundary bucket of up to this many rows is sorted; a larger one is cut again.
-SORTED_ROWS = 1_000_000
-
 
 def row_numbers(df: DataFrame, order: list[str], name: str = "row_num") -> DataFrame:
     """Add 1-based positions of the rows sorted by `order`.
@@ -37,62 +30,12 @@ def row_numbers(df: DataFrame, order: list[str], name: str = "row_num") -> DataF
             .drop("_id", "_part", "_place", "_before"))
 
 
-def _to_number(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(name)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(name)
-    return F.col(name)
-
-
-def _from_number(df: DataFrame, name: str, value) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.timestamp_micros(F.lit(value))
-    if isinstance(kind, T.DateType):
-        return F.date_from_unix_date(F.lit(value))
-    return F.lit(value)
-
-
 def first_n(df: DataFrame, order: list[str], n: int) -> DataFrame:
-    """The `n` smallest rows by the number or time columns `order`, where `n` may grow with the table.
+    """The `n` first rows in Spark's ascending order of `order` (nulls first, NaN last); `n` may grow with the table.
 
-    Histograms of at most BUCKETS rows narrow down where the cut falls. All rows below the
-    cut bucket are then a plain filter with literal bounds, which reaches the scan, and
-    only the cut bucket is sorted. `order` should end with a unique column.
+    Rows are numbered by a range sort, so no task sees them all. `order` should end with a unique column.
     """
-    below: list[Column] = []
-    inside = F.lit(True)
-    remaining, columns = n, list(order)
-    while remaining > 0:
-        scope = df.where(inside)
-        position = _to_number(df, columns[0])
-        low, high, rows = scope.agg(F.min(position), F.max(position), F.count(F.lit(1))).first()
-        if rows <= remaining:
-            below.append(inside)
-            remaining = 0
-        elif low == high and len(columns) > 1:
-            columns = columns[1:]
-        elif rows <= SORTED_ROWS or low == high:
-            break
-        else:
-            bucket = F.width_bucket(position.cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(BUCKETS))
-            histogram = (scope.groupBy(bucket.alias("b"))
-                         .agg(F.count(F.lit(1)).alias("n"), F.min(position).alias("low"), F.max(position).alias("high"))
-                         .orderBy("b").collect())
-            passed = 0
-            for cell in histogram:
-                if passed + cell["n"] > remaining:
-                    break
-                passed += cell["n"]
-            column = F.col(columns[0])
-            start = _from_number(df, columns[0], cell["low"])
-            below.append(inside & (column < start))
-            inside = inside & (column >= start) & (column <= _from_number(df, columns[0], cell["high"]))
-            remaining -= passed
-    whole = df.where(reduce(lambda a, b: a | b, below, F.lit(False)))
-    return whole.unionByName(df.where(inside).orderBy(*order).limit(remaining)) if remaining else whole
+    return row_numbers(df, order, "_row").where(F.col("_row") <= n).drop("_row")
 
 
 def zip_rows(left: DataFrame, left_order: list[str], right: DataFrame, right_order: list[str]) -> DataFrame:

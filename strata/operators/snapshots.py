@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from strata import workspace
 from strata.operators.cdc import END, START
-from strata.operators.ranking import first_n
 
 
 def _differs(columns: list[str], left: str, right: str) -> Column:
@@ -18,23 +17,25 @@ def _differs(columns: list[str], left: str, right: str) -> Column:
 
 
 def change_set(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows that turn `before` into `after`, with ``_change`` insert, update or delete."""
+    """Rows that turn `before` into `after`, with ``_change`` insert, update or delete. Null keys equal each other."""
     values = [c for c in after.columns if c not in keys]
     old = before.select(*keys, F.struct(*values).alias("old"))
     new = after.select(*keys, F.struct(*values).alias("new"))
     change = (F.when(F.col("old").isNull(), "insert")
                .when(F.col("new").isNull(), "delete")
                .when(_differs(values, "old", "new"), "update"))
-    return (old.join(new, keys, "full")
+    old, new = old.select(F.struct(*keys).alias("old_key"), "old"), new.select(F.struct(*keys).alias("new_key"), "new")
+    return (old.join(new, F.col("old_key").eqNullSafe(F.col("new_key")), "full")
             .withColumn("_change", change)
             .where("_change IS NOT NULL")
-            .withColumn("row", F.coalesce("new", "old"))
-            .select(*keys, "row.*", "_change"))
+            .select(F.coalesce("new_key", "old_key").alias("key"), F.coalesce("new", "old").alias("row"), "_change")
+            .select("key.*", "row.*", "_change"))
 
 
 def apply_change_set(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """`target` after inserting, updating and deleting by key."""
-    untouched = target.join(changes.select(*keys), keys, "left_anti")
+    same = reduce(lambda a, b: a & b, [target[k].eqNullSafe(F.col(f"_changed.{k}")) for k in keys])
+    untouched = target.join(changes.select(F.struct(*keys).alias("_changed")), same, "left_anti")
     return untouched.unionByName(changes.where("_change <> 'delete'").drop("_change"))
 
 
@@ -108,25 +109,3 @@ def fold_history(first: tuple[DataFrame, object], later: list[tuple[DataFrame, o
         closed.append(step.where(F.col(END).isNotNull()))
         opened = step.where(F.col(END).isNull())
     return reduce(DataFrame.unionByName, closed, opened)
-
-
-def evolve(current: DataFrame, new_rows: DataFrame, key: str, status: str, date: str, now: Column,
-           update_share: float = 0.3, delete_share: float = 0.1) -> DataFrame:
-    """The next snapshot of an order table.
-
-    The oldest pending rows (up to `update_share` of the table) move on to a status given
-    by their key; of the oldest returned rows (up to `delete_share`), those with an odd
-    key are removed; `new_rows` are added.
-    """
-    total = current.count()
-    # Successor status by key modulo 3.
-    successor = (F.when(F.col(key) % 3 == 0, "shipping")
-                  .when(F.col(key) % 3 == 1, "delivered")
-                  .otherwise("cancelled"))
-    updated = (first_n(current.where(F.col(status) == "pending"), [date, key], int(total * update_share))
-               .withColumn(status, successor).withColumn(date, now))
-    removed = (first_n(current.where(F.col(status) == "returned"), [date, key], int(total * delete_share))
-               .where(F.col(key) % 2 != 0))
-    touched = updated.select(key).unionByName(removed.select(key))
-    return (current.join(touched, key, "left_anti")
-            .unionByName(updated).unionByName(new_rows))

@@ -48,17 +48,18 @@ def time_weighted_average(df: DataFrame, keys: list[str], ts: str, value: str, i
 def resample_max(df: DataFrame, key: str, ts: str, value: str, step_seconds: int) -> DataFrame:
     """Maximum per key and time bin, with empty bins between a key's first and last set to 0.
 
-    The bin grid is laid out day by day, so a key with a long life spreads over many rows
-    and tasks instead of one long array.
+    The grid has the bins' origin for any step. It is laid out in stretches of about a day, so a key with a
+    long life spreads over many rows and tasks instead of one long array.
     """
     step = F.lit(step_seconds)
     binned = df.select(key, (F.floor(F.unix_seconds(ts) / step) * step).alias("bin"), F.col(value).alias("_v"))
     bins = binned.groupBy(key, "bin").agg(F.max("_v").alias("_max"))
-    day = F.lit(86_400)
-    spans = binned.groupBy(key).agg(F.min("bin").alias("_low"), F.max("bin").alias("_high"))
+    in_stretch = max(1, 86_400 // step_seconds)
+    day = F.lit(in_stretch * step_seconds)
+    spans = bins.groupBy(key).agg(F.min("bin").alias("_low"), F.max("bin").alias("_high"))
     days = spans.select(key, "_low", "_high", F.explode(F.sequence(
         F.floor(F.col("_low") / day), F.floor(F.col("_high") / day))).alias("_day"))
-    in_day = F.sequence(F.lit(0).cast("bigint"), F.lit(86_400 // step_seconds - 1).cast("bigint"))
+    in_day = F.sequence(F.lit(0).cast("bigint"), F.lit(in_stretch - 1).cast("bigint"))
     grid = (days.repartition(key, "_day")
             .select(key, "_low", "_high", "_day", F.explode(in_day).alias("_i"))
             .select(key, "_low", "_high", (F.col("_day") * day + F.col("_i") * step).alias("bin"))

@@ -1,11 +1,11 @@
-"""Data-quality counters, grouped and global aggregates, incremental refresh, synthetic columns."""
+"""Data-quality counters, grouped and global aggregates, incremental refresh."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions import clean, synth
+from strata.functions import clean
 from strata.operators import aggregates, quality, timeseries
 from strata.plans.registry import query
 from strata.streaming import changes, runner
@@ -171,22 +171,3 @@ def magnitude(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT quality AS label, COUNT(*) AS n, COUNT(*) / SUM(COUNT(*)) OVER () AS share FROM labels GROUP BY quality")
 def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.shares(table(spark, sf_dir, "labels").select(F.col("quality").alias("label")), "label")
-
-
-@query()
-def synth_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Synthetic payment and contact columns for every event id; the same on every run."""
-    key = F.col("event_id")
-    # Payment instruments and change operations with their weights.
-    instruments = ["paypal", "Visa", "Mastercard", "American Express", "discover", "branded visa", "branded mastercard"]
-    operations = [("APPEND", 0.5), ("DELETE", 0.1), ("UPDATE", 0.3), (None, 0.01)]
-    name = F.initcap(F.concat_ws(" ", synth.word(key, 1, 6), synth.word(key, 2, 8)))
-    slot = F.least(F.greatest(F.round(synth.normal(key, 5, 4.0, 1.5)), F.lit(1)), F.lit(len(instruments))).cast("int")
-    return table(spark, sf_dir, "events").select(
-        synth.identifier(key, 11).alias("id"), synth.maybe_null(name, key, 3, 0.01).alias("name"),
-        F.element_at(F.array(*[F.lit(i) for i in instruments]), slot).alias("payment_instrument_type"),
-        synth.uniform(key, 7, 1, 9999).cast("float").alias("amount"),
-        F.concat(synth.word(key, 12), F.lit("@"), synth.word(key, 13, 6), F.lit(".com")).alias("email"),
-        F.concat_ws(".", *[F.floor(synth.uniform(key, 20 + i, 0, 256)).cast("string") for i in range(4)]).alias("ip_address"),
-        synth.choice(key, 8, operations).alias("operation"),
-        synth.time_between(key, 9, "2023-01-01 00:00:00", "2023-12-31 23:59:59").alias("created_ts"))

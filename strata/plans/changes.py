@@ -224,22 +224,12 @@ def _status_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", words.alias("status"), "o_orderdate")
 
 
-@query("""WITH o AS (SELECT o_orderkey, o_orderdate, CASE o_orderstatus WHEN 'P' THEN 'pending' WHEN 'F' THEN 'returned'
-                       ELSE 'delivered' END AS status, COUNT(*) OVER () AS total FROM orders),
-               r AS (SELECT *, row_number() OVER (PARTITION BY status ORDER BY o_orderdate, o_orderkey) AS place FROM o),
-               m AS (SELECT *, status = 'pending' AND place <= floor(total * 0.3) AS moves,
-                            status = 'returned' AND place <= floor(total * 0.1) AND o_orderkey % 2 <> 0 AS leaves FROM r)
-          SELECT o_orderkey, CASE WHEN NOT moves THEN status WHEN o_orderkey % 3 = 0 THEN 'shipping'
-                   WHEN o_orderkey % 3 = 1 THEN 'delivered' ELSE 'cancelled' END AS status,
-                 CASE WHEN moves THEN '2002-01-01' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS order_date
-          FROM m WHERE NOT leaves
-          UNION ALL SELECT 10000000000 + p_partkey, 'pending', '2002-01-01' FROM part""")
-def snapshot_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    now = F.lit("2002-01-01").cast("timestamp")
-    fresh = table(spark, sf_dir, "part").select((F.col("p_partkey") + F.lit(10_000_000_000)).alias("o_orderkey"),
-                                                F.lit("pending").alias("status"), now.alias("o_orderdate"))
-    evolved = snapshots.evolve(_status_words(spark, sf_dir), fresh, "o_orderkey", "status", "o_orderdate", now)
-    return evolved.select("o_orderkey", "status", F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"))
+@query("""SELECT o_orderkey FROM orders
+          ORDER BY CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END NULLS FIRST, o_orderkey
+          LIMIT (SELECT COUNT(*) * 3 // 10 FROM orders)""")
+def oldest_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderdate")).alias("at"))
+    return ranking.first_n(orders, ["at", "o_orderkey"], orders.count() * 3 // 10).select("o_orderkey")
 
 
 @query("""SELECT o_orderkey, event_id FROM

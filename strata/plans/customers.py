@@ -95,11 +95,11 @@ def c360_join_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_TX_SQL} SELECT event_type AS title, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amt_by_title
-           FROM tx LEFT JOIN history ON user_id = customer_id AND end_ts IS NULL GROUP BY 1 ORDER BY 1 LIMIT 1000""")
+           FROM tx LEFT JOIN history ON user_id = customer_id AND end_ts IS NULL GROUP BY 1 ORDER BY 1""")
 def amount_by_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (current_360(spark, sf_dir).groupBy(F.col("event_type").alias("title"))
             .agg(F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("total_amt_by_title"))
-            .orderBy("title").limit(1000))
+            .orderBy("title"))
 
 
 @query(f"""WITH {_TX_SQL} SELECT event_type AS title, category, CAST(SUM(item_count) AS DOUBLE) / COUNT(*) AS avg_items

@@ -50,8 +50,11 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rows, held = [], 0
             try:
                 for i, body in enumerate(_members(file.content)):
-                    rows.append((file.path, file.modificationTime, file.length, f"{stem}{i}",
-                                 body.decode("utf-8", "replace"), None))
+                    try:
+                        text, problem = body.decode(), None
+                    except UnicodeDecodeError as failure:
+                        text, problem = None, repr(failure)
+                    rows.append((file.path, file.modificationTime, file.length, f"{stem}{i}", text, problem))
                     held += len(body)
                     if held >= PORTION_BYTES:
                         yield pd.DataFrame(rows, columns=columns)
@@ -63,7 +66,8 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def unpack_archives(files: DataFrame) -> DataFrame:
-    """One row per member of every tar.gz; an unreadable archive gives one row with ``error`` set.
+    """One row per member of every tar.gz; an unreadable archive gives one row with ``error``
+    set, a member that is no UTF-8 text a row with ``error`` and without body.
 
     Archives are independent rows, so Spark spreads them over the cluster. How many a task
     holds at once is bounded by ``spark.sql.execution.arrow.maxBytesPerBatch``.

@@ -8,21 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata import workspace
 
 RESCUED = "_rescued_data"
 
 
-def sample_schema(spark: SparkSession, path: str, fmt: str, hints: str | None = None, sample_files: int = 3,
-                  **options) -> T.StructType:
-    """Infer a schema once from the first few files; `hints` is DDL that overrides or adds columns.
+def sample_schema(spark: SparkSession, path: str, fmt: str, hints: str | None = None, **options) -> T.StructType:
+    """Infer a schema from all files present; `hints` is DDL that overrides or adds columns.
 
-    Pass the result to `read` or `stream`, so that inference never runs over the full input.
+    Pass the result to `read` or `stream`, so that inference runs once.
     """
     reader = spark.read.format(fmt).options(**options)
     if fmt == "csv":
         reader = reader.option("inferSchema", True)
-    inferred = reader.load(workspace.some_files(spark, path, sample_files)).schema
+    inferred = reader.load(path).schema
     if hints is None:
         return inferred
     fixed = {f.name: f for f in T.StructType.fromDDL(hints)}

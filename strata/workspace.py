@@ -6,7 +6,6 @@ local disk in tests and on an object store or HDFS on a cluster.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,23 +22,15 @@ def _file_system(spark: SparkSession, path: str):
 def root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a temporary folder: on a cluster
-    a machine-local folder would be lost with its machine.
+    Without that setting it is a folder of the session's warehouse, which all executors reach, too.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    fallback = tempfile.mkdtemp(prefix="strata-")
-    spark.conf.set("spark.strata.localWorkspace", fallback)
-    return fallback
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work").rstrip("/")
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
     """A fresh, not yet existing folder path under the shared root."""
-    base = spark.conf.get("spark.strata.localWorkspace", None) or root(spark)
-    return f"{base}/strata/{label}-{uuid.uuid4().hex}"
+    return f"{root(spark)}/strata/{label}-{uuid.uuid4().hex}"
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata import workspace
-from strata.operators import ranking
 from strata.plans import QUERIES
 from strata.tables import table
 
@@ -39,12 +38,6 @@ def test_top_k_does_not_sort_everything(spark, sf_dir):
         assert "TakeOrderedAndProject" in plan_of(QUERIES[name](spark, sf_dir))
 
 
-def test_oldest_n_is_a_filter_on_the_scan(spark, sf_dir, monkeypatch):
-    monkeypatch.setattr(ranking, "SORTED_ROWS", 10)
-    plan = plan_of(ranking.first_n(table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"], 400))
-    assert "LessThan(o_orderdate" in plan
-
-
 def test_the_newest_value_reaches_the_scan(spark, sf_dir):
     plan = plan_of(QUERIES["eventlog_latest_cluster"](spark, sf_dir))
     assert "Subquery" in plan and "Join" not in plan

@@ -52,19 +52,3 @@ def test_folders_by_hour(spark, rows):
     assert folders.next_snapshot(spark, root, "2024-01-02 00", skip_gaps=True)[1] == "2024-01-02 02"
     assert [v for _, v in folders.series(spark, root)] == ["2024-01-01 22", "2024-01-01 23", "2024-01-02 00"]
     assert folders.latest(spark, workspace.new_dir(spark, "none")) is None
-
-
-def test_evolve(spark, rows):
-    orders = spark.createDataFrame(
-        [(i, "pending" if i % 2 else "returned", f"2024-01-{i:02d}") for i in range(1, 21)], "id INT, status STRING, d STRING")
-    orders = orders.withColumn("d", F.col("d").cast("timestamp"))
-    now = F.lit("2025-01-01").cast("timestamp")
-    fresh = spark.createDataFrame([(99, "pending")], "id INT, status STRING").withColumn("d", now)
-    moved = snapshots.evolve(orders, fresh, "id", "status", "d", now)
-    # 30 % of 20 rows: the 6 oldest pending ones; returned rows all have even keys, so none leaves.
-    assert moved.count() == 21
-    assert rows(moved.where("d = TIMESTAMP '2025-01-01' AND id < 99").select("id", "status")) == sorted(
-        [(1, "delivered"), (3, "shipping"), (5, "cancelled"), (7, "delivered"), (9, "shipping"), (11, "cancelled")], key=str)
-    odd = orders.withColumn("status", F.lit("returned"))
-    left = snapshots.evolve(odd, fresh, "id", "status", "d", now)
-    assert {1} == {r.id for r in odd.collect()} - {r.id for r in left.collect()}

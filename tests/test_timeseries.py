@@ -47,3 +47,15 @@ def test_latest_per_key_keeps_ties(spark, rows):
     data = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("a", 2, 3), ("b", 9, 4)], "k STRING, s INT, n INT")
     assert rows(timeseries.latest_per_key(data, ["k"], "s").select("n")) == [(2,), (3,), (4,)]
     assert rows(timeseries.latest_per_key(data, ["k"], "s", F.col("s") < 2).select("n")) == [(1,)]
+
+
+@pytest.mark.parametrize("step", [1, 7, 21_600, 100_000])
+def test_resample_at_any_step(spark, step):
+    start = 1_700_000_123
+    at = [start + i * step // 2 for i in (0, 1, 2, 9, 10, 30)]
+    readings = spark.createDataFrame([("k", s, float(i + 1)) for i, s in enumerate(at)], "k STRING, s BIGINT, v DOUBLE")
+    readings = readings.withColumn("ts", F.timestamp_seconds("s"))
+    expected = {b: 0.0 for b in range(at[0] // step * step, at[-1] + 1, step)}
+    for i, s in enumerate(at):
+        expected[s // step * step] = max(expected[s // step * step], i + 1.0)
+    assert {r.bin: r.value for r in timeseries.resample_max(readings, "k", "ts", "v", step).collect()} == expected
