@@ -24,7 +24,7 @@ SCHEMA = ("doc_id BIGINT, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc_tok
           "sequence_id BIGINT, offset BIGINT")
 #: ASCII white space separates pre-tokens in the tokenizer, so chunks between it can be encoded on their own.
 CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
-REMEMBERED = 800_000
+REMEMBERED = 1_500_000
 
 
 class Encoder:
