@@ -10,10 +10,14 @@ end and cut at window ends; the last rest of a partition is cut into powers of t
 from __future__ import annotations
 
 import functools
+import itertools
+import json
 import re
 import zlib
+from collections import defaultdict
 
 import numpy as np
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -22,13 +26,46 @@ from strata.llm.tools import slices
 
 SCHEMA = ("doc_id BIGINT, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc_tokens BIGINT, "
           "sequence_id BIGINT, offset BIGINT")
-#: ASCII white space separates pre-tokens in the tokenizer, so chunks between it can be encoded on their own.
-CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
+#: Chunks and pieces remembered by a worker; the memory is emptied beyond it.
 REMEMBERED = 1_500_000
+#: Characters that are composed already, are no white space and have a lower case of their own. Added tokens need others.
+LATIN = re.compile(r"[\x21-\x3b\x3d-\x7e\xa1-\u012f\u0131-\u024f]+").fullmatch
+
+
+class Memory:
+    """Numbers strings as they come, and holds their ids, one after the other."""
+
+    def __init__(self):
+        self.numbers: dict = defaultdict(itertools.count().__next__)
+        self.flat, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def of(self, keys: list) -> np.ndarray:
+        return np.fromiter(map(self.numbers.__getitem__, keys), np.int64, len(keys))
+
+    def fresh(self) -> list:
+        """Numbered strings without ids, in order."""
+        return list(itertools.islice(reversed(self.numbers), len(self.numbers) - len(self.size)))[::-1]
+
+    def add(self, row: np.ndarray, size: np.ndarray, order: np.ndarray | slice = slice(None)) -> None:
+        """Ids of the strings without, in the order given: the i-th of `size` belongs to string `order[i]`."""
+        start, sizes = np.empty_like(size), np.empty_like(size)
+        start[order], sizes[order] = len(self.flat) + np.cumsum(size) - size, size
+        self.start, self.size, self.flat = np.r_[self.start, start], np.r_[self.size, sizes], np.r_[self.flat, row]
+
+    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of strings `at` in a row, and how many each has."""
+        size = self.size[at]
+        ends = np.cumsum(size)
+        step = np.arange(int(ends[-1]) if len(ends) else 0)
+        return self.flat[step + np.repeat(self.start[at] - ends + size, size)], size
 
 
 class Encoder:
-    """Ids of texts, remembering the ids of distinct chunks."""
+    """Ids of texts. White space separates pre-tokens, so chunks between it are encoded once and remembered.
+
+    A new chunk of Latin letters is lower-cased and cut by the tokenizer's own pattern first, where the tokenizer does so:
+    its pieces are far fewer, and pass the rest of the tokenizer without the normalizer. Other chunks take all of it.
+    """
 
     def __init__(self, file: str):
         self.tokenizer = Tokenizer.from_file(file)
@@ -38,13 +75,31 @@ class Encoder:
                        if not (t.normalized or t.single_word or t.lstrip or t.rstrip))
         self.mark_id = added[0] if added else None
         self.mark = self.tokenizer.id_to_token(added[0]) if added else None
+        self.cut, self.rest = self._finer(json.loads(self.tokenizer.to_str()))
         self._forget()
 
-    def _forget(self):
-        self.number: dict[str, int] = {}
-        self.flat, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def _finer(spec: dict):
+        """The pattern of the pre-tokens and a tokenizer for what it finds; None for tokenizers built otherwise."""
+        normal = (spec["normalizer"] or {}).get("normalizers", [])
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        split = steps[0] if steps else {}
+        if ([n["type"] for n in normal] != ["NFC", "Replace", "Lowercase"] or normal[1]["pattern"] != {"Regex": r"\s+"}
+                or split.get("type") != "Split" or split["behavior"] != "Removed" or not split["invert"]
+                or any("<" not in t["content"] for t in spec["added_tokens"])):
+            return None, None
+        rest = spec | {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": steps[1:]}}
+        return regex.compile(split["pattern"]["Regex"] + r"|\n").findall, Tokenizer.from_str(json.dumps(rest))
+
+    def _forget(self, beyond: int = -1):
+        if beyond < 0 or len(self.chunks.size) > beyond:
+            self.chunks = Memory()
+        if beyond < 0 or len(self.pieces.size) > beyond:
+            self.pieces = Memory()
+            self.pieces.of(["\n"])
+            self.pieces.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
+
+    def _ids(self, tokenizer: Tokenizer, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each chunk has.
 
         An added token of the vocabulary splits a text before anything else happens to it, so chunks with it
@@ -52,36 +107,42 @@ class Encoder:
         """
         plain = self.mark is not None and not any(self.mark in c for c in chunks)
         texts = [self.mark.join(chunks)] if plain else chunks
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         if not plain:
             return np.fromiter((i for x in ids for i in x), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
         row = np.array(ids[0], np.uint32)
         marks = np.flatnonzero(row == self.mark_id)
         return np.delete(row, marks), np.diff(np.r_[-1, marks, len(row)]) - 1
 
-    def _learn(self, chunks: list[str]):
-        row, size = self._ids(chunks)
-        self.start = np.r_[self.start, len(self.flat) + np.cumsum(size) - size]
-        self.size = np.r_[self.size, size]
-        self.flat = np.r_[self.flat, row]
-        self.number.update(zip(chunks, range(len(self.number), len(self.number) + len(chunks))))
+    def _learn(self, fresh: list[str]) -> None:
+        """Ids of new chunks: those of their pieces, or, for a chunk that is not cut, its own."""
+        latin = [self.cut is not None and LATIN(c) is not None for c in fresh]
+        found = self.cut("\n".join(itertools.compress(fresh, latin)).lower()) if any(latin) else []
+        at = self.pieces.of(found)
+        new = self.pieces.fresh()
+        if new:
+            self.pieces.add(*self._ids(self.rest, new))
+        row, size = self.pieces.gather(at)
+        # A line end between two chunks has no ids; sums up to each give the chunks' sizes.
+        ends = np.flatnonzero(np.r_[at == self.pieces.numbers["\n"], True]) if any(latin) else np.zeros(0, np.int64)
+        sizes = np.diff(np.r_[0, np.r_[0, np.cumsum(size)][ends]])
+        whole = [c for c, cut in zip(fresh, latin) if not cut]
+        order = np.argsort(~np.array(latin), kind="stable")
+        if whole:
+            more, lengths = self._ids(self.tokenizer, whole)
+            row, sizes = np.r_[row, more], np.r_[sizes, lengths]
+        self.chunks.add(row, sizes, order)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        chunks = [CHUNK.findall(t) for t in texts]
-        fresh = list(dict.fromkeys(c for group in chunks for c in group if c not in self.number))
-        if len(self.number) + len(fresh) > REMEMBERED:
-            self._forget()
-            fresh = list(dict.fromkeys(c for group in chunks for c in group))
+        self._forget(REMEMBERED)
+        groups = [t.encode().split() for t in texts]  # bytes are split at the six ASCII characters only
+        at = self.chunks.of([c for group in groups for c in group])
+        fresh = self.chunks.fresh()
         if fresh:
-            self._learn(fresh)
-        out = []
-        for group in chunks:
-            at = np.fromiter(map(self.number.__getitem__, group), np.int64, len(group))
-            size = self.size[at]
-            ends = np.cumsum(size)
-            step = np.arange(int(ends[-1]) if len(ends) else 0)
-            out.append(self.flat[step + np.repeat(self.start[at] - ends + size, size)])
-        return out
+            self._learn([c.decode() for c in fresh])
+        row, size = self.chunks.gather(at)
+        ends = np.r_[0, np.cumsum(size)][np.cumsum([len(group) for group in groups])]
+        return np.split(row, ends[:-1])
 
 
 @functools.lru_cache(maxsize=1)
