@@ -210,6 +210,21 @@ def test_packing(docs, none):
     assert packing.pack(none, tokens_at.path("word_bpe_49k.json")).count() == 0
 
 
+def test_packing_encoder_equals_the_library(monkeypatch):
+    file = tokens_at.path("word_bpe_49k.json")
+    encoder, library = packing.Encoder(file), Tokenizer.from_file(file)
+    assert encoder.cut is not None
+    r = random.Random(5)
+    letters = [chr(i) for i in range(1, 0x260)] + list("\'\'\'ssttrvemld ") * 10 + ["\u0301", "\u030c", "\u0307", "<|", "|>", "\n"]
+    texts = ["", "dog's DON'T it'LL'S", "<|endoftext|> a<|startoftext|>b <|ENDOFTEXT|>", "J\u030c \u0130stanbul \u03a3\u03a3 \u1e9e",
+             "\xa0x\x85y\x1cz a\u3000b", "\u65e5\u672c\u8a9e \ud55c\uad6d\uc5b4", "x" * 5000, " \n\n "]
+    texts += ["".join(r.choices(letters, k=r.randint(1, 40))) for _ in range(3000)]
+    wanted = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == wanted
+    monkeypatch.setattr(packing, "REMEMBERED", 100)
+    assert [ids.tolist() for i in range(0, len(texts), 64) for ids in encoder.encode(texts[i:i + 64])] == wanted
+
+
 def test_sum_of_squares_choice_and_flush():
     r, packer = random.Random(2), packing.Packer(64, 20, 0)
     for doc in range(3000):
