@@ -25,7 +25,7 @@ from strata.llm.tools import map_rows
 SCHEMA = "doc_id BIGINT, n_tokens BIGINT, ids_sha256 STRING, decoded_sha256 STRING"
 LONG = 128
 #: Distinct words remembered by a worker; the memory is emptied beyond it.
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
 
 #: Rows with the rank of each adjacent pair (null: none) and the word's lowest.
 PAIRS = """
