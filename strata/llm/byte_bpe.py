@@ -24,6 +24,8 @@ from strata.llm.tools import map_rows
 
 SCHEMA = "doc_id BIGINT, n_tokens BIGINT, ids_sha256 STRING, decoded_sha256 STRING"
 LONG = 128
+#: Characters of new words in one run of the recursive query; a longer word runs alone.
+BLOCK = 1 << 20
 #: Distinct words remembered by a worker; the memory is emptied beyond it.
 REMEMBERED = 1_200_000
 
@@ -144,12 +146,16 @@ class Codec:
     def encode(self, texts: list[str]) -> list[list[tuple[int, str, bytes]]]:
         """Per text, its words' (number of tokens, ids joined by spaces, decoded bytes), in order."""
         words = [self.split(t) for t in texts]
-        fresh = list(dict.fromkeys(w for group in words for w in group if w not in self.known))
+        distinct = set().union(*words)
+        fresh = distinct.difference(self.known)
         if len(self.known) + len(fresh) > REMEMBERED:
             self.known.clear()
-            fresh = list(dict.fromkeys(w for group in words for w in group))
-        if fresh:
-            self.learn(fresh)
+            fresh = distinct
+        fresh = list(fresh)
+        block = np.cumsum(np.fromiter(map(len, fresh), np.int64, len(fresh))) // BLOCK
+        cuts = np.flatnonzero(np.diff(block, prepend=-1, append=-1)) if fresh else []
+        for start, end in zip(cuts[:-1], cuts[1:]):
+            self.learn(fresh[start:end])
         return [list(map(self.known.__getitem__, group)) for group in words]
 
 
@@ -171,10 +177,11 @@ def encode_decode(documents: DataFrame, rank_file: str, pattern: str) -> DataFra
 
         def work(rows):
             done = encode([t or "" for t in rows["text"]])
-            return [rows["doc_id"], [sum(n for n, _, _ in words) for words in done],
-                    [hashlib.sha256(" ".join([ids for _, ids, _ in words]).encode()).hexdigest() for words in done],
-                    [hashlib.sha256(b"".join([raw for _, _, raw in words])).hexdigest() for words in done]]
+            columns = [list(zip(*words)) or [(), (), ()] for words in done]
+            return [rows["doc_id"], [sum(n) for n, _, _ in columns],
+                    [hashlib.sha256(" ".join(ids).encode()).hexdigest() for _, ids, _ in columns],
+                    [hashlib.sha256(b"".join(raw)).hexdigest() for _, _, raw in columns]]
 
         return work
 
-    return map_rows(documents, ["doc_id", "text"], SCHEMA, make, rows=1024)
+    return map_rows(documents, ["doc_id", "text"], SCHEMA, make, rows=3072)
