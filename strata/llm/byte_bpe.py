@@ -33,22 +33,26 @@ PAIRS = """
   FROM (SELECT w, pos, tok, it, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS nxt FROM {rows}) s
   LEFT JOIN merges m ON m.pair = s.tok::BIGINT * 65536 + s.nxt"""
 
-# A row's `key` orders its pair with the next row by rank, then position; the word's lowest key is contracted.
+# A row's `key` orders its pair with the next row (`npos`, `ntok`) by rank, then position; the word's lowest key is
+# contracted: that row takes the merged token and the place after its pair, the pair's second row goes.
 SHORT_SQL = """
-WITH RECURSIVE step(w, pos, tok, key, it) AS (
-  SELECT l.w, l.pos, l.tok, m.rank * 65536 + l.pos, 0
-  FROM (SELECT *, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS nxt FROM letters) l
-  LEFT JOIN merges m ON m.pair = l.tok::BIGINT * 65536 + l.nxt
+WITH RECURSIVE step(w, pos, tok, npos, ntok, key, it) AS (
+  SELECT l.w, l.pos, l.tok, l.npos, l.ntok, m.rank * 65536 + l.pos, 0
+  FROM (SELECT *, lead(pos) OVER word AS npos, lead(tok) OVER word AS ntok
+        FROM letters WINDOW word AS (PARTITION BY w ORDER BY pos)) l
+  LEFT JOIN merges m ON m.pair = l.tok::BIGINT * 65536 + l.ntok
   UNION ALL
-  SELECT s.w, s.pos, s.tok, m.rank * 65536 + s.pos, s.it
-  FROM (SELECT w, pos, it + 1 AS it, CASE WHEN key = best THEN best // 65536 ELSE tok END AS tok,
-               CASE WHEN key = best THEN nxt2 WHEN nxt_key = best THEN best // 65536 ELSE nxt END AS nxt
-        FROM (SELECT *, min(key) OVER (word ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS best,
-                     lag(key) OVER word AS before, lead(key) OVER word AS nxt_key,
-                     lead(tok) OVER word AS nxt, lead(tok, 2) OVER word AS nxt2
-              FROM step WINDOW word AS (PARTITION BY w ORDER BY pos))
-        WHERE best IS NOT NULL AND before IS DISTINCT FROM best) s
-  LEFT JOIN merges m ON m.pair = s.tok::BIGINT * 65536 + s.nxt
+  SELECT s.w, s.pos, s.tok, s.npos, s.ntok, m.rank * 65536 + s.pos, s.it
+  FROM (SELECT r.w, r.pos, r.it + 1 AS it,
+               CASE WHEN r.key = b.best THEN b.best // 65536 ELSE r.tok END AS tok,
+               CASE WHEN r.key = b.best THEN b.npos ELSE r.npos END AS npos,
+               CASE WHEN r.key = b.best THEN b.ntok WHEN r.npos = b.best % 65536 THEN b.best // 65536 ELSE r.ntok END AS ntok
+        FROM step r
+        JOIN (SELECT l.w, l.best, l.gone, g.npos, g.ntok
+              FROM (SELECT w, min(key) AS best, arg_min(npos, key) AS gone FROM step WHERE key IS NOT NULL GROUP BY w) l
+              JOIN step g ON g.w = l.w AND g.pos = l.gone) b ON b.w = r.w
+        WHERE r.pos <> b.gone) s
+  LEFT JOIN merges m ON m.pair = s.tok::BIGINT * 65536 + s.ntok
 )
 SELECT s.w, s.pos, s.tok FROM step s JOIN (SELECT w, max(it) AS it FROM step GROUP BY w) l ON s.w = l.w AND s.it = l.it"""
 
@@ -79,10 +83,11 @@ WITH RECURSIVE step(w, pos, tok, it) AS (
 SELECT w, pos, tok FROM step
 QUALIFY it = max(it) OVER (PARTITION BY w)"""
 
+# A word's ids and the bytes they stand for, in order: id:bytes id:bytes ...
 GATHER = """
-SELECT w, count(*) AS n, string_agg(tok::VARCHAR, ' ' ORDER BY pos) AS ids, string_agg(v.hex, '' ORDER BY pos) AS hex
+SELECT t.w, string_agg(t.tok::VARCHAR || ':' || v.hex, ' ' ORDER BY t.pos) AS tokens
 FROM (SELECT w, pos, tok FROM ready UNION ALL SELECT * FROM merged) t JOIN vocabulary v ON v.id = t.tok
-GROUP BY w"""
+GROUP BY t.w"""
 
 
 class Codec:
@@ -138,19 +143,25 @@ class Codec:
                 self._letters(at, raws)
                 self.db.execute(f"INSERT INTO merged {sql}")
         done = self.db.execute(GATHER).fetchnumpy()
-        self.known.update((words[w], (n, ids, bytes.fromhex(text))) for w, n, ids, text in
-                          zip(done["w"].tolist(), done["n"].tolist(), done["ids"].tolist(), done["hex"].tolist()))
+        for w, tokens in zip(done["w"].tolist(), done["tokens"].tolist()):
+            parts = tokens.replace(":", " ").split(" ")
+            self.known[words[w]] = len(parts) // 2, " ".join(parts[::2]), bytes.fromhex("".join(parts[1::2]))
 
-    def encode(self, texts: list[str]) -> list[list[tuple[int, str, bytes]]]:
-        """Per text, its words' (number of tokens, ids joined by spaces, decoded bytes), in order."""
+    def encode(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
+        """Per text, the number of tokens, its ids joined by spaces, and the decoded bytes."""
         words = [self.split(t) for t in texts]
-        fresh = list(dict.fromkeys(w for group in words for w in group if w not in self.known))
+        distinct = set().union(*words)
+        fresh = distinct.difference(self.known)
         if len(self.known) + len(fresh) > REMEMBERED:
             self.known.clear()
-            fresh = list(dict.fromkeys(w for group in words for w in group))
+            fresh = distinct
         if fresh:
-            self.learn(fresh)
-        return [list(map(self.known.__getitem__, group)) for group in words]
+            self.learn(list(fresh))
+        out = []
+        for group in words:
+            counts, ids, raws = zip(*map(self.known.__getitem__, group)) if group else ((), (), ())
+            out.append((sum(counts), " ".join(ids), b"".join(raws)))
+        return out
 
 
 @functools.lru_cache(maxsize=1)
@@ -171,9 +182,8 @@ def encode_decode(documents: DataFrame, rank_file: str, pattern: str) -> DataFra
 
         def work(rows):
             done = encode([t or "" for t in rows["text"]])
-            return [rows["doc_id"], [sum(n for n, _, _ in words) for words in done],
-                    [hashlib.sha256(" ".join([ids for _, ids, _ in words]).encode()).hexdigest() for words in done],
-                    [hashlib.sha256(b"".join([raw for _, _, raw in words])).hexdigest() for words in done]]
+            return [rows["doc_id"], [n for n, _, _ in done], [hashlib.sha256(ids.encode()).hexdigest() for _, ids, _ in done],
+                    [hashlib.sha256(raw).hexdigest() for _, _, raw in done]]
 
         return work
 
