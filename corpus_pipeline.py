@@ -35,7 +35,8 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in windows of 2048 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # Workers outlive a stage, so what packing remembers is taken from the memory of others.
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=300_000)
 
 
 STAGES = [("quality_rules", quality_stage), ("line_dedup", line_stage), ("jaccard_join", near_duplicate_stage),

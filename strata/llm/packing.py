@@ -67,7 +67,8 @@ class Encoder:
     its pieces are far fewer, and pass the rest of the tokenizer without the normalizer. Other chunks take all of it.
     """
 
-    def __init__(self, file: str):
+    def __init__(self, file: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -134,7 +135,7 @@ class Encoder:
         self.chunks.add(row, sizes, order)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        self._forget(REMEMBERED)
+        self._forget(self.remembered)
         groups = [t.encode().split() for t in texts]  # bytes are split at the six ASCII characters only
         at = self.chunks.of([c for group in groups for c in group])
         fresh = self.chunks.fresh()
@@ -146,9 +147,9 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=1)
-def encoder(file: str) -> Encoder:
+def encoder(file: str, remembered: int) -> Encoder:
     """One encoder per Python worker, so that tasks share what it remembers."""
-    return Encoder(file)
+    return Encoder(file, remembered)
 
 
 class Packer:
@@ -228,12 +229,14 @@ class Packer:
         self._cut_open(last=True)
 
 
-def pack(documents: DataFrame, tokenizer_file: str, window: int = 2048, end_id: int = 1, max_open: int = 4096) -> DataFrame:
+def pack(documents: DataFrame, tokenizer_file: str, window: int = 2048, end_id: int = 1, max_open: int = 4096,
+         remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is the ids of its whole text and `end_id`; a null or empty text is `end_id` alone. Repeated
     rows and equal ids are packed one by one, other columns are ignored, an empty table gives no rows. At most
-    `max_open` windows are held per task.
+    `max_open` windows are held per task. A worker keeps the ids of up to `remembered` chunks between its tasks;
+    with fewer it needs less memory and encodes some chunks again.
     """
     import pyarrow as pa
 
@@ -241,7 +244,7 @@ def pack(documents: DataFrame, tokenizer_file: str, window: int = 2048, end_id:
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
     def run(batches):
-        encode = encoder(tokenizer_file).encode
+        encode = encoder(tokenizer_file, remembered).encode
         packer = Packer(window, max_open, TaskContext.get().partitionId() << 40)
 
         def rows():
