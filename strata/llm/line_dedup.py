@@ -4,6 +4,9 @@ A rolling hash over the hashes of three consecutive lines decides where a chunk
 with the text and not with its position: an inserted line changes the chunks around it, not those after it.
 Chunks of two or more lines with content that occur more than once anywhere are compared byte by byte - they
 are grouped by hash and text - and all but the first occurrence (lowest doc_id, then position) are removed.
+
+`remove_repeats` follows the published SQL, which has no shortest chunk. `drop_repeats`, the pipeline's stage, lets a
+boundary count only once the chunk has two lines with content, and marks one place in two: fewer repeats are lost.
 """
 
 from __future__ import annotations
@@ -13,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Lines in the rolling window, and the leading hex digits of its hash that end a chunk: one place in four.
 WINDOW, MARKS = 2, ("0", "4", "8", "c")
+#: The same for `drop_repeats`, one place in two, and the lines with content that a chunk has before it can end.
+DENSE_MARKS, LEAST = ("0", "2", "4", "6", "8", "a", "c", "e"), 2
 
 
 def _with(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -20,39 +25,55 @@ def _with(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
 
 
-def _chunked(documents: DataFrame) -> DataFrame:
-    """`documents` as one struct `row` each, with `key` and `parts`: the text's chunks as arrays of lines."""
+def _has_word(line: Column) -> Column:
+    return line.rlike(r"[^\x20\x09-\x0D]")
+
+
+def _chunked(documents: DataFrame, marks: tuple[str, ...], least: int) -> DataFrame:
+    """`documents` as one struct `row` each, with `key` and `parts`: the text's chunks as arrays of lines.
+
+    A mark ends a chunk that has `least` or more lines with content.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
                             F.concat_ws(":", F.col("doc_id").cast("string"), F.md5(text)).alias("key"), text.alias("whole"))
     rows = _with(rows, "lines", F.split("whole", "\n", -1))
     rows = _with(rows, "hashes", F.transform("lines", F.md5))
 
-    def starts_chunk(_, i):
-        """The line, if the window that ends before it has the mark, or it is the first."""
+    def marked(i):
+        """Whether the window that ends before the line has the mark."""
         window = [F.when(i > back, F.get("hashes", i - 1 - back)).otherwise("") for back in range(WINDOW - 1, -1, -1)]
-        return F.when((i == 0) | F.substring(F.md5(F.concat(*window)), 1, 1).isin(*MARKS), i)
-
-    rows = _with(rows, "starts", F.filter(F.transform("lines", starts_chunk), F.isnotnull))
+        return F.substring(F.md5(F.concat(*window)), 1, 1).isin(*marks)
+
+    def step(state, line):
+        """Lines with content since the last start, and the starts, after the line."""
+        starts = line["marked"] & (state["filled"] >= least)
+        return F.struct((F.when(starts, 0).otherwise(state["filled"]) + line["filled"]).alias("filled"),
+                        F.when(starts, F.array_append(state["starts"], line["at"])).otherwise(state["starts"]).alias("starts"))
+
+    if least:
+        rows = _with(rows, "places", F.transform("lines", lambda x, i: F.struct(
+            i.alias("at"), marked(i).alias("marked"), _has_word(x).cast("int").alias("filled"))))
+        none = F.struct(F.lit(0).alias("filled"), F.array(F.lit(0)).cast("array<int>").alias("starts"))
+        rows = _with(rows, "starts", F.aggregate("places", none, step, lambda state: state["starts"]))
+    else:
+        rows = _with(rows, "starts", F.filter(F.transform("lines", lambda _, i: F.when((i == 0) | marked(i), i)), F.isnotnull))
     parts = F.transform("starts", lambda at, k: F.slice("lines", at + 1, F.coalesce(F.get("starts", k + 1), F.size("lines")) - at))
     return _with(rows.select("row", "key", "lines", "starts"), "parts", parts).select("row", "key", "parts")
 
 
-def _has_word(line: Column) -> Column:
-    return line.rlike(r"[^\x20\x09-\x0D]")
-
-
-def remove_repeats(documents: DataFrame) -> DataFrame:
+def remove_repeats(documents: DataFrame, marks: tuple[str, ...] = MARKS, least: int = 0) -> DataFrame:
     """`row` (the row of `documents`), text (what is left), n_lines and n_removed (lines) of each document.
 
     Rows with equal doc_id and text are one document and are treated alike; a null doc_id sorts last. A
     null text is the empty text, one line without content. Chunks of which fewer than two lines hold a word are never
-    removed. An empty table gives no rows; other columns stay inside `row`, whatever their names.
+    removed. An empty table gives no rows; other columns stay inside `row`, whatever their names. `marks` are the
+    leading hex digits that end a chunk once `least` of its lines hold a word.
 
     Grouping by digest and text combines on the map side, so a chunk that a third of all documents share arrives as
     one row per task. A digest that ever stood for two texts is left alone. Digests are joined back without texts.
     """
-    parts = _chunked(documents)
+    parts = _chunked(documents, marks, least)
     chunks = (parts.select("row.doc_id", "key", F.posexplode("parts").alias("chunk", "part"))
               .where(F.size(F.filter("part", _has_word)) > 1)
               .select("doc_id", "key", "chunk", F.array_join("part", "\n").alias("lines"))
@@ -74,9 +95,9 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
 def drop_repeats(documents: DataFrame) -> DataFrame:
     """The rows of `documents` without repeated chunks, n_chars brought up to date; untouched rows stay as they are.
 
-    A document of which no word is left goes.
+    A document of which no word is left goes. Chunks have two lines with a word or more, but for a document's last.
     """
-    done = remove_repeats(documents).where((F.col("n_removed") == 0) | _has_word(F.col("text")))
+    done = remove_repeats(documents, DENSE_MARKS, LEAST).where((F.col("n_removed") == 0) | _has_word(F.col("text")))
     touched = F.col("n_removed") > 0
     new = {"text": F.when(touched, F.col("text")).otherwise(F.col("row.text"))}
     if "n_chars" in documents.columns:

@@ -159,6 +159,36 @@ def test_line_dedup(docs, none, spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_pipeline_lines_meet_inside_other_text(spark):
+    r = random.Random(3)
+    line = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(5))
+    passages = [[line() for _ in range(6)] for _ in range(60)]
+    texts = ["\n".join([line(), "", line(), *p, line(), line()]) for p in passages + passages]
+
+    def chunks(text):
+        lines = text.split("\n")
+        out, current, md5 = [], [], lambda x: hashlib.md5(x.encode()).hexdigest()
+        for i, x in enumerate(lines):
+            current.append(x)
+            if sum(map(bool, current)) >= 2 and md5((md5(lines[i - 1]) if i else "") + md5(x))[0] in "02468ace":
+                out.append(current)
+                current = []
+        return out + [current] if current else out
+
+    seen, expected = set(), []
+    for i, text in enumerate(texts):
+        parts = ["\n".join(c) for c in chunks(text)]
+        expected.append((i, "\n".join(p for p, c in zip(parts, chunks(text)) if p not in seen or sum(map(bool, c)) < 2)))
+        seen.update(parts)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING").repartition(3)
+    left = line_dedup.drop_repeats(table)
+    assert _sorted(left.collect()) == _sorted(expected)
+    gone = lambda rows: sum(t.count("\n") for t in texts) - sum(x["text"].count("\n") for x in rows)
+    assert gone(left.collect()) > 1.5 * gone(line_dedup.remove_repeats(table).collect()) > 0
+    plan = left._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_quality_measures():
     for text in TEXTS:
         words = re.findall(r"[^\x20\x09-\x0d]+", text or "")
