@@ -7,7 +7,8 @@ uniformity over alphabet cells, the number of runs above and below the alphabet'
 correlation. Fisher's method combines them. Random keys have uniform p-values; text, paths and names pile up
 near zero. So in each length class the level at the top of the p-values tells how many keys there are anywhere on the
 scale, and what exceeds it is text. The smallest cutoff whose estimated share of text is
-at most `q` is used; short strings, whose tests have little power, thereby need larger p-values.
+at most `q` is used; short strings, whose tests have little power, thereby need larger p-values. A string counts once
+however often it occurs, as the p-values of copies are no tests of their own; the cutoff then holds for every occurrence.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,12 +125,23 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     return out
 
 
+def run_key(run: str) -> int:
+    """64 bits, signed, by which copies of a run are known."""
+    return int.from_bytes(xxhash.xxh3_64_digest(run), signed=True)
+
+
+def distinct_counts(runs: DataFrame) -> dict[tuple[int, int], int]:
+    """Distinct strings per length class and p-value bin, from one row (size, bin, key) or more for each of them."""
+    tally = runs.select("size", "bin", "key").distinct().groupBy("size", "bin").agg(F.count("*").alias("n"))
+    return {(r["size"], r["bin"]): r["n"] for r in tally.collect()}
+
+
 def join_spans(spans) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
 def cutoffs(counts: dict[tuple[int, int], int], q: float = 0.1) -> dict[int, int]:
-    """The first accepted p-value bin per length class, from counts per (class, bin)."""
+    """The first accepted p-value bin per length class, from counts of distinct strings per (class, bin)."""
     chosen = {}
     for size in range(len(LENGTHS)):
         n = [counts.get((size, b), 0) for b in range(BINS)]
@@ -158,17 +171,16 @@ def scan(documents: DataFrame, q: float = 0.1) -> DataFrame:
             return [rows["doc_id"], n(0), n(1), n(2),
                     [hashlib.sha256(join_spans(s).encode()).hexdigest() for s in base],
                     [[dict(start=s, kind=k, end=e) for s, k, e in spans] for spans in base],
-                    [[dict(start=s, end=e, size=z, bin=b) for s, e, z, b in candidates(t, spans)] for t, spans in zip(texts, base)]]
+                    [[dict(start=s, end=e, size=z, bin=b, key=run_key(t[s:e])) for s, e, z, b in candidates(t, spans)]
+                     for t, spans in zip(texts, base)]]
 
         return work
 
     schema = ("doc_id BIGINT, n_assign BIGINT, n_access BIGINT, n_hex BIGINT, base_sha256 STRING, "
               "base ARRAY<STRUCT<start: BIGINT, kind: INT, end: BIGINT>>, "
-              "runs ARRAY<STRUCT<start: BIGINT, end: BIGINT, size: INT, bin: INT>>")
+              "runs ARRAY<STRUCT<start: BIGINT, end: BIGINT, size: INT, bin: INT, key: BIGINT>>")
     scanned = materialize(map_rows(documents, ["doc_id", "text"], schema, make), "secret-spans")
-    tally = (scanned.where(F.size("runs") > 0).select(F.explode("runs").alias("r"))
-             .groupBy("r.size", "r.bin").agg(F.count("*").alias("n")).collect())
-    cuts = cutoffs({(r["size"], r["bin"]): r["n"] for r in tally}, q)
+    cuts = cutoffs(distinct_counts(scanned.where(F.size("runs") > 0).select(F.inline("runs"))), q)
     cut = F.array(*[F.lit(cuts.get(i, BINS)) for i in range(len(LENGTHS))])
     added = F.transform(F.filter("runs", lambda r: r["bin"] >= F.get(cut, r["size"])),
                         lambda r: F.struct(r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end")))
@@ -184,8 +196,7 @@ def redact(documents: DataFrame, mark: str = "[secret]", q: float = 0.1) -> Data
     The cutoffs come from a scan of all rows; each row is then rewritten in its place, so no join is needed
     and repeated or null ids do no harm. Overlapping spans become one mark. Null texts stay null.
     """
-    runs = map_rows(documents, ["text"], "size INT, bin INT, n BIGINT", _tally_runs)
-    cuts = cutoffs({(r["size"], r["bin"]): r["n"] for r in runs.groupBy("size", "bin").agg(F.sum("n").alias("n")).collect()}, q)
+    cuts = cutoffs(distinct_counts(map_rows(documents, ["text"], "size INT, bin INT, key BIGINT", _distinct_runs)), q)
 
     @F.pandas_udf("string")
     def rewritten(texts: pd.Series) -> pd.Series:
@@ -197,13 +208,11 @@ def redact(documents: DataFrame, mark: str = "[secret]", q: float = 0.1) -> Data
     return out
 
 
-def _tally_runs():
+def _distinct_runs():
     def work(rows):
-        seen: dict = {}
-        for text in rows["text"]:
-            for _, _, size, p in candidates(text or "", base_spans(text or "")):
-                seen[size, p] = seen.get((size, p), 0) + 1
-        return [[k[0] for k in seen], [k[1] for k in seen], list(seen.values())]
+        seen = {(size, p, run_key(text[start:end])) for text in rows["text"] if text
+                for start, end, size, p in candidates(text, base_spans(text))}
+        return list(zip(*seen)) or [[], [], []]
 
     return work
 

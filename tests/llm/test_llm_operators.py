@@ -131,6 +131,28 @@ def test_randomness_tells_keys_from_names():
     assert secrets.cutoffs({}) == {}
 
 
+def test_copies_of_one_string_do_not_move_the_cutoff(spark):
+    r = random.Random(5)
+    keys = ["".join(r.choice(secrets.ALPHABETS["base64"][:62]) for _ in range(40)) for _ in range(300)]
+    names = {"/".join(r.choice(["module", "release2019", "documents", "annual", "report", "v2"]) for _ in range(6)) for _ in range(2000)}
+    runs = keys + sorted(x for x in names if 32 <= len(x) < 48)
+    plain = [(i, run) for i, run in enumerate(runs)]
+    place = lambda run: int(secrets.randomness(run) * secrets.BINS)
+    copied = [next(k for k in keys if lo <= place(k) < hi) for lo, hi in ((18, 24), (38, 44))]
+
+    def masked(rows):
+        table = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4)
+        clean = {x.doc_id for x in secrets.redact(table).where("text = '[secret]'").collect() if x.doc_id < len(runs)}
+        found = {x.doc_id for x in secrets.scan(table).where("size(found) > 0").collect() if x.doc_id < len(runs)}
+        assert clean == found
+        return found
+
+    alone = masked(plain)
+    assert 200 < len(alone) < 400
+    for run in copied:
+        assert masked(plain + [(len(runs) + i, " ".join([run] * 30)) for i in range(100)]) == alone
+
+
 def test_line_dedup(docs, none, spark):
     def chunks(text):
         lines = (text or "").split("\n")
