@@ -18,11 +18,11 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import components
-from strata.llm.tools import map_rows, slices
+from strata.llm.tools import WORD, map_rows, slices
 from strata.workspace import materialize
 
 #: Buckets of the gram counts, and how many rows carry them.
@@ -194,6 +194,12 @@ def cluster(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     component_id is the smallest non-null doc_id among all documents of linked sets. Other columns are ignored; an empty
     table gives no rows. Intermediate tables go to the shared folder.
     """
+    return _labelled(documents, n, percent).select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _labelled(documents: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, text_key, n_shingles, component and component_id (both null without words) of each row."""
     described = materialize(describe(documents, n, percent, gram_counts(documents, n)), "grams")
     filled = described.where("n_shingles > 0")
     nodes = materialize(
@@ -232,17 +238,27 @@ def cluster(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     placed = nodes.join(labels, "node", "left").select(
         "digest", "least", F.coalesce("component", "node").alias("component"))
     of = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = placed.join(of, "component").select("digest", "component_id")
-    return described.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    classes = placed.join(of, "component").select("digest", "component", "component_id")
+    return (described.select("doc_id", "text_key", "n_shingles", "digest").join(classes, "digest", "left")
+            .select("doc_id", "text_key", "n_shingles", "component", "component_id"))
 
 
 def keep_first(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each group of similar documents: the one with the smallest doc_id, then text; all columns stay.
+    """One row of each group of similar documents: the one with the smallest doc_id, null last, then text; all columns stay.
 
-    Documents without words, and rows without doc_id whose group has no id, all stay but for exact repeats.
+    Rows are judged by their own text, so rows that share an id or have none are kept or dropped one by one.
+    Rows without words all stay but for repeats of doc_id and text.
     """
-    labels = cluster(documents, n, percent).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
-    first = labels.where("doc_id = component_id").select("doc_id")
-    named = documents.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(documents.where("doc_id IS NULL").dropDuplicates(["text"])).select(*[F.col(f"`{c}`") for c in documents.columns])
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    has_word = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    labels = materialize(_labelled(documents, n, percent).where("n_shingles > 0").select("doc_id", "text_key", "component").distinct(),
+                         "classes")
+    # Joined by id as well, so that a large group does not meet in one task.
+    least = labels.groupBy("component").agg(F.min("doc_id").alias("least")).withColumnRenamed("component", "of")
+    first = (labels.join(least, (F.col("component") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("least")))
+             .select("least", "text_key", "component"))
+    rows = documents.where(has_word).select(F.struct(*columns).alias("row"), F.xxhash64("text").alias("key"))
+    rows = rows.join(first, (F.col("key") == F.col("text_key")) & F.col("row.doc_id").eqNullSafe(F.col("least")))
+    place = F.row_number().over(Window.partitionBy("component").orderBy("row.text"))
+    named = rows.select("row", place.alias("place")).where("place = 1").select("row.*")
+    return named.unionByName(documents.where(~has_word).dropDuplicates(["doc_id", "text"])).select(*columns)

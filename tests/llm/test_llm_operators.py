@@ -340,6 +340,20 @@ def test_keep_first(docs):
     assert {r.doc_id for r in kept.collect()} - {None} == least
 
 
+def test_keep_first_goes_by_row(spark):
+    r = random.Random(9)
+    prose = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(100))
+    a, b, c, d, e, f, g = (prose() for _ in range(7))
+    gone = [(2, a + " two"), (None, a + " none"), (None, c + " more"), (1, a), (8, g + " more"), (4, e + " z")]
+    kept = [(1, a), (2, b), (None, c), (None, d), (4, e), (4, f), (7, g), (3, ""), (3, " "), (3, None), (None, "\n"), (None, " ")]
+    rows = [(i, t, m) for m, (i, t) in enumerate([*gone, *kept, (3, " ")])]
+    table = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, component INT").repartition(3)
+    left = jaccard_join.keep_first(table)
+    assert left.columns == table.columns
+    assert _sorted(left.select("doc_id", "text").collect()) == _sorted(kept)
+    assert {tuple(x) for x in left.collect()} <= set(rows)
+
+
 def test_byte_bpe(docs, none):
     with open(tokens_at.path("byte_bpe_50k.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
