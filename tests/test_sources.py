@@ -1,4 +1,5 @@
 import io
+import json
 import tarfile
 
 import pytest
@@ -20,6 +21,38 @@ def test_rescue_collects_unknown_and_mistyped_fields(spark, rows):
         (3, None, None, '{"n":"oops","tags":"text"}')], key=str)
 
 
+def test_rescue_keeps_corrupt_lines_and_nested_fields(spark, rows):
+    schema = T.StructType.fromDDL("id INT, s STRUCT<a: INT, t: STRUCT<b: INT>>, l ARRAY<STRUCT<a: INT>>, m MAP<STRING, INT>")
+    text = lambda **fields: json.dumps(fields, separators=(",", ":"))
+    cases = [('{"id": 1, "s": {"a": 1, "t": {"b": 2}}, "l": [{"a": 1}], "m": {"k": 1}}', None), ("no json", "no json"), ("", None),
+             ('{"id": 2, "s"', '{"id": 2, "s"'), ('[{"id": 3}]', '[{"id": 3}]'),
+             ('{"id": 3} rest', '{"id": 3} rest'), ('{"id": 3}, {"id": 4}', '{"id": 3}, {"id": 4}'),
+             ('{"id": 4, "s": {"a": "x", "t": {"b": 2}}}', text(s=text(a="x"))),
+             ('{"id": 5, "s": {"a": 1, "t": {"b": 2, "c": 3}}}', text(s=text(t=text(c="3")))),
+             ('{"id": 6, "l": [{"a": 1}, {"z": 2}]}', text(l='[{"a":1},{"z":2}]')), ('{"id": 7, "m": {"k": "x", "o": 1}}', text(m='{"k":"x","o":1}'))]
+    lines = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(cases)], "i INT, value STRING")
+    assert rows(files.rescue(lines, schema).select("i", "_rescued_data")) == sorted(((i, x) for i, (_, x) in enumerate(cases)), key=str)
+
+
+def test_reads_and_streams_rescue(spark, rows, tmp_path):
+    (tmp_path / "json").mkdir()
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "json" / "a.json").write_text('{"id": 1}\n\n')
+    (tmp_path / "json" / "b.json").write_text('{"id": 2, "late": "x"}\nbroken\n')
+    (tmp_path / "csv" / "a.csv").write_text("id,n\n1,2\n")
+    (tmp_path / "csv" / "b.csv").write_text("id,n,late\n2,3,x\n4,oops,y\n")
+    expected = {"json": [(1, None), (2, '{"late":"x"}'), (None, "broken")],
+                "csv": [(1, None), (2, "2,3,x"), (4, "4,oops,y")]}
+    for fmt, schema in (("json", "id INT"), ("csv", "id INT, n INT")):
+        options = {"header": True} if fmt == "csv" else {}
+        path = str(tmp_path / fmt)
+        assert rows(files.read(spark, path, fmt, schema, rescued=True, **options).select("id", "_rescued_data")) == sorted(expected[fmt], key=str)
+        feed = files.stream(spark, path, fmt, schema, rescued=True, **options)
+        feed.writeStream.format("memory").queryName(f"rescued_{fmt}").trigger(availableNow=True).option(
+            "checkpointLocation", str(tmp_path / f"at-{fmt}")).start().awaitTermination()
+        assert rows(spark.table(f"rescued_{fmt}").select("id", "_rescued_data")) == sorted(expected[fmt], key=str)
+
+
 def test_hints_override_and_add_columns(spark):
     path = workspace.new_dir(spark, "hints")
     spark.createDataFrame([(1, "2")], "a INT, b STRING").write.json(path)
