@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bm25_search, byte_bpe, jaccard_join, line_dedup, packing, quality_rules, secrets, suffix_dedup, token_counts, url_filter
+from strata.llm import (bm25_search, byte_bpe, jaccard_join, line_dedup, minhash_dedup, packing, prefix_trie, quality_rules, secrets,
+                        suffix_dedup, token_counts, url_filter, whitening)
 from strata.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +125,62 @@ SELECT page_id, host, path,
 FROM lowered""")
 def op10_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0),
+grams AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY ALL),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT p.a, p.b FROM pairs p JOIN sizes x ON x.doc_id = p.a JOIN sizes y ON y.doc_id = p.b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM words UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY ALL)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN sizes USING (doc_id)""")
+def op11_minhash_dedup(spark, sf_dir):
+    return minhash_dedup.cluster(table(spark, sf_dir, "documents"), n=4, percent=80)
+
+
+@query()
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("""
+WITH crc AS (
+  SELECT list(list_reduce(list_concat([b], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))) ORDER BY b) AS t FROM range(256) r(b)),
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+           PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, xor(list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c))),
+                                  lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), crc),
+rebuilt AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY part, i) AS d
+  FROM (SELECT c.conv_id, 1 AS part, i, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 5 AND i < h
+        UNION ALL SELECT c.conv_id, 2, i, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND i >= h)),
+paths AS (
+  SELECT conv_id, d, strlen(text) AS n_bytes, string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY d) AS path FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+members AS (SELECT *, d = max(d) OVER (PARTITION BY conv_id) AS is_end FROM paths),
+nodes AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n_bytes) AS n_bytes,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE is_end), '')) AS ends_sha256
+  FROM members GROUP BY ALL),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, count(k.path) OVER (PARTITION BY n.path, n.d) AS n_children,
+         row_number() OVER (PARTITION BY n.path, n.d) AS copy
+  FROM nodes n LEFT JOIN nodes p ON p.d = n.d - 1 AND p.path = left(n.path, 64 * p.d) LEFT JOIN nodes k ON k.d = n.d + 1 AND left(k.path, 64 * n.d) = n.path),
+single AS (SELECT * FROM linked WHERE copy = 1),
+below AS (
+  SELECT a.path, a.d, count(*) FILTER (WHERE s.n_children = 0) AS n_leaves, sum((s.n_convs - 1) * s.n_bytes) AS saved_tokens
+  FROM single s JOIN members m ON m.conv_id = s.conv_id AND m.d <= s.d JOIN nodes a ON a.path = m.path AND a.d = m.d GROUP BY ALL)
+SELECT conv_id, d::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM single JOIN below USING (path, d)""")
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
