@@ -30,8 +30,8 @@ from strata.workspace import materialize
 
 #: Members from which a node is heavy, and the most heavy nodes there can be.
 HEAVY, MOST_HEAVY = 32, 50_000
-#: Messages a queue holds in memory.
-QUEUE = 50_000
+#: Messages a queue holds in memory, and runs that it has on disk.
+QUEUE, RUNS = 50_000, 64
 #: Conversations whose heads are shared, and the modulus of their lengths.
 GROUP, LENGTHS = 5, 9
 #: Ids joined in one row before they are hashed.
@@ -57,12 +57,20 @@ class SpillingQueue:
     def _spill(self) -> None:
         scratch = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0]
         file = tempfile.TemporaryFile(dir=scratch if os.path.isdir(scratch) else None)  # has no name and ends with the task
-        for item in sorted(self.heap):
+        items = sorted(self.heap)
+        for item in heapq.merge(items, self._stored()) if len(self.runs) >= RUNS else items:
             pickle.dump(item, file)
         file.seek(0)
         self.heap = []
         self._advance(file)
 
+    def _stored(self) -> Iterator[tuple]:
+        """All items of the runs, in order; the runs end with it."""
+        while self.runs:
+            item, _, file = heapq.heappop(self.runs)
+            yield item
+            self._advance(file)
+
     def _advance(self, file) -> None:
         """The next item of a run competes for the head of the queue."""
         try:
