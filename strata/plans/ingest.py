@@ -10,7 +10,7 @@ from strata import workspace
 from strata.functions import clean
 from strata.operators import quality
 from strata.plans.registry import query
-from strata.sources import archives, files, messages, onboarding, sinks
+from strata.sources import archives, evolving, files, messages, onboarding, sinks
 from strata.streaming import runner
 from strata.tables import SCHEMAS, table, table_stream
 
@@ -126,6 +126,73 @@ def rescued_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.rescue(lines, T.StructType.fromDDL("event_id BIGINT, value DOUBLE"))
 
 
+_TYPE_LENGTH = "CAST(length(event_type) AS BIGINT)"
+
+
+@query(f"""SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS amount,
+                  CASE WHEN event_type = 'error' THEN 'n/a' END AS lost_amount, {_TYPE_LENGTH} AS note_length,
+                  event_type AS first_tag, CAST(user_id AS VARCHAR) AS second_tag
+           FROM events""")
+def rescued_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON documents over many lines; what their schema does not know is read by path from the nested rest."""
+    amount = F.when(F.col("event_type") == "error", F.lit('"n/a"')).otherwise(F.col("value").cast("string"))
+    rest = F.to_json(F.struct(F.length("event_type").alias("length"), F.array("event_type", F.col("user_id").cast("string")).alias("tags")))
+    pretty = table(spark, sf_dir, "events").select(F.concat(
+        F.lit('{"event_id":\n'), "event_id", F.lit(',\n"detail": {"amount":'), amount, F.lit(',\n"note":'), rest, F.lit("}}")).alias("value"))
+    path = _land(pretty.mapInPandas(_documents, "value STRING"), "nested", "text", maxRecordsPerFile=1)
+    schema = T.StructType.fromDDL("event_id BIGINT, detail STRUCT<amount: DOUBLE>")
+    rows = evolving.rescue(evolving.documents(spark.read, path), schema, record="record")
+
+    def rescued(at: str, kind: str):
+        return F.try_variant_get(files.RESCUED, f"$.detail.{at}", kind)
+
+    return rows.select("event_id", "detail.amount", rescued("amount", "string").alias("lost_amount"),
+                       rescued("note.length", "bigint").alias("note_length"), rescued("note.tags[0]", "string").alias("first_tag"),
+                       rescued("note.tags[1]", "string").alias("second_tag"))
+
+
+_SECOND, _THIRD = "2024-01-10", "2024-01-20"
+
+
+@query(f"""SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS value,
+                  CASE WHEN ts >= TIMESTAMP '{_SECOND}' THEN user_id END AS user_id,
+                  CASE WHEN ts >= TIMESTAMP '{_SECOND}' THEN {SQL_K} END AS k,
+                  CASE WHEN ts >= TIMESTAMP '{_THIRD}' THEN event_type END AS label,
+                  CASE WHEN event_type = 'error' THEN 'n/a' END AS lost_value
+           FROM events""")
+def stream_late_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON stream over files of three generations: each adds columns, the last one inside a struct, while the stream runs."""
+    events = table(spark, sf_dir, "events")
+    value = F.when(F.col("event_type") == "error", F.lit("n/a").cast("variant")).otherwise(F.col("value").cast("variant"))
+    first = [F.col("event_id"), value.alias("value")]
+    second = [*first, F.col("user_id"), F.struct(F.expr(K).alias("k")).alias("props")]
+    third = [*first, F.col("user_id"), F.struct(F.expr(K).alias("k"), F.col("event_type").alias("label")).alias("props")]
+    base = workspace.new_dir(spark, "generations")
+    ingest = evolving.Ingest(spark, f"{base}/landing/*", "json", f"{base}/bronze", f"{base}/checkpoint", hints="event_id BIGINT, value DOUBLE")
+    cuts = [("0001-01-01", _SECOND, first), (_SECOND, _THIRD, second), (_THIRD, "9999-01-01", third)]
+    for i, (since, until, columns) in enumerate(cuts):
+        some = events.where((F.col("ts") >= F.lit(since).cast("timestamp")) & (F.col("ts") < F.lit(until).cast("timestamp")))
+        sinks.write(some.select(*columns), f"{base}/landing/{i}", fmt="json")
+        ingest.run()
+    rows = files.ensure_columns(ingest.read(), "user_id BIGINT, props STRUCT<k: BIGINT, label: STRING>")
+    return rows.select("event_id", "value", "user_id", F.col("props.k").cast("int").alias("k"), "props.label",
+                       F.try_variant_get(files.RESCUED, "$.value", "string").alias("lost_value"))
+
+
+@query("""SELECT c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal END AS c_acctbal,
+                 CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment END AS c_mktsegment, FALSE AS rescued FROM customer""")
+def stream_late_csv_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One CSV stream over files whose headers have other columns in another order."""
+    customers = table(spark, sf_dir, "customer")
+    base = workspace.new_dir(spark, "headers")
+    ingest = evolving.Ingest(spark, f"{base}/landing/*", "csv", f"{base}/bronze", f"{base}/checkpoint",
+                             hints="c_custkey BIGINT, c_acctbal DOUBLE")
+    for i, columns in enumerate((["c_custkey", "c_name", "c_acctbal"], ["c_mktsegment", "c_name", "c_custkey"])):
+        sinks.write(customers.where(F.col("c_custkey") % 2 == i).select(*columns), f"{base}/landing/{i}", fmt="csv", header=True)
+    ingest.run()
+    return ingest.read().select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", F.col(files.RESCUED).isNotNull().alias("rescued"))
+
+
 def _generations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Case reports in two column generations, resolved through the rescue column."""
     events = table(spark, sf_dir, "events")

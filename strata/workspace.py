@@ -72,3 +72,29 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small text file; fails if it exists, so of two writers one gets an error."""
+    out = _file_system(spark, path).create(_hadoop_path(spark, path), False)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small text file."""
+    stream = _file_system(spark, path).open(_hadoop_path(spark, path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in `path`, sorted; empty when `path` is missing."""
+    if not is_directory(spark, path):
+        return []
+    listing = _file_system(spark, path).listStatus(_hadoop_path(spark, path))
+    return sorted(s.getPath().getName() for s in listing if s.isFile() and s.getPath().getName()[0] not in "._")
