@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata import workspace
 from strata.functions import clean
 from strata.operators import aggregates, quality, timeseries
 from strata.plans.registry import query
-from strata.streaming import changes, runner
+from strata.streaming import changes, rules, runner
 from strata.tables import table, table_stream
 
 RULES = [quality.Rule("low_discount", "l_discount < 0.05"), quality.Rule("big_enough", "l_quantity > 2", "drop"),
@@ -56,6 +57,37 @@ def expectation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.metrics(_lines(spark, sf_dir), RULES, "lineitem")
 
 
+@query(f"""WITH {_RULES_SQL}, counts AS (SELECT name, 'lineitem' AS dataset, COUNT(*) FILTER (ok) AS passed_records,
+             COUNT(*) FILTER (NOT ok) AS failed_records FROM rules GROUP BY name)
+           SELECT *, (SELECT COUNT(*) FROM lineitem WHERE {_DROPPED}) AS written FROM counts""")
+def stream_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts that come with the batches of a stream, beside the rows that it has written."""
+    base = workspace.new_dir(spark, "rule-counts")
+    lines = table_stream(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_discount", "l_returnflag", "l_linestatus")
+    listener = rules.RuleCounts(spark, f"{base}/counts", {"lineitem": RULES})
+    spark.streams.addListener(listener)
+    try:
+        listener.finish(runner.append(rules.counted(lines, RULES, "lineitem"), f"{base}/table", f"{base}/checkpoint"))
+    finally:
+        spark.streams.removeListener(listener)
+    written = spark.read.schema(lines.schema).parquet(f"{base}/table").agg(F.count("*").alias("written"))
+    return rules.totals(rules.read_counts(spark, f"{base}/counts")).crossJoin(F.broadcast(written))
+
+
+@query(f"""WITH {_RULES_SQL}, counts AS (SELECT name, 'lineitem' AS dataset, COUNT(*) FILTER (ok) AS passed_records,
+             COUNT(*) FILTER (NOT ok) AS failed_records FROM rules GROUP BY name)
+           SELECT *, CASE name WHEN 'low_discount' THEN 'warn' ELSE 'drop' END AS action,
+             (SELECT COUNT(*) FROM lineitem WHERE {_DROPPED} AND l_returnflag = 'A') AS published_returns FROM counts""")
+def publish_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts recorded by the write of a partitioned table, which then appears as a whole."""
+    path = workspace.new_dir(spark, "published")
+    lines = _lines(spark, sf_dir).select("l_orderkey", "l_quantity", "l_discount", "l_linestatus", "l_returnflag")
+    counts = quality.publish(lines, RULES, path, "lineitem", partition_by=["l_returnflag"])
+    returns = spark.read.schema(lines.schema).parquet(path).where("l_returnflag = 'A'").agg(F.count("*").alias("published_returns"))
+    return spark.createDataFrame([vars(c) for c in counts], "name STRING, dataset STRING, action STRING, passed_records BIGINT, "
+                                 "failed_records BIGINT").crossJoin(F.broadcast(returns))
+
+
 @query(f"""SELECT 'lineitem' AS dataset, COUNT(*) FILTER ({_DROPPED}) AS num_output_rows,
              COUNT(*) FILTER (NOT ({_DROPPED})) AS dropped_records FROM lineitem""")
 def flow_progress_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,9 +74,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small text file; fails if it exists, so of two writers one gets an error."""
-    out = _file_system(spark, path).create(_hadoop_path(spark, path), False)
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written."""
+    _file_system(spark, path).delete(_hadoop_path(spark, path), True)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder its final name, which must be free."""
+    if exists(spark, to) or not _file_system(spark, path).rename(_hadoop_path(spark, path), _hadoop_path(spark, to)):
+        raise FileExistsError(to)
+
+
+def write_text(spark: SparkSession, path: str, text: str, replace: bool = False) -> None:
+    """Create a small text file. Unless `replace`, it fails if the file exists, so of two writers one gets an error."""
+    out = _file_system(spark, path).create(_hadoop_path(spark, path), replace)
     try:
         out.write(bytearray(text, "utf-8"))
     finally:
