@@ -2,8 +2,8 @@
 
 A plain ``lead``/``lag`` window sends all rows of a key to one task. Here the keys
 with more than `threshold` rows are found first (a count over a sample). Their rows are cut into consecutive slices along the sequence, the window runs per
-(key, slice), and one edge row per slice carries the value across the cut. Results
-do not depend on the slicing. Without heavy keys the plan is the plain window.
+(key, slice), and one edge row per slice carries the value across the cut. Cuts lie at quantiles, so
+an outlier does not matter. Results do not depend on the slicing. Without heavy keys the plan is the plain window.
 """
 
 from __future__ import annotations
@@ -24,16 +24,19 @@ LISTED_KEYS = 50_000
 BROADCAST_EDGES = 100_000
 SLICES_PER_THRESHOLD = 4
 
-_SLICEABLE = (T.NumericType, T.TimestampType, T.DateType)
+#: Cuts of a key at most (one less than a power of two, for the search), and of all listed keys together.
+MOST_CUTS, LISTED_CUTS = 2047, 500_000
+#: Values that the quantile sketch of a key keeps for each of its slices.
+KEPT = 64
 
+_SLICEABLE = (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType, T.StringType, T.BinaryType)
 
-def _number(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(name).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(name).cast("double")
-    return F.col(name).cast("double")
+
+def _place(cuts: Column, value: Column) -> Column:
+    """How many of the sorted `cuts` are at most `value`, by binary search; 0 for a null value."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(MOST_CUTS.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size(cuts)) & (F.get(cuts, at + step - 1) <= value), at + step).otherwise(at))
 
 
 @dataclass(frozen=True)
@@ -52,39 +55,55 @@ class Slices:
         """Add ``_slice``: 0 for ordinary keys, the slice number for heavy ones."""
         if self.heavy is None:
             return df.withColumn("_slice", F.lit(0).cast("bigint"))
-        stats = self.heavy.select(*[F.col(k).alias(f"_h_{k}") for k in self.keys], "_low", "_high", "_cuts")
+        cuts = self.heavy.select(*[F.col(k).alias(f"_h_{k}") for k in self.keys], "_cuts")
         same_key = [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in self.keys]
-        bucket = F.width_bucket(_number(df, self.along), F.col("_low"), F.col("_high"), F.col("_cuts"))
-        cut = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(F.coalesce(bucket, F.lit(0)) + 1)
-        return (df.join(stats, same_key, "left")
+        cut = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(_place(F.col("_cuts"), F.col(self.along)) + 1)
+        return (df.join(cuts, same_key, "left")
                   .withColumn("_slice", cut.cast("bigint"))
-                  .drop(*stats.columns))
+                  .drop(*cuts.columns))
+
+
+def _sketch(sample: DataFrame, keys: list[str], along: str, pieces: DataFrame) -> DataFrame:
+    """The cuts of each key in `pieces` (keys, _pieces): quantiles of a random sample of bounded size.
+
+    A row falls into one of a key's slots, and each slot keeps the row with the smallest random number, so sketches
+    of parts merge and a key never brings more than `KEPT` values a slice together, of whatever type.
+    """
+    wanted = pieces.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_pieces")
+    rows = sample.join(wanted, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]).where(F.col(along).isNotNull())
+    slot = F.floor(F.rand(3) * F.col("_pieces") * KEPT)
+    kept = (rows.select(*keys, "_pieces", F.col(along).alias("_value"), slot.alias("_slot"), F.rand(4).alias("_draw"))
+            .groupBy(*keys, "_pieces", "_slot").agg(F.min_by("_value", "_draw").alias("_value"))
+            .groupBy(*keys, "_pieces").agg(F.sort_array(F.collect_list("_value")).alias("_values")))
+    at = F.transform(F.sequence(F.lit(1), F.col("_pieces") - 1),
+                     lambda i: F.get("_values", F.floor(i * F.size("_values") / F.col("_pieces")).cast("int")))
+    return kept.select(*keys, F.array_distinct(at).alias("_cuts"))
 
 
 def plan_slices(df: DataFrame, keys: list[str], along: str, threshold: int = HEAVY_ROWS) -> Slices:
-    """Find heavy keys of `df`. Sequences that are neither numbers nor times are not sliced.
+    """Find heavy keys of `df` and cut them at quantiles of `along`: numbers, times, dates, texts or bytes.
 
-    The sample only decides how work is cut, never what the result is.
+    Rows with equal `along` stay together. The samples only decide how work is cut, never what the result is.
     """
     if not isinstance(df.schema[along].dataType, _SLICEABLE):
         return Slices(keys, along, None)
-    position = _number(df, along)
     fraction = min(1.0, SAMPLED_ROWS / threshold)
-    sample = df.select(*keys, along)
+    sample = df.select(*dict.fromkeys([*keys, along]))
     sample = sample.sample(fraction, seed=17) if fraction < 1 else sample
-    stats = (sample.groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("_n"), F.min(position).alias("_low"), F.max(position).alias("_high"))
-               .where(F.col("_n") > threshold * fraction)
-               .withColumn("_cuts", F.ceil(F.col("_n") * SLICES_PER_THRESHOLD / F.lit(threshold * fraction)).cast("bigint"))
-               .drop("_n"))
-    listed = stats.limit(LISTED_KEYS + 1).collect()
+    wanted = F.ceil(F.col("_n") * SLICES_PER_THRESHOLD / F.lit(threshold * fraction)).cast("int")
+    pieces = (sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold * fraction)
+              .withColumn("_pieces", F.least(wanted, F.lit(MOST_CUTS + 1))).drop("_n"))
+    listed = pieces.limit(LISTED_KEYS + 1).collect()
     if not listed:
         return Slices(keys, along, None)
-    if len(listed) > LISTED_KEYS:
-        return Slices(keys, along, stats)
-    heavy = F.broadcast(df.sparkSession.createDataFrame(listed, stats.schema))
-    # A slice lies between two cuts, before the first or after the last one.
-    return Slices(keys, along, heavy, sum(row["_cuts"] + 2 for row in listed))
+    if len(listed) > LISTED_KEYS or sum(row["_pieces"] for row in listed) > LISTED_CUTS:
+        return Slices(keys, along, _sketch(sample, keys, along, pieces))
+    few = F.broadcast(df.sparkSession.createDataFrame(listed, pieces.schema))
+    sketch = _sketch(sample, keys, along, few)
+    cuts = sketch.collect()
+    # A key whose sampled values were all null has no cuts.
+    heavy = F.broadcast(df.sparkSession.createDataFrame(cuts, sketch.schema)) if cuts else None
+    return Slices(keys, along, heavy, sum(len(row["_cuts"]) + 1 for row in cuts))
 
 
 def _order_struct(order: list[str]) -> Column:
