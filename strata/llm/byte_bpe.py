@@ -3,9 +3,10 @@
 A text is cut into words by the tokenizer's pattern. The distinct new words of a slice become token-position
 rows; a recursive query joins neighbouring rows to the merge table and contracts each word's leftmost pair of
 minimum rank until no pair of any word merges. Words that are tokens themselves are ready at once.
-Words of more than `LONG` bytes contract all occurrences of their minimum-rank pair in a step, unless that would create a
-pair of lower rank, which the sequential rule takes first; then only the leftmost. Ordered aggregation over
-the positions gives a word's ids and, joined to the vocabulary, its bytes.
+Words of more than `LONG` bytes contract in one step every pair that is the lowest as far as a token can reach, which gives the
+same tokens. The recursion keeps the rows of all its steps, so words come in runs and long words go some steps at a time:
+a query holds some `ROWS` rows. Ordered aggregation over the positions gives a word's ids and, joined to the vocabulary, its
+bytes.
 """
 
 from __future__ import annotations
@@ -13,6 +14,9 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import os
+import tempfile
+from collections.abc import Callable, Iterator
 
 import duckdb
 import numpy as np
@@ -24,15 +28,13 @@ from strata.llm.tools import map_rows
 
 SCHEMA = "doc_id BIGINT, n_tokens BIGINT, ids_sha256 STRING, decoded_sha256 STRING"
 LONG = 128
+#: Rows that a recursive query holds, about; a word of more bytes goes one step at a time.
+ROWS = 1_000_000
+#: Characters whose words are encoded together.
+CHARACTERS = 4_000_000
 #: Distinct words remembered by a worker; the memory is emptied beyond it.
 REMEMBERED = 1_200_000
 
-#: Rows with the rank of each adjacent pair (null: none) and the word's lowest.
-PAIRS = """
-  SELECT s.w, s.pos, s.tok, s.it + 1 AS it, m.rank, min(m.rank) OVER (PARTITION BY s.w) AS low
-  FROM (SELECT w, pos, tok, it, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS nxt FROM {rows}) s
-  LEFT JOIN merges m ON m.pair = s.tok::BIGINT * 65536 + s.nxt"""
-
 # A row's `key` orders its pair with the next row (`npos`, `ntok`) by rank, then position; the word's lowest key is
 # contracted: that row takes the merged token and the place after its pair, the pair's second row goes.
 SHORT_SQL = """
@@ -56,40 +58,59 @@ WITH RECURSIVE step(w, pos, tok, npos, ntok, key, it) AS (
 )
 SELECT s.w, s.pos, s.tok FROM step s JOIN (SELECT w, max(it) AS it FROM step GROUP BY w) l ON s.w = l.w AND s.it = l.it"""
 
-# Of a run of adjacent occurrences every second one is free (odd); `first` is the leftmost of the word. A step
-# with `lower` would put a lower pair beside a merged one, so that the word takes only its first.
-LONG_SQL = f"""
-WITH RECURSIVE step(w, pos, tok, it) AS (
-  SELECT w, pos, tok, 0 FROM letters
+# A pair whose key is the lowest as far as a token can reach ({reach} bytes before its place and twice that behind it) is
+# contracted, so a step takes one pair of each neighbourhood instead of one of the word. Whatever could take one of its two tokens away
+# would be a token that holds a pair with a lower key, which would have to lie that close. Stops after {steps} steps.
+LONG_SQL = """
+WITH RECURSIVE step(w, pos, tok, it, active) AS (
+  SELECT w, pos, tok, 0, true FROM letters
   UNION ALL
-  SELECT w, pos, CASE WHEN take THEN low ELSE tok END, it
-  FROM (SELECT *, lag(take) OVER (PARTITION BY w ORDER BY pos) AS gone
-        FROM (SELECT *, free AND (pos = first OR NOT lower) AS take
-              FROM (SELECT e.*, bool_or(free AND (coalesce(a.rank < low, false) OR coalesce(b.rank < low, false)))
-                                  OVER (PARTITION BY e.w) AS lower,
-                           min(CASE WHEN free THEN pos END) OVER (PARTITION BY e.w) AS first
-                    FROM (SELECT *, CASE WHEN lag(free, 2) OVER word THEN low ELSE lag(tok) OVER word END AS left_tok,
-                                 lead(tok, 2) OVER word AS right_tok
-                          FROM (SELECT *, hit AND (row_number() OVER (PARTITION BY w, run, hit ORDER BY pos)) % 2 = 1 AS free
-                                FROM (SELECT *, n - sum(hit::INT) OVER (PARTITION BY w ORDER BY pos) AS run
-                                      FROM (SELECT *, coalesce(rank = low, false) AS hit,
-                                                   row_number() OVER (PARTITION BY w ORDER BY pos) AS n
-                                            FROM ({PAIRS.format(rows='step')}) WHERE low IS NOT NULL)))
-                          WINDOW word AS (PARTITION BY w ORDER BY pos)) e
-                    LEFT JOIN merges a ON e.free AND a.pair = e.left_tok * 65536 + e.low
-                    LEFT JOIN merges b ON e.free AND b.pair = e.low * 65536 + e.right_tok)))
+  SELECT w, pos, CASE WHEN take THEN key // 4294967296 ELSE tok END, it + 1, active
+  FROM (SELECT *, lag(take) OVER (PARTITION BY w ORDER BY pos) AS gone, bool_or(take) OVER (PARTITION BY w) AS active
+        FROM (SELECT w, pos, tok, it, key, coalesce(key = min(key) OVER (
+                       PARTITION BY w ORDER BY pos RANGE BETWEEN {reach} PRECEDING AND 2 * {reach} FOLLOWING), false) AS take
+              FROM (SELECT s.w, s.pos, s.tok, s.it, m.rank * 4294967296 + s.pos AS key
+                    FROM (SELECT w, pos, tok, it, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS nxt FROM step
+                          WHERE active AND it < {steps}) s
+                    LEFT JOIN merges m ON m.pair = s.tok::BIGINT * 65536 + s.nxt)))
   WHERE NOT coalesce(gone, false)
 )
-SELECT w, pos, tok FROM step
+SELECT w, pos, tok, active FROM step
 QUALIFY it = max(it) OVER (PARTITION BY w)"""
 
 # A word's ids and the bytes they stand for, in order: id:bytes id:bytes ...
 GATHER = """
 SELECT t.w, string_agg(t.tok::VARCHAR || ':' || v.hex, ' ' ORDER BY t.pos) AS tokens
-FROM (SELECT w, pos, tok FROM ready UNION ALL SELECT * FROM merged) t JOIN vocabulary v ON v.id = t.tok
+FROM merged t JOIN vocabulary v ON v.id = t.tok
 GROUP BY t.w"""
 
 
+def _runs(words: list[int], rows: Callable[[int], int]) -> Iterator[list[int]]:
+    """`words` in runs of at most `ROWS` rows, or of one word."""
+    run, held = [], 0
+    for w in words:
+        if run and held + rows(w) > ROWS:
+            yield run
+            run, held = [], 0
+        run.append(w)
+        held += rows(w)
+    if run:
+        yield run
+
+
+def _blocks(texts: list[str]) -> Iterator[list[str]]:
+    """`texts` in blocks of at most `CHARACTERS`, or of one text."""
+    block, held = [], 0
+    for text in texts:
+        if block and held + len(text) > CHARACTERS:
+            yield block
+            block, held = [], 0
+        block.append(text)
+        held += len(text)
+    if block:
+        yield block
+
+
 class Codec:
     """Vocabulary and merge table in DuckDB, and the words encoded so far."""
 
@@ -105,8 +126,13 @@ class Codec:
                 if left is not None and right is not None:
                     pairs.append(left * 65536 + right)
                     ranks.append(rank)
+        # A query that needs more memory for a huge word goes to Spark's own scratch folder.
+        scratch = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0]
+        scratch = f"{scratch if os.path.isdir(scratch) else tempfile.gettempdir()}/duckdb-{os.getpid()}"
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "preserve_insertion_order": False,
-                                         "temp_directory": ""})
+                                         "temp_directory": scratch})
+        # The bytes of each piece as bits of a number, with its length, longest first.
+        self.made_of = sorted(((len(piece), sum(1 << b for b in set(piece))) for piece in self.ranks), reverse=True)
         merges = pa.table({"pair": pa.array(pairs, pa.int64()), "rank": pa.array(ranks, pa.int64())})
         vocabulary = pa.table({"id": pa.array(list(self.ranks.values()), pa.int64()),
                                "hex": [piece.hex() for piece in self.ranks]})
@@ -134,19 +160,39 @@ class Codec:
     def learn(self, words: list[str]) -> None:
         """Encode distinct words."""
         raws = [word.encode("utf-8", "replace") for word in words]
-        whole = [w for w, raw in enumerate(raws) if raw in self.ranks]
-        self._table("ready", np.array(whole, np.int64), np.zeros(len(whole)), np.array([self.ranks[raws[w]] for w in whole], np.int64))
-        self.db.execute("CREATE OR REPLACE TEMP TABLE merged (w INTEGER, pos INTEGER, tok INTEGER)")
         rest = [w for w, raw in enumerate(raws) if raw not in self.ranks]
-        for at, sql in (([w for w in rest if len(raws[w]) <= LONG], SHORT_SQL), ([w for w in rest if len(raws[w]) > LONG], LONG_SQL)):
-            if at:
-                self._letters(at, raws)
-                self.db.execute(f"INSERT INTO merged {sql}")
+        for at in _runs([w for w, raw in enumerate(raws) if raw in self.ranks], lambda w: 8):
+            self._table("merged", np.array(at), np.zeros(len(at)), np.array([self.ranks[raws[w]] for w in at]))
+            self._remember(words)
+        # A short word has a row less in each step; all words of a run end with their last step.
+        for at in _runs([w for w in rest if len(raws[w]) <= LONG], lambda w: len(raws[w]) ** 2 // 2):
+            self._letters(at, raws)
+            self.db.execute(f"CREATE OR REPLACE TEMP TABLE merged AS {SHORT_SQL}")
+            self._remember(words)
+        for at in _runs([w for w in rest if len(raws[w]) > LONG], lambda w: len(raws[w])):
+            self._letters(at, raws)
+            self._contract_long(b"".join(raws[w] for w in at))
+            self._remember(words)
+
+    def _remember(self, words: list[str]) -> None:
+        """Take the words in merged over into `known`."""
         done = self.db.execute(GATHER).fetchnumpy()
         for w, tokens in zip(done["w"].tolist(), done["tokens"].tolist()):
             parts = tokens.replace(":", " ").split(" ")
             self.known[words[w]] = len(parts) // 2, " ".join(parts[::2]), bytes.fromhex("".join(parts[1::2]))
 
+    def _contract_long(self, letters: bytes) -> None:
+        """Contract the words in letters to the end, into merged, as many steps at a time as `ROWS` allows."""
+        # No token reaches further than the longest piece that is made of the words' own bytes.
+        others = ~sum(1 << b for b in set(letters))
+        reach = next(size for size, made_of in self.made_of if not made_of & others)
+        self.db.execute("CREATE OR REPLACE TEMP TABLE merged (w INTEGER, pos INTEGER, tok INTEGER)")
+        while rows := self.db.execute("SELECT count(*) FROM letters").fetchone()[0]:
+            sql = LONG_SQL.format(reach=reach, steps=max(1, ROWS // rows))
+            self.db.execute(f"CREATE OR REPLACE TEMP TABLE contracted AS {sql}")
+            self.db.execute("INSERT INTO merged SELECT w, pos, tok FROM contracted WHERE NOT active")
+            self.db.execute("CREATE OR REPLACE TEMP TABLE letters AS SELECT w, pos, tok FROM contracted WHERE active")
+
     def encode(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
         """Per text, the number of tokens, its ids joined by spaces, and the decoded bytes."""
         words = [self.split(t) for t in texts]
@@ -181,7 +227,7 @@ def encode_decode(documents: DataFrame, rank_file: str, pattern: str) -> DataFra
         encode = codec(rank_file, pattern).encode
 
         def work(rows):
-            done = encode([t or "" for t in rows["text"]])
+            done = [d for block in _blocks([t or "" for t in rows["text"]]) for d in encode(block)]
             return [rows["doc_id"], [n for n, _, _ in done], [hashlib.sha256(ids.encode()).hexdigest() for _, ids, _ in done],
                     [hashlib.sha256(raw).hexdigest() for _, _, raw in done]]
 
