@@ -27,6 +27,8 @@ from strata.workspace import materialize
 
 LENGTH, GRAM = 200, 64
 WIDTH = LENGTH - GRAM + 1
+#: Bytes of contexts that are sorted in one bucket, about.
+BUCKET_BYTES = 16 << 20
 #: String starts handled at a time, and the low bits of a sort key that hold a position.
 SEGMENT, POSITION_BITS = 1 << 21, np.uint64(22)
 RESULT = "doc_id BIGINT, n_bytes BIGINT, n_removed BIGINT, n_spans BIGINT, kept_sha256 STRING"
@@ -74,14 +76,15 @@ def contexts_of(raw: bytes) -> tuple[np.ndarray, ...]:
 
 
 def _place(first, back, span, tag):
-    """One long: first start, 16 bits that tell apart texts with one doc_id, anchor offset, number of further starts."""
+    """One long: first start, 16 bits more of the row's hash, anchor offset, number of further starts."""
     return first << 32 | tag << 16 | back << 8 | span
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
+    """doc_id, raw and an 80-bit hash of both (id, tag), so that rows which share a doc_id or have none are told apart."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return documents.select(F.col("doc_id"), F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"),
-                            F.xxhash64(text).bitwiseAND(0xFFFF).alias("tag"), text.cast("binary").alias("raw"))
+    return documents.select(F.col("doc_id"), F.xxhash64("doc_id", F.col("doc_id").isNull(), text).alias("id"),
+                            F.xxhash64(F.lit("tag"), text, "doc_id").bitwiseAND(0xFFFF).alias("tag"), text.cast("binary").alias("raw"))
 
 
 def _all_contexts(keyed: DataFrame) -> DataFrame:
@@ -208,7 +211,8 @@ def _sort_buckets(cut: DataFrame, buckets: int, slots: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64())] * 4 + [pa.array(slot[order[cuts[:-1]]]), pa.array(blobs, pa.binary())],
                                              names=["gram", "context", "lo", "hi", "slot", "blob"])
 
-    return cut.repartitionByRange(buckets, "lead", "left").mapInArrow(
+    # A bucket's grams are in the order of their bytes, which is all that its edges need; only these bytes are sampled.
+    return cut.repartitionByRange(buckets, F.substring("lead", 1, GRAM), F.xxhash64("lead", "left")).mapInArrow(
         run, "gram BIGINT, context BIGINT, lo BIGINT, hi BIGINT, slot BIGINT, blob BINARY")
 
 
@@ -256,7 +260,8 @@ def find_repeats(documents: DataFrame) -> DataFrame:
     open_hits = hits.where("several").drop("several")
     samples = open_hits.groupBy("gram", "context").agg((F.count("*") > 1).alias("known"), F.min(F.struct("id", "place")).alias("at"))
     cut = materialize(_cut(samples, keyed), "suffix-contexts")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = cut.agg(F.sum(F.length("lead") + F.length("left")).alias("bytes")).first()["bytes"] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     sorted_ = materialize(_sort_buckets(cut, buckets, 4 * buckets), "suffix-sorted")
     ranges = sorted_.where("slot IS NULL").select("gram", "context", "lo", "hi").union(_across(sorted_.where("slot IS NOT NULL")))
     settled = hits.where("NOT several").select("id", "place", _first("place").alias("start"),

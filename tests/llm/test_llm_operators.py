@@ -72,6 +72,21 @@ def test_suffix_dedup(docs, none):
     assert suffix_dedup.deduplicate(none).count() == 0
 
 
+def test_rows_without_id_lose_their_own_bytes_only(spark):
+    """1,000 clean texts and 1,000 with a common passage, all without id or all with the same one."""
+    r = random.Random(13)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
+    passage = " ".join(word() for _ in range(30))
+    clean = [" ".join(word() for _ in range(40)) for _ in range(1000)]
+    texts = clean + [f"{word()} {passage} {word()} {i}" for i in range(1000)]
+    rows = [(None if i % 2 else 7, t) for i, t in enumerate(texts)]
+    done = suffix_dedup.deduplicate(spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4)).collect()
+    assert Counter((d.doc_id, d.n_removed > 0) for d in done) == {(7, False): 500, (None, False): 500, (7, True): 500, (None, True): 500}
+    seen = Counter(t[i:i + 200] for t in texts for i in range(len(t) - 199))
+    gone = [len({i + k for i in range(len(t) - 199) if seen[t[i:i + 200]] > 1 for k in range(200)}) for t in texts]
+    assert sorted(d.n_removed for d in done) == sorted(gone)
+
+
 def test_suffixes_of_different_buckets_meet(spark, monkeypatch):
     """One passage in many documents, over many more buckets than it has grams, and segments shorter than a document."""
     r = random.Random(3)
@@ -354,6 +369,22 @@ def test_keep_first_goes_by_row(spark):
     assert {tuple(x) for x in left.collect()} <= set(rows)
 
 
+def test_byte_bpe_of_rich_and_long_inputs():
+    """Many new words in one slice, and long words without spaces: bounded rows, and the library's ids."""
+    r = random.Random(4)
+    path = tokens_at.path("byte_bpe_50k.tiktoken")
+    codec = byte_bpe.Codec(path, tokens_at.PATTERN)
+    library = tiktoken.Encoding("bytes", pat_str=tokens_at.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda n: "".join(r.choice(letters) for _ in range(n))
+    texts = [" ".join(word(r.randint(2, 12)) for _ in range(300)) for _ in range(300)]
+    texts += [word(20_000), "".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(8000)), "ab" * 2000, "a" * 3000, " " * 3000 + "x" + "\n" * 700]
+    texts += ["".join(r.choice(["é", "ß", "x", "漢", "the", "ing", "     "]) for _ in range(700)) for _ in range(10)]
+    for text, (n, ids, raw) in zip(texts, codec.encode(texts)):
+        expected = library.encode_ordinary(text)
+        assert (n, ids, raw) == (len(expected), " ".join(map(str, expected)), text.encode())
+
+
 def test_byte_bpe(docs, none):
     with open(tokens_at.path("byte_bpe_50k.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
