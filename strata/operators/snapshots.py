@@ -89,7 +89,11 @@ def advance_history(open_rows: DataFrame, snapshot: DataFrame, version, keys: li
     never = F.when(F.lit(False), at)
     closing = F.when(gone | turned, row("old", F.col(f"old.{START}"), at))
     opening = F.when(~gone, row("new", F.when(fresh | turned, at).otherwise(F.col(f"old.{START}")), never))
-    return (old.join(new, keys, "full")
+    old = old.select(F.struct(*keys).alias("old_key"), "old")
+    new = new.select(F.struct(*keys).alias("new_key"), "new")
+    # Null keys equal each other.
+    return (old.join(new, F.col("old_key").eqNullSafe(F.col("new_key")), "full")
+            .withColumn("key", F.coalesce("new_key", "old_key")).select("key.*", "old", "new")
             .select(*keys, F.explode(F.filter(F.array(closing, opening), lambda r: r.isNotNull())).alias("r"))
             .select(*keys, "r.*"))
 

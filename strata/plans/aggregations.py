@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strata import workspace
 from strata.functions import clean
 from strata.operators import aggregates, quality, timeseries
+from strata.operators.stored_stats import StoredStats
 from strata.plans.registry import query
 from strata.streaming import changes, rules, runner
 from strata.tables import table, table_stream
@@ -124,6 +125,18 @@ def incremental_agg_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.finish_stats(stats, ["customer_id"])
 
 
+@query(_AGG_SQL)
+def stored_agg_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics stored in hash buckets; small appends replace the buckets of their keys only."""
+    payments = _payments(spark, sf_dir)
+    schema = payments.select("customer_id", "amount").schema
+    stats = StoredStats(spark, workspace.new_dir(spark, "stats"), schema, ["customer_id"], "amount", buckets=64)
+    cuts = [F.lit(d).cast("timestamp") for d in ("0001-01-01", "2024-01-28", "2024-01-29", "9999-01-01")]
+    for i, (start, end) in enumerate(zip(cuts, cuts[1:])):
+        stats.append(payments.where((F.col("ts") >= start) & (F.col("ts") < end)), i)
+    return stats.read()
+
+
 _STAT_SQL = """SELECT COUNT(value) AS events, MAX(value) AS max, MIN(value) AS min, round(AVG(value), 6) AS average,
                       round(stddev_samp(value), 6) AS stddev FROM events"""
 

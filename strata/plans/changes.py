@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strata import workspace
 from strata.functions import clean
 from strata.operators import cdc, quality, ranking, snapshots
+from strata.operators.snapshot_store import SnapshotStore
 from strata.plans.registry import query
 from strata.sources import files, messages, onboarding
 from strata.streaming import runner
@@ -179,14 +180,19 @@ def _series(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, str]]:
     return [(snapshot(spark, sf_dir, day), day) for day in DATES]
 
 
+def _stored(spark: SparkSession, sf_dir: str, days: list[str] = DATES) -> SnapshotStore:
+    """The series in a store with bucket digests."""
+    frames = [snapshot(spark, sf_dir, day) for day in days]
+    store = SnapshotStore(spark, workspace.new_dir(spark, "snapshots"), frames[0].schema, ["o_orderkey"], buckets=16)
+    for frame, day in zip(frames, days):
+        store.write(frame, day)
+    return store
+
+
 @query(f"WITH {_SERIES_SQL} SELECT o_orderkey, status, price FROM snaps WHERE n = 2")
 def snapshot_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first snapshot brought up to date by applying the change sets of the later ones."""
-    steps = [frame for frame, _ in _series(spark, sf_dir)]
-    target = steps[0]
-    for newer in steps[1:]:
-        target = snapshots.apply_change_set(target, snapshots.change_set(target, newer, ["o_orderkey"]), ["o_orderkey"])
-    return target
+    """The first stored snapshot brought up to date by applying the change sets of the later ones, bucket by bucket."""
+    return _stored(spark, sf_dir).current(DATES)
 
 
 @query(f"""WITH {_SERIES_SQL}, a AS (SELECT * FROM snaps WHERE n = 1), b AS (SELECT * FROM snaps WHERE n = 2)
@@ -196,8 +202,30 @@ def snapshot_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
            FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey
            WHERE a.n IS NULL OR b.n IS NULL OR a.status <> b.status OR a.price <> b.price""")
 def snapshot_change_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    (_, _), (older, _), (newer, _) = _series(spark, sf_dir)
-    return snapshots.change_set(older, newer, ["o_orderkey"])
+    return _stored(spark, sf_dir, DATES[1:]).change_set(*DATES[1:])
+
+
+# Orders below this key get another price in the second snapshot.
+_LATE = 100
+
+
+@query(f"""SELECT o_orderkey, o_orderstatus AS status, o_totalprice + CASE WHEN o_orderkey < {_LATE} THEN 1 ELSE 0 END AS price,
+                  CASE WHEN o_orderkey < {_LATE} THEN 'update' ELSE 'same' END AS change FROM orders""")
+def snapshot_small_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots that differ in a few rows: only the buckets of those are read and joined."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
+    later = orders.withColumn("price", F.col("price") + F.when(F.col("o_orderkey") < _LATE, 1).otherwise(0))
+    store = SnapshotStore(spark, workspace.new_dir(spark, "snapshots"), orders.schema, ["o_orderkey"], buckets=64)
+    store.write(orders, 1)
+    store.write(later, 2)
+    changes = store.change_set(1, 2).select("o_orderkey", F.col("_change").alias("change"))
+    return store.read(2).join(changes, "o_orderkey", "left").withColumn("change", F.coalesce("change", F.lit("same")))
+
+
+@query(f"WITH {_SNAPSHOT_HISTORY_SQL} SELECT * FROM history")
+def snapshot_scd2_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history from stored snapshots, joining the changed buckets of each only."""
+    return _stored(spark, sf_dir).history(DATES, ["status"])
 
 
 @query(f"WITH {_SNAPSHOT_HISTORY_SQL} SELECT * FROM history")

@@ -1,8 +1,11 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from strata import workspace
 from strata.operators import snapshots
+from strata.operators.snapshot_store import SnapshotStore
 from strata.sources import snapshots as folders
 
 SCHEMA = "id INT, status STRING, note STRING"
@@ -52,3 +55,60 @@ def test_folders_by_hour(spark, rows):
     assert folders.next_snapshot(spark, root, "2024-01-02 00", skip_gaps=True)[1] == "2024-01-02 02"
     assert [v for _, v in folders.series(spark, root)] == ["2024-01-01 22", "2024-01-01 23", "2024-01-02 00"]
     assert folders.latest(spark, workspace.new_dir(spark, "none")) is None
+
+
+@pytest.fixture
+def store(spark):
+    nulls = [[(None, "null", f"n{i // 2}")] for i in range(4)]
+    made = SnapshotStore(spark, workspace.new_dir(spark, "store"), spark.createDataFrame([], SCHEMA).schema, ["id"], buckets=32)
+    for i, steps in enumerate(STEPS):
+        frame = spark.createDataFrame(steps + nulls[i] + [(n, "same", None) for n in range(100, 300)], SCHEMA)
+        made.write(frame.withColumn("more", F.lit(1)), 10 + i)
+    return made
+
+
+NULL_KEY = [(None, "null", "n1", 10, None)]
+SAME = [(n, "same", None, 10, None) for n in range(100, 300)]
+
+
+def test_stored_snapshots_differ_in_few_buckets(spark, store, rows):
+    assert store.versions() == ["10", "11", "12", "13"]
+    expected = {v: rows(snapshots.change_set(store.read(v), store.read(v + 1), ["id"])) for v in (10, 11, 12)}
+    for before in (12, 11, 10):
+        some = store.changed(before, before + 1)
+        assert 1 <= len(some) <= 5
+        plan = store.change_set(before, before + 1)._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"PartitionFilters: \[_bucket#\d+ IN|PartitionFilters: \[isnotnull\(_bucket|PartitionFilters: \[\(_bucket", plan)) == 2
+    some = store.changed(12, 13)
+    for bucket in set(range(32)) - set(some):  # the rest is not even there
+        workspace.remove(spark, f"{store._rows(12)}/_bucket={bucket}")
+        workspace.remove(spark, f"{store._rows(13)}/_bucket={bucket}")
+    assert rows(store.change_set(12, 13)) == expected[12]
+    assert rows(store.change_set(10, 11)) == expected[10]
+    assert store.changed(12, 12) == [] and store.change_set(12, 12).collect() == []
+
+
+def test_histories_from_stored_snapshots(store, rows):
+    assert rows(store.history([10, 11, 12, 13], ["status"])) == sorted(EXPECTED + NULL_KEY + SAME, key=str)
+    assert rows(store.current([10, 11, 12, 13])) == rows(store.read(13))
+
+
+def test_null_keys_stay_open(spark, rows):
+    """A row with a null key that does not change is neither closed nor opened again."""
+    series = [(spark.createDataFrame([(None, "a", "x"), (1, "b", "y")], SCHEMA), v) for v in (1, 2, 3)]
+    first, *later = series
+    expected = [(1, "b", "y", 1, None), (None, "a", "x", 1, None)]
+    assert rows(snapshots.fold_history(first, later, ["id"])) == rows(snapshots.history(series, ["id"])) == expected
+
+
+def test_digests_notice_what_cancels_out(spark):
+    """Swapped nulls, doubled rows and exchanged values: equal counts, and equal xors of hashes."""
+    made = SnapshotStore(spark, workspace.new_dir(spark, "digests"), spark.createDataFrame([], SCHEMA).schema, ["id"], buckets=1)
+    for version, steps in enumerate([[(1, "a", None)], [(1, None, "a")], [(1, "a", None), (1, "a", None)], [(1, "b", None), (1, "b", None)], []]):
+        made.write(spark.createDataFrame(steps, SCHEMA), version)
+    assert all(made.changed(a, b) == [0] for a in range(5) for b in range(a))
+
+
+def test_an_unfinished_snapshot_does_not_count(spark, store):
+    store.read(10).withColumn("_bucket", F.lit(0)).write.partitionBy("_bucket").parquet(store._rows(14))
+    assert store.versions()[-1] == "13"
