@@ -30,6 +30,8 @@ SHARD_DOCS, SHARD_WORDS, BLOCK, QUERIES = 8192, 2_000_000, 64, 4096
 #: Terms in at least one in so many documents of a shard are held as full rows.
 DENSE = 16
 NO_ID = -(1 << 63)
+#: Lots among which shards are drawn by a hash, shards of the first round, and how many times as many each further round reaches.
+LOTS, FIRST, MORE = 1 << 16, 4, 8
 
 
 def words_of(text: str | None) -> Counter:
@@ -131,8 +133,8 @@ class Shard:
         for term, a, w in zip(terms[~dense].tolist(), at[~dense].tolist(), idf[~dense].tolist()):
             self.sparse[term] = self._weights(a, w)
 
-    def search(self, terms: list[int], k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(doc_id, score) of the k best documents with a score above 0, best first."""
+    def search(self, terms: list[int], k: int, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """(doc_id, score) of the k best documents with a score of `least` or more, best first."""
         rows = np.array([self.row[t] for t in terms if t in self.row], np.int64)
         rare = [self.sparse[t] for t in terms if t in self.sparse]
         score = np.zeros(self.blocks * BLOCK, np.int64)
@@ -144,7 +146,7 @@ class Shard:
         bound = score.max(axis=1) + self.tops[rows].sum(axis=0)
         order = np.argsort(-bound, kind="stable")
         found = np.zeros((0, 2), np.int64)
-        step, done, floor = 8 * (1 + k // BLOCK), 0, 1
+        step, done, floor = 8 * (1 + k // BLOCK), 0, least
         while done < len(order):
             take = order[done:done + step]
             take = take[bound[take] >= floor]
@@ -157,12 +159,12 @@ class Shard:
                 docs = take[good // BLOCK] * BLOCK + good % BLOCK
                 found = np.concatenate([found, np.stack([self.ids[docs], total[good]], axis=1)])
                 found = found[np.lexsort((found[:, 0], -found[:, 1]))][:k]
-                floor = max(1, found[-1, 1]) if len(found) == k else 1
+                floor = max(least, found[-1, 1]) if len(found) == k else least
         return found[:, 0], found[:, 1]
 
     def _dense(self, rows: np.ndarray, take: np.ndarray) -> np.ndarray:
-        """Summed weights of the rows in some blocks. A weight is below 2^20, so 2,000 rows fit 32 bits."""
-        kind = np.int32 if len(rows) < 2000 else np.int64
+        """Summed weights of the rows in some blocks, in 32 bits where the block maxima show that they fit."""
+        kind = np.int32 if len(rows) and self.tops[rows].sum(axis=0).max() < 1 << 31 else np.int64
         if 4 * len(take) < self.blocks:
             return self.rows.reshape(len(self.rows), -1, BLOCK)[rows[:, None], take].sum(axis=0, dtype=kind)
         out = np.zeros(self.blocks * BLOCK, kind)
@@ -185,13 +187,17 @@ def _blocks(rows, size: int):
 def search(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank (from 1), doc_id and score of the k best documents for the distinct words of each query text.
 
-    `queries` has doc_id and text. A query without words, or none of whose words occurs, has no rows. Documents without words are
-    never found; a null doc_id can be found and sorts first among ties; repeated rows are documents of their own, repeated
-    queries with one id are one query of all their words. Empty tables give no rows. The driver holds one block of `QUERIES` queries at a time.
+    `queries` has doc_id and text. A query without id is left out, as its rows could not be told apart; one without words, or none of whose
+    words occurs, has no rows. Documents without words are never found; a null doc_id can be found and sorts first among ties; repeated rows
+    are documents of their own, repeated queries with one id are one query of all their words. Empty tables give no rows.
+
+    Shards are searched in rounds, a few first and then `MORE` times as many each: what is found so far gives each query's k-th score
+    as a bound, below which later shards return nothing. So a query has some k rows a round and not k a shard. The driver holds one block
+    of `QUERIES` queries at a time.
     """
     spark = documents.sparkSession
     shards = materialize(index(documents), "bm25-index")
-    size = shards.agg(F.sum("n_docs").alias("docs"), F.sum("n_words").alias("words")).first()
+    size = shards.agg(F.sum("n_docs").alias("docs"), F.sum("n_words").alias("words"), F.count("*").alias("shards")).first()
     n, mean = size.docs or 0, (size.words or 0) / max(size.docs or 0, 1) or 1.0
 
     def make():
@@ -209,27 +215,43 @@ def search(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     known = materialize(known, "bm25-queries")
     path = new_dir(spark, "bm25-found")
     schema = "query_id BIGINT, doc_id BIGINT, score BIGINT"
-    spark.createDataFrame([], schema).write.parquet(path)
-    for block in _blocks(known.toLocalIterator(prefetchPartitions=True), QUERIES):
-        sent = spark.sparkContext.broadcast([
-            (q.query_id, [t.term for t in q.terms], [t.df for t in q.terms]) for q in block])
-        shards.select("terms", "df", "blob").mapInArrow(_searcher(sent, n, mean, k), schema).write.mode("append").parquet(path)
-        sent.unpersist()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    found = spark.read.schema(schema).parquet(path).withColumn("rank", F.row_number().over(best).cast("bigint")).where(F.col("rank") <= k)
+    lots = F.pmod(F.xxhash64("blob"), F.lit(LOTS))
+    spark.createDataFrame([], schema).write.parquet(f"{path}/block=-1")
+    for number, block in enumerate(_blocks(known.toLocalIterator(prefetchPartitions=True), QUERIES)):
+        bounds, start = {}, 0
+        for until in _rounds(size.shards):
+            sent = spark.sparkContext.broadcast([
+                (q.query_id, [t.term for t in q.terms], [t.df for t in q.terms], bounds.get(q.query_id, 1)) for q in block])
+            some = shards.where((lots >= start) & (lots < until)).select("terms", "df", "blob")
+            some.mapInArrow(_searcher(sent, n, mean, k), schema).write.mode("append").parquet(f"{path}/block={number}")
+            sent.unpersist()
+            if until < LOTS:
+                so_far = spark.read.schema(schema).parquet(f"{path}/block={number}").withColumn("rank", F.row_number().over(best))
+                bounds, start = {q: s for q, s in so_far.where(F.col("rank") == k).select("query_id", "score").collect()}, until
+    found = spark.read.schema(schema).parquet(f"{path}/*").withColumn("rank", F.row_number().over(best).cast("bigint")).where(F.col("rank") <= k)
     return found.select("query_id", "rank", F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), (F.col("score") / SCALE).alias("score"))
 
 
+def _rounds(shards: int) -> list[int]:
+    """Up to which of `LOTS` lots the shards are searched in each round: about `FIRST` shards, then `MORE` times as many."""
+    ends, end = [], max(1, LOTS * FIRST // max(shards, 1))
+    while end < LOTS:
+        ends.append(end)
+        end *= MORE
+    return [*ends, LOTS]
+
+
 def _searcher(sent, n: int, mean: float, k: int):
     def run(batches):
-        df_of = {t: d for _, terms, dfs in sent.value for t, d in zip(terms, dfs)}
+        df_of = {t: d for _, terms, dfs, _ in sent.value for t, d in zip(terms, dfs)}
         wanted, of = np.fromiter(df_of, np.int64, len(df_of)), np.fromiter(df_of.values(), np.float64, len(df_of))
         for batch in batches:
             for i in range(batch.num_rows):
                 terms, df = (batch.column(c)[i].values.to_numpy() for c in (0, 1))
                 shard = Shard(terms, df, batch.column(2)[i].as_py(), mean)
                 shard.prepare(wanted, of, n)
-                found = [(q, *shard.search(terms, k)) for q, terms, _ in sent.value]
+                found = [(q, *shard.search(terms, k, least)) for q, terms, _, least in sent.value]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.repeat(np.array([q for q, _, _ in found], np.int64), [len(ids) for _, ids, _ in found])),
                     pa.array(np.concatenate([ids for _, ids, _ in found])), pa.array(np.concatenate([s for _, _, s in found]))],

@@ -413,6 +413,22 @@ def test_bm25_search(docs, none, monkeypatch):
         monkeypatch.setattr(bm25_search, "DENSE", dense)
         assert _sorted(bm25_search.search(docs, queries, k=7).collect()) == _sorted(expected)
     assert bm25_search.search(none, none).count() == 0 and bm25_search.search(docs, none).count() == 0
+    # Many small shards in several rounds: later ones return what reaches the bounds of the earlier ones only.
+    for name, value in (("SHARD_DOCS", 3), ("FIRST", 1), ("MORE", 2)):
+        monkeypatch.setattr(bm25_search, name, value)
+    assert len(bm25_search._rounds(30)) == 6 and bm25_search._rounds(1) == bm25_search._rounds(0) == [bm25_search.LOTS]
+    assert _sorted(bm25_search.search(docs, queries, k=7).collect()) == _sorted(expected)
+
+
+def test_sums_of_many_rare_terms_do_not_overflow():
+    """A document of 1,999 words that occur nowhere else, alone in its shard, in a corpus of a million."""
+    terms, df, lengths, blob = bm25_search.build_shard([5], [bm25_search.bag_of(" ".join(f"w{i}" for i in range(1999)))])
+    shard = bm25_search.Shard(terms, df, blob, 1999.0)
+    shard.prepare(terms, df.astype(float), 1_000_000)
+    ids, scores = shard.search(terms.tolist(), 10)
+    assert ids.tolist() == [5] and scores[0] == 1999 * int(np.rint(np.log1p((1_000_000 - 0.5) / 1.5) * 1e5)) > 1 << 31
+    assert shard.search(terms.tolist(), 10, least=int(scores[0]))[0].tolist() == [5]
+    assert shard.search(terms.tolist(), 10, least=int(scores[0]) + 1)[0].tolist() == []
 
 
 def test_url_filter(spark):
