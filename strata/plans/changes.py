@@ -10,7 +10,7 @@ from strata.functions import clean
 from strata.operators import cdc, quality, ranking, snapshots
 from strata.operators.snapshot_store import SnapshotStore
 from strata.plans.registry import query
-from strata.sources import files, messages, onboarding
+from strata.sources import files, messages, onboarding, snapshot_stream
 from strata.streaming import runner
 from strata.streaming.changes import ChangeTable
 from strata.tables import table, table_stream
@@ -246,6 +246,27 @@ def order_status_count(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count("o_orderkey").alias("orders_count")))
 
 
+@query(f"""WITH {_SERIES_SQL}, hours(n, version) AS (VALUES (0, '2024-01-01 22'), (1, '2024-01-01 23'), (2, '2024-01-02 00'))
+           SELECT version, o_orderkey, status, price FROM snaps JOIN hours USING (n)""")
+def stream_snapshot_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly snapshot folders as a stream; the last one arrives late and is waited for, though a later one is there."""
+    base = workspace.new_dir(spark, "hourly")
+    frames = [frame for frame, _ in _series(spark, sf_dir)]
+    schema = frames[0].schema
+
+    def run() -> None:
+        feed = snapshot_stream.stream(spark, f"{base}/in", schema.toDDL())
+        runner.finish(runner.append(feed, f"{base}/out", f"{base}/checkpoint"))
+
+    for frame, hour in zip([*frames[:2], frames[0]], ["2024-01-01 22", "2024-01-01 23", "2024-01-02 01"]):
+        frame.write.parquet(f"{base}/in/{hour}")
+    run()
+    frames[2].write.parquet(f"{base}/in/2024-01-02 00")
+    workspace.remove(spark, f"{base}/in/2024-01-02 01")
+    run()
+    return spark.read.schema(f"{schema.toDDL()}, version STRING").parquet(f"{base}/out").select("version", "o_orderkey", "status", "price")
+
+
 def _status_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Order status codes spelled out.
     words = F.when(F.col("o_orderstatus") == "P", "pending").when(F.col("o_orderstatus") == "F", "returned").otherwise("delivered")

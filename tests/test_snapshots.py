@@ -1,4 +1,5 @@
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,9 @@ from pyspark.sql import functions as F
 from strata import workspace
 from strata.operators import snapshots
 from strata.operators.snapshot_store import SnapshotStore
+from strata.sources import snapshot_stream
 from strata.sources import snapshots as folders
+from strata.streaming import runner
 
 SCHEMA = "id INT, status STRING, note STRING"
 STEPS = [[(1, "new", "a"), (2, "new", "b"), (3, "new", "c")],
@@ -112,3 +115,53 @@ def test_digests_notice_what_cancels_out(spark):
 def test_an_unfinished_snapshot_does_not_count(spark, store):
     store.read(10).withColumn("_bucket", F.lit(0)).write.partitionBy("_bucket").parquet(store._rows(14))
     assert store.versions()[-1] == "13"
+
+
+def _hour(spark, root, hour, *rows):
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{root}/{hour}")
+
+
+def _run(spark, root, base, **options):
+    """Run the stream over what is there; all rows so far, and the versions handed over in order."""
+    handed = []
+    feed = snapshot_stream.stream(spark, root, "id INT, status STRING, note STRING, later INT", **options)
+
+    def fold(rows, version):
+        handed.append(version)
+        rows.withColumn("version", F.lit(version)).write.mode("overwrite").parquet(f"{base}/rows/{version}")
+
+    query = feed.writeStream.option("checkpointLocation", f"{base}/check").foreachBatch(snapshot_stream.in_order(fold)).trigger(availableNow=True).start()
+    runner.finish(query)
+    return handed
+
+
+def test_snapshot_stream_waits_at_gaps_and_goes_on(spark, rows):
+    root, base = workspace.new_dir(spark, "hourly"), workspace.new_dir(spark, "read")
+    _hour(spark, root, "2024-01-01 23", (1, "new", "a"), (2, "new", None))
+    _hour(spark, root, "2024-01-02 00", (1, "paid", "a"))
+    _hour(spark, root, "2024-01-02 02", (1, "late", "a"))
+    workspace.write_text(spark, f"{root}/2024-01-02 01/part-0.parquet", "not complete")
+    workspace.write_text(spark, f"{root}/notes/readme", "no hour")
+    assert _run(spark, root, base) == ["2024-01-01 23", "2024-01-02 00"]
+    assert _run(spark, root, base) == []
+    workspace.remove(spark, f"{root}/2024-01-02 01")
+    assert _run(spark, root, base) == []
+    _hour(spark, root, "2024-01-02 01", (3, "new", "c"))
+    assert _run(spark, root, base) == ["2024-01-02 01", "2024-01-02 02"]
+    # Folders that were read may go, if the query is told where it was.
+    workspace.remove(spark, f"{root}/2024-01-01 23")
+    _hour(spark, root, "2024-01-02 03", (4, "new", "d"))
+    assert _run(spark, root, base, after="2024-01-02 02") == ["2024-01-02 03"]
+    got = spark.read.parquet(f"{base}/rows/*").select("version", "id", "status", "note", "later")
+    assert rows(got) == sorted([("2024-01-01 23", 1, "new", "a", None), ("2024-01-01 23", 2, "new", None, None), ("2024-01-02 00", 1, "paid", "a", None),
+                                ("2024-01-02 01", 3, "new", "c", None), ("2024-01-02 02", 1, "late", "a", None), ("2024-01-02 03", 4, "new", "d", None)], key=str)
+
+
+def test_reachable_hours():
+    hours = [datetime(2024, 1, 1, h) for h in (3, 4, 6, 7)]
+    yes = lambda h: True
+    assert snapshot_stream.reachable(hours, None, yes, False) == hours[1]
+    assert snapshot_stream.reachable(hours, hours[1], yes, False) == hours[1]
+    assert snapshot_stream.reachable(hours, hours[1], yes, True) == hours[3]
+    assert snapshot_stream.reachable(hours, None, lambda h: h != hours[2], True) == hours[1]
+    assert snapshot_stream.reachable([], None, yes, False) is None
