@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,7 @@ from strata.functions import clean
 from strata.operators import quality
 from strata.plans.registry import query
 from strata.sources import archives, evolving, files, messages, onboarding, sinks
+from strata.sources.storage import store_of
 from strata.streaming import runner
 from strata.tables import SCHEMAS, table, table_stream
 
@@ -388,3 +391,43 @@ def _pack(batches):
             yield pd.DataFrame({"path": [f"mail/{part['doc_id'].iloc[0]}.tar.gz"],
                                 "modificationTime": [pd.Timestamp("2024-01-01")],
                                 "length": [len(content)], "content": [content]})
+
+
+def _mail(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of archives of a hundred documents each, packed once for each table and shared folder."""
+    path = f"{workspace.root(spark)}/strata/mail-{hashlib.md5(sf_dir.encode()).hexdigest()}"
+    if not workspace.committed(spark, path):
+        def pack(key, rows):
+            import pandas as pd
+
+            name = f"{path}/{key[0]:09d}.tar.gz"
+            store, target = store_of(name)
+            with store.open_output_stream(target, compression=None) as out:
+                out.write(next(_pack(iter([rows.sort_values("doc_id")])))["content"][0])
+            return pd.DataFrame({"name": [name]})
+
+        workspace.write_text(spark, f"{path}/_READ_ME", "archives of documents", replace=True)
+        docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.expr("doc_id DIV 100").alias("lot"))
+        docs.groupBy("lot").applyInPandas(lambda key, rows: pack(key, rows.drop(columns="lot")), "name STRING").collect()
+        workspace.write_text(spark, f"{path}/_SUCCESS", "")
+    return path
+
+
+@query("""SELECT lpad(CAST(doc_id // 100 AS VARCHAR), 9, '0') || '.tar.gz' AS name, TRUE AS has_length, 3 AS n_columns
+          FROM documents GROUP BY ALL""")
+def archive_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of stored archives that are listed, not opened."""
+    listed = archives.archive_files(spark, _mail(spark, sf_dir), streaming=True, with_content=False)
+    rows = runner.appended(listed, "listing")
+    return rows.select(F.element_at(F.split("path", "/"), -1).alias("name"), (F.col("length") > 100).alias("has_length"),
+                       F.lit(len(rows.columns)).alias("n_columns"))
+
+
+@query("""SELECT doc_id, md5(rtrim(text, E' \\t\\n\\r\\x0b\\x0c')) AS body_md5, CAST(NULL AS VARCHAR) AS error,
+                 lpad(CAST(doc_id // 100 AS VARCHAR), 9, '0') || '.tar.gz' AS name FROM documents""")
+def untar_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of stored archives, which the tasks read as streams."""
+    members = archives.unpack_stored(archives.archive_files(spark, _mail(spark, sf_dir), with_content=False))
+    body = F.split("body", "\n", 2)
+    return members.select(body[0].cast("bigint").alias("doc_id"), F.md5(body[1]).alias("body_md5"), "error",
+                          F.element_at(F.split("path", "/"), -1).alias("name"))

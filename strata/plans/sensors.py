@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata import workspace
 from strata.operators import timeseries
 from strata.plans.registry import query
-from strata.streaming import changes, integral, runner, windows
+from strata.streaming import changes, integral, runner, timers, windows
 from strata.tables import table, table_stream
 
 _SUM = "CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE)"
@@ -98,6 +99,28 @@ def stream_strict_time_weighted_average(spark: SparkSession, sf_dir: str) -> Dat
     return _streamed(spark, sf_dir, integral.strict_time_weighted_average, "strict-integral")
 
 
+_LATE = "event_id % 10 = 0 AND ts < TIMESTAMP '2024-01-10'"
+_IN_TIME_SQL = _INTEGRAL_SQL.replace("FROM events)", f"FROM events WHERE NOT ({_LATE}))", 1)
+
+
+@query(f"""WITH {_IN_TIME_SQL} SELECT CAST(user_id AS VARCHAR) AS location_id, event_type AS sensor, interval_end, value, count_rows
+           FROM averages WHERE e <= (SELECT MAX(ts) - INTERVAL 10 MINUTE FROM events)""")
+def stream_timer_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timers close the intervals, also of keys that have gone silent; the tenth of the rows that arrives ten days late is refused."""
+    base = workspace.new_dir(spark, "timers")
+    events = table(spark, sf_dir, "events").withColumn("late", F.expr(_LATE))
+    lots = ["NOT late AND ts < TIMESTAMP '2024-01-20'", "late", "NOT late AND ts >= TIMESTAMP '2024-01-20'"]
+    schema = "location_id STRING, sensor STRING, timestamp TIMESTAMP, value DOUBLE"
+    for lot in lots:
+        rows = events.where(lot).select(F.col("user_id").cast("string").alias("location_id"), F.col("event_type").alias("sensor"),
+                                        F.col("ts").alias("timestamp"), "value")
+        rows.write.mode("append").parquet(f"{base}/in")
+        averages = timers.timed_average(spark.readStream.schema(schema).parquet(f"{base}/in"), 360, piece_seconds=3600)
+        runner.finish(runner.append(averages, f"{base}/out", f"{base}/checkpoint"))
+    out = spark.read.schema(integral.OUTPUT).parquet(f"{base}/out")
+    return out.select("location_id", "sensor", F.unix_seconds("timestamp").alias("interval_end"), "value", "count_rows")
+
+
 _BINS_SQL = """bins AS (SELECT user_id, epoch_us(ts) // 21600000000 * 21600 AS bin, MAX(value) AS m FROM events GROUP BY 1, 2),
   spans AS (SELECT user_id, MIN(bin) AS lo, MAX(bin) AS hi FROM bins GROUP BY 1),
   grid AS (SELECT user_id, unnest(generate_series(lo, hi, 21600)) AS bin FROM spans),

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import io
 import tarfile
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
+from contextlib import AbstractContextManager
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.storage import store_of
+
 MEMBERS = "path STRING, modificationTime TIMESTAMP, length BIGINT, member_id STRING, body STRING, error STRING"
 # Output is handed to Spark whenever this much text has been unpacked, so a task holds
 # one archive and one such portion, whatever the number of members.
@@ -35,44 +40,63 @@ def split_path(df: DataFrame, path: str = "path") -> DataFrame:
     return df.withColumn("bucket_name", F.get(parts, F.lit(2))).withColumn("source_key", F.get(parts, F.lit(3)))
 
 
-def _members(content: bytes) -> Iterator[bytes]:
-    with tarfile.open(fileobj=io.BytesIO(content), mode="r|gz") as archive:
+def _members(source: BinaryIO) -> Iterator[bytes]:
+    with tarfile.open(fileobj=source, mode="r|gz") as archive:
         for entry in archive:
             if entry.isfile():
                 yield archive.extractfile(entry).read().rstrip()
 
 
-def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _unpacked(batches: Iterator[pd.DataFrame], opened: Callable[[tuple], AbstractContextManager[BinaryIO]]) -> Iterator[pd.DataFrame]:
     columns = ["path", "modificationTime", "length", "member_id", "body", "error"]
     for batch in batches:
         for file in batch.itertuples(index=False):
             stem = file.path.replace("/", "_").replace(".", "_")
             rows, held = [], 0
             try:
-                for i, body in enumerate(_members(file.content)):
-                    try:
-                        text, problem = body.decode(), None
-                    except UnicodeDecodeError as failure:
-                        text, problem = None, repr(failure)
-                    rows.append((file.path, file.modificationTime, file.length, f"{stem}{i}", text, problem))
-                    held += len(body)
-                    if held >= PORTION_BYTES:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows, held = [], 0
-            except (tarfile.TarError, OSError, EOFError) as failure:
+                with opened(file) as source:
+                    for i, body in enumerate(_members(source)):
+                        try:
+                            text, problem = body.decode(), None
+                        except UnicodeDecodeError as failure:
+                            text, problem = None, repr(failure)
+                        rows.append((file.path, file.modificationTime, file.length, f"{stem}{i}", text, problem))
+                        held += len(body)
+                        if held >= PORTION_BYTES:
+                            yield pd.DataFrame(rows, columns=columns)
+                            rows, held = [], 0
+            except (tarfile.TarError, OSError, EOFError, zlib.error) as failure:
                 rows.append((file.path, file.modificationTime, file.length, None, None, repr(failure)))
             if rows:
                 yield pd.DataFrame(rows, columns=columns)
 
 
 def unpack_archives(files: DataFrame) -> DataFrame:
-    """One row per member of every tar.gz; an unreadable archive gives one row with ``error``
+    """One row per member of every tar.gz in column content; an unreadable archive gives one row with ``error``
     set, a member that is no UTF-8 text a row with ``error`` and without body.
 
     Archives are independent rows, so Spark spreads them over the cluster. How many a task
-    holds at once is bounded by ``spark.sql.execution.arrow.maxBytesPerBatch``.
+    holds at once is bounded by ``spark.sql.execution.arrow.maxBytesPerBatch``. Contents are limited to 2 GB; see `unpack_stored`.
+    """
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _unpacked(batches, lambda file: io.BytesIO(file.content))
+
+    return files.select("path", "modificationTime", "length", "content").mapInPandas(unpack, MEMBERS)
+
+
+def unpack_stored(files: DataFrame) -> DataFrame:
+    """The same for a listing without contents: each archive is read from storage as a stream by the task that unpacks it.
+
+    Archives may have any size; a task holds one member and a portion of text. Works on batch and streaming listings.
     """
-    return files.select("path", "modificationTime", "length", "content").mapInPandas(_unpack, MEMBERS)
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def opened(file: tuple) -> AbstractContextManager[BinaryIO]:
+            store, path = store_of(file.path)
+            return store.open_input_stream(path, compression=None)
+
+        return _unpacked(batches, opened)
+
+    return files.select("path", "modificationTime", "length").mapInPandas(unpack, MEMBERS)
 
 
 def unpack_list(df: DataFrame, key: str, items: str) -> DataFrame:

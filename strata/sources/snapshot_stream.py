@@ -22,20 +22,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from strata.sources.snapshots import HOUR_FORMAT
+from strata.sources.storage import store_of
 
 VERSION = "version"
 
 
-def _store(root: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a URI or a local path; the same on the driver and in tasks."""
-    if root.startswith("file:"):
-        root = "/" + root.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
-
-
 def _hours(root: str) -> list[datetime]:
     """Hours for which there is a folder, in order; one listing."""
-    store, path = _store(root)
+    store, path = store_of(root)
     found = []
     for info in store.get_file_info(fs.FileSelector(path, allow_not_found=True)):
         try:
@@ -86,7 +80,7 @@ class _Reader(DataSourceStreamReader):
         return datetime.strptime(text, HOUR_FORMAT) if text else None
 
     def _complete(self, hour: datetime) -> bool:
-        store, path = _store(f"{self.root}/{hour.strftime(HOUR_FORMAT)}/_SUCCESS")
+        store, path = store_of(f"{self.root}/{hour.strftime(HOUR_FORMAT)}/_SUCCESS")
         return store.get_file_info(path).type == fs.FileType.File
 
     def initialOffset(self) -> dict:
@@ -102,13 +96,13 @@ class _Reader(DataSourceStreamReader):
         for hour in _hours(self.root):
             if until is not None and hour <= until and (since is None or hour > since):
                 version = hour.strftime(HOUR_FORMAT)
-                store, path = _store(f"{self.root}/{version}")
+                store, path = store_of(f"{self.root}/{version}")
                 found += [Files(info.path, version) for info in store.get_file_info(fs.FileSelector(path, recursive=True))
                           if info.type == fs.FileType.File and info.base_name[0] not in "._" and info.size]
         return found
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
-        store, _ = _store(self.root)
+        store, _ = store_of(self.root)
         target = to_arrow_schema(self.schema)
         names = [f.name for f in target if f.name != VERSION]
         with store.open_input_file(partition.path) as file:

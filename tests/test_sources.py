@@ -100,6 +100,26 @@ def test_unpack_archives(spark, monkeypatch, portion):
     assert {r.path for r in found if r.error} == {"s/bad.tar.gz", "s/none.tar.gz"}
 
 
+def test_stored_archives_are_read_by_the_tasks(spark, tmp_path):
+    """Names that URIs escape, damaged files, an empty one; the listing itself opens nothing."""
+    from strata.streaming import runner
+
+    good = tarball([("a", b"one"), ("b", b"\xff"), ("c", b"two\n")])
+    for name, content in (("x y%.tar.gz", good), ("cut.tar.gz", good[:40]), ("none.tar.gz", b"not an archive"), ("flip.tar.gz", good[:30] + b"\0" + good[31:]),
+                          ("empty.tar.gz", b"")):
+        (tmp_path / name).write_bytes(content)
+    listed = archives.archive_files(spark, str(tmp_path), with_content=False)
+    assert listed.columns == ["path", "modificationTime", "length"] and listed.count() == 4  # Spark lists no empty files
+    assert "content" not in listed._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+    got = archives.unpack_stored(listed).collect()
+    assert sorted((r.body, r.error is None) for r in got if "x y%" in r.path and r.body) == [("one", True), ("two", True)]
+    assert {r.path.rsplit("/", 1)[1][:4] for r in got if r.error} >= {"x y%", "cut.", "none"} and {r.length for r in got if r.body == "one"} == {len(good)}
+    base = str(tmp_path / "out")
+    runner.finish(runner.append(archives.unpack_stored(archives.archive_files(spark, str(tmp_path / "*.gz"), streaming=True, with_content=False)),
+                                base, f"{base}-check"))
+    assert spark.read.parquet(base).count() == len(got)
+
+
 def test_unpack_archives_as_a_stream_of_files(spark, tmp_path):
     from strata.streaming import runner
 

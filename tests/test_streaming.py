@@ -1,10 +1,11 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from strata import workspace
 from strata.operators import cdc, quality
 from strata.sources import files
-from strata.streaming import changes, integral, runner, windows
+from strata.streaming import changes, integral, runner, timers, windows
 from strata.streaming.changes import ChangeTable
 
 READING = "location_id STRING, sensor STRING, timestamp TIMESTAMP, value FLOAT"
@@ -14,6 +15,7 @@ def at(clock):
     return f"2024-01-01 {clock}:00"
 
 
+# The worked example of readings and the averages it must give.
 RUNBOOK = [
     [("L1", "Wind_Speed", "12:11", 10.0), ("L1", "Wind_Speed", "12:12", 20.0)],
     [("L1", "Wind_Speed", "12:14", 40.0), ("L1", "Wind_Speed", "12:19", 30.0), ("L1", "Wind_Speed", "12:40", 1.0)],
@@ -42,20 +44,28 @@ def feed_batches(spark, batches, average):
     return emitted
 
 
-@pytest.mark.parametrize("average", [integral.time_weighted_average, integral.strict_time_weighted_average])
+@pytest.mark.parametrize("average", [integral.time_weighted_average, integral.strict_time_weighted_average, timers.timed_average])
 def test_runbook(spark, average):
     assert feed_batches(spark, RUNBOOK, average) == CLOSED
 
 
-@pytest.mark.parametrize("average, rows, early", [(integral.time_weighted_average, 2, 0), (integral.strict_time_weighted_average, 1, 1)])
+@pytest.mark.parametrize("average, rows, early", [(integral.time_weighted_average, 2, 0), (integral.strict_time_weighted_average, 1, 1), (timers.timed_average, 1, 0)])
 def test_lateness(spark, average, rows, early):
-    """The strict form refuses the late row, and emits as soon as the watermark is at the interval's end."""
+    """The strict forms refuse the late row; the aggregate emits as soon as the watermark is at the interval's end, the timer once it is past."""
     emitted = feed_batches(spark, LATE, average)
     assert emitted[2] == emitted[3][:early]
     assert emitted[3][:1] == [("k", "s", "12:20", 1.0, rows)]
     assert emitted[4][:3] == [("k", "s", "12:20", 1.0, rows), ("x", "s", "12:30", 1.0, 1), ("x", "s", "12:40", 1.0, 1)]
 
 
+def test_area_over_pieces_equals_the_area_of_all():
+    points = np.array([(90_000_000, 2.0), (150_000_000, 5.0), (200_000_000, 1.0), (420_000_000, 4.0)], timers.POINT)
+    whole = timers.area_until_last(points, 0, None)
+    assert whole == 2.0 * 1 + 2.0 * 1 + 5.0 * 0 + 1.0 * 3
+    first, rest = points[:2], points[2:]
+    assert timers.area_until_last(first, 0, None) + timers.area_until_last(rest, int(first["t"][-1]), float(first["v"][-1])) == whole
+
+
 CHANGE = "id INT, seq INT, op STRING, v STRING"
 BATCHES = [[(1, 1, "U", "a"), (2, 1, "U", "b"), (1, 4, "U", "d")], [(2, 3, "D", "b"), (1, 2, "U", "z"), (3, 1, "U", "c")],
            [(2, 2, "U", "late"), (3, 5, "D", None)], [(3, 6, "U", "again"), (1, 3, "U", "y")]]
