@@ -180,11 +180,11 @@ def _series(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, str]]:
     return [(snapshot(spark, sf_dir, day), day) for day in DATES]
 
 
-def _stored(spark: SparkSession, sf_dir: str, days: list[str] = DATES) -> SnapshotStore:
+def _stored(spark: SparkSession, sf_dir: str) -> SnapshotStore:
     """The series in a store with bucket digests."""
-    frames = [snapshot(spark, sf_dir, day) for day in days]
-    store = SnapshotStore(spark, workspace.new_dir(spark, "snapshots"), frames[0].schema, ["o_orderkey"], buckets=16)
-    for frame, day in zip(frames, days):
+    series = _series(spark, sf_dir)
+    store = SnapshotStore(spark, workspace.new_dir(spark, "snapshots"), series[0][0].schema, ["o_orderkey"], buckets=16)
+    for frame, day in series:
         store.write(frame, day)
     return store
 
@@ -202,7 +202,8 @@ def snapshot_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
            FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey
            WHERE a.n IS NULL OR b.n IS NULL OR a.status <> b.status OR a.price <> b.price""")
 def snapshot_change_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(spark, sf_dir, DATES[1:]).change_set(*DATES[1:])
+    (_, _), (older, _), (newer, _) = _series(spark, sf_dir)
+    return snapshots.change_set(older, newer, ["o_orderkey"])
 
 
 # Orders below this key get another price in the second snapshot.

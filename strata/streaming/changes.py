@@ -1,14 +1,17 @@
 """Change feeds as streams into a keyed table on plain files.
 
 Each micro-batch is reduced to what a reader needs and stored as one folder named by
-its batch id, so a repeated batch replaces itself. The cost of a batch depends on the
-batch, not on the table. `compact` folds older folders into a base from time to time;
+its batch id. A folder gets its name when it is complete, so readers see whole batches only, and a
+batch that is repeated after that changes nothing. The cost of a batch depends on the
+batch, not on the table. `compact` folds older folders into a base every so many batches;
 batch and base folders older than the newest base are no longer read.
 Deletes stay in the stored rows, so a late change cannot bring a deleted key back.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +26,7 @@ class ChangeTable:
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], sequence_by: str,
                  deletes: str | None = None, except_columns: list[str] = (), scd_type: int = 1,
-                 compact_every: int | None = None):
+                 compact_every: int | None = 100):
         self.compact_every = compact_every
         self.spark, self.path, self.keys, self.sequence_by = spark, path, keys, sequence_by
         self.deletes, self.except_columns, self.scd_type = deletes, list(except_columns), scd_type
@@ -38,16 +41,22 @@ class ChangeTable:
 
     def fold(self, batch: DataFrame, batch_id: int) -> None:
         """Store one micro-batch."""
-        flagged = cdc.flag_deletes(batch, self.deletes)
-        self._merged(flagged).write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch_id}")
+        self._complete(self._merged(cdc.flag_deletes(batch, self.deletes)), f"changes/batch={batch_id}")
         if self.compact_every and batch_id % self.compact_every == self.compact_every - 1:
             self.compact()
 
+    def _complete(self, rows: DataFrame, name: str) -> None:
+        """Write `rows` aside and give them their name, unless they have it already from a run before."""
+        final = f"{self.path}/{name}"
+        if not workspace.exists(self.spark, final):
+            staged = f"{self.path}/staged/{uuid.uuid4().hex}"
+            rows.write.parquet(staged)
+            workspace.make_dir(self.spark, final.rsplit("/", 1)[0])
+            workspace.rename(self.spark, staged, final)
+
     def _base(self) -> int:
-        """Last batch id covered by the newest finished base, -1 without one."""
-        names = workspace.child_dirs(self.spark, f"{self.path}/base")
-        done = [n for n in names if workspace.committed(self.spark, f"{self.path}/base/{n}")]
-        return max((int(n.split("=")[1]) for n in done), default=-1)
+        """Last batch id covered by the newest base, -1 without one."""
+        return max((int(n.split("=")[1]) for n in workspace.child_dirs(self.spark, f"{self.path}/base")), default=-1)
 
     def _changes(self, last: int | None = None) -> DataFrame:
         """Stored rows: the base plus the batches after it, up to `last`."""
@@ -76,7 +85,7 @@ class ChangeTable:
         if not ids or max(ids) <= self._base():
             return
         last = max(ids)
-        self._merged(self._changes(last)).write.mode("overwrite").parquet(f"{self.path}/base/through={last}")
+        self._complete(self._merged(self._changes(last)), f"base/through={last}")
 
     def run(self, changes: DataFrame, checkpoint: str, every: str | None = None):
         """Start folding a stream of changes into this table."""

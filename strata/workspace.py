@@ -74,6 +74,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    """Create a folder and those above it, where they are missing."""
+    _file_system(spark, path).mkdirs(_hadoop_path(spark, path))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library has written."""
     _file_system(spark, path).delete(_hadoop_path(spark, path), True)

@@ -94,6 +94,18 @@ def test_change_table(spark, rows, scd_type):
     assert rows(target.read().select(*expected.columns)) == rows(expected)
 
 
+def test_a_batch_that_was_not_finished_is_not_seen(spark, rows):
+    target = ChangeTable(spark, workspace.new_dir(spark, "changes"), spark.createDataFrame([], CHANGE).schema, ["id"], "seq")
+    target.fold(spark.createDataFrame(BATCHES[0], CHANGE), 0)
+    before = rows(target.read())
+    # What a job leaves that died while it wrote the next batch.
+    cut = spark.createDataFrame(BATCHES[1], CHANGE).withColumn("_deleted", F.lit(False))
+    cut.write.parquet(f"{target.path}/staged/cut-off")
+    assert rows(target.read()) == before
+    target.fold(spark.createDataFrame(BATCHES[1], CHANGE), 1)
+    assert rows(target.read()) == rows(cdc.apply_changes(spark.createDataFrame(BATCHES[0] + BATCHES[1], CHANGE), ["id"], "seq"))
+
+
 def test_change_table_as_a_stream_over_growing_files(spark, rows):
     base = workspace.new_dir(spark, "feed")
     schema = spark.createDataFrame([], CHANGE).schema
