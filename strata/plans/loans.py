@@ -18,6 +18,7 @@ from strata.tables import table
 
 # The statuses that settle a loan, and the one that is good.
 SETTLED, GOOD = ["Default", "Charged Off", "Fully Paid"], "Fully Paid"
+# The columns that the model is trained on.
 CATEGORICAL = ["term", "home_ownership", "purpose", "addr_state", "verification_status", "application_type"]
 NUMERIC = ["loan_amnt", "emp_length", "annual_inc", "dti", "delinq_2yrs", "revol_util", "total_acc",
            "credit_length_in_years"]

@@ -35,7 +35,7 @@ def tumbling_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
              {_SUM} / COUNT(*) AS average
            FROM (SELECT *, time_bucket(INTERVAL 1 MINUTE, ts) AS w FROM events) GROUP BY event_type, w""")
 def tumbling_avg_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = windows.tumbling(table_stream(spark, sf_dir, "events"), "ts", "1 minute", _totals(), ["event_type"])
+    rows = windows.tumbling(table_stream(spark, sf_dir, "events"), "ts", "1 minute", _totals(), ["event_type"], delay="1 day")
     return _average(windows.flat(changes.upserted(rows, ["event_type", "window"], "windows-by-key")))
 
 
