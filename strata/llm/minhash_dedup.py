@@ -9,8 +9,10 @@ Bands of bins are the buckets; two sets of Jaccard similarity s share none of 32
 Within a bucket, edges form stars: every member is compared with a hub only. A member that is connected with all others
 of its bucket needs no further comparison, so a group of near copies costs one edge a member. Members that are not yet
 connected meet in further rounds with more and more hubs, each of which leaves the bucket once it has met the others, until no
-bucket holds two groups: no pair of a bucket is lost, none within a connected group is made. Edges are links only after
-their full sets were compared; size and a parity sketch, which can only underestimate the difference, rule out most others before.
+bucket holds two groups: no pair of a bucket is lost, none within a connected group is made. Large buckets of nodes that are not
+connected, such as different documents around one passage, are first replaced by buckets of their rarest grams, exactly as
+many as similar sets need to share one, where the gram's place in a set bounds the size of its partner. Edges are links only after their full sets were compared; size and a parity sketch, which
+can only underestimate the difference, rule out most others before.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import components
@@ -32,8 +34,10 @@ from strata.workspace import materialize
 BINS, BAND = 128, 4
 #: Longs of the parity sketch.
 SKETCH = 16
-#: Hubs of a bucket in the first round, and how many times as many each further round has.
-FIRST_HUBS, MORE_HUBS = 1, 64
+#: How many times as many hubs a bucket has in each round; one in the first.
+HUBS = 64
+#: Members from which a bucket that its hub did not connect is replaced by finer ones.
+CROWD = 16
 #: Members that meet their hub in one group of the comparison.
 TOGETHER = 256
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -120,40 +124,89 @@ def _verify(edges: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, percen
 
 
 def _texts(documents: DataFrame, nodes: DataFrame, live: DataFrame) -> DataFrame:
-    """node and text of the nodes that share a bucket with another one."""
-    wanted = nodes.join(live.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("of"), "text_key")
+    """node, n_shingles and text of the nodes that share a bucket with another one."""
+    wanted = nodes.join(live.select("node").distinct(), "node", "left_semi").select(
+        "node", "n_shingles", F.col("doc_id").alias("of"), "text_key")
     return (documents.select("doc_id", "text", F.xxhash64("text").alias("text_key")).join(wanted, "text_key")
-            .where(F.col("doc_id").eqNullSafe(F.col("of"))).dropDuplicates(["node"]).select("node", "text"))
+            .where(F.col("doc_id").eqNullSafe(F.col("of"))).dropDuplicates(["node"]).select("node", "n_shingles", "text"))
 
 
-def _links(documents: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
-    """Verified edges (a, b) that connect all nodes that similar sets of a common bucket connect."""
+def _finer(crowded: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """bucket, node, size and most: buckets of single grams instead of those of `crowded`, for the same pairs.
+
+    With grams in order of the number of crowded nodes that have them, two sets of n and m grams that are similar share one among
+    their first n - ceil(t n) + 1 and m - ceil(t m) + 1. Grams of one node only come first and are shared by nobody.
+    """
+
+    def make():
+        def work(rows):
+            return [rows["node"], rows["n_shingles"], [gram_set(text, n).view(np.int64) for text in rows["text"]]]
+
+        return work
+
+    members = texts.join(crowded.select("node").distinct(), "node", "left_semi")
+    listed = map_rows(members, ["node", "n_shingles", "text"], "node BIGINT, size BIGINT, grams ARRAY<BIGINT>", make)
+    grams = materialize(listed.select("node", "size", F.explode("grams").alias("gram")), "grams")
+    common = grams.groupBy("gram").agg(F.count("*").alias("seen")).where("seen > 1")
+    place = F.row_number().over(Window.partitionBy("node").orderBy("seen", "gram"))
+    alone = F.col("size") - F.count("*").over(Window.partitionBy("node"))
+    placed = grams.join(common, "gram").select("node", "size", "gram", (alone + place).alias("place"))
+    return (placed.where(F.col("place") <= F.col("size") - F.floor((percent * F.col("size") + 99) / 100) + 1)
+            .select(F.col("gram").alias("bucket"), "node", "size", _most(percent, "place").alias("most")))
+
+
+def _most(percent: int, place: str | None = None):
+    """The size of the largest similar set whose first gram in common is at `place` (the first if None) in the order of grams.
+
+    The overlap is that gram and what follows it, at most. Of two similar sets the smaller one's `most` is its own size or more.
+    """
+    follows = F.col("size") - (F.lit(1) if place is None else F.col(place)) + 1
+    return F.floor((100 + percent) * follows / percent).cast("bigint") - F.col("size")
+
+
+def _linked(documents: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
+    """node and component of the nodes that similar sets of a common bucket connect."""
     spark = documents.sparkSession
-    postings = nodes.select("node", F.explode("buckets").alias("bucket"))
+    postings = nodes.select("node", F.col("n_shingles").alias("size"), F.explode("buckets").alias("bucket"))
     shared = postings.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("bucket")
-    live = materialize(postings.join(shared, "bucket"), "buckets")
+    columns = ["bucket", "node", "size", "most"]
+    live = materialize(postings.withColumn("most", _most(percent)).join(shared, "bucket").select(*columns), "buckets")
     texts = materialize(_texts(documents, nodes, live), "texts")
-    links, labels, hubs_each = spark.createDataFrame([], "a BIGINT, b BIGINT"), None, FIRST_HUBS
+    links, labels = spark.createDataFrame([], "a BIGINT, b BIGINT"), spark.createDataFrame([], "node BIGINT, component BIGINT")
+    hubs_each, refined = 1, False
+    may_be_hub = F.col("most") >= F.col("size")
     while True:
-        if labels is None:
-            placed = live.withColumn("component", F.col("node"))
-        else:
-            placed = live.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            split = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-            placed = materialize(placed.join(split.select("bucket"), "bucket").select("bucket", "node", "component"), "placed")
-            if placed.isEmpty():
-                return links
-        slot = F.pmod(F.xxhash64("component"), F.lit(hubs_each))
-        hubs = placed.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "component")).alias("of"))
-        hubs = materialize(hubs.select("bucket", F.col("of.node").alias("hub"), F.col("of.component").alias("hub_component")), "hubs")
-        # A pair meets once: of two hubs of one bucket, the smaller is the hub of the other.
+        placed = live.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        split = (placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members"),
+                                              F.max(may_be_hub).alias("open"))
+                 .where("lo < hi AND open").select("bucket", "members"))
+        placed = materialize(placed.join(split, "bucket").select(*columns, "component", "members"), "placed")
+        if placed.isEmpty():
+            return labels
+        if hubs_each > 1 and not refined:
+            # Large buckets that their hub did not connect.
+            refined, crowded = True, placed.where(F.col("members") > CROWD)
+            if not crowded.isEmpty():
+                hubs_each = 1
+                small = placed.where(F.col("members") <= CROWD).select(*columns)
+                live = materialize(small.union(_finer(crowded, texts, n, percent).select(*columns)), "finer")
+                continue
+        # First hubs of different components, which leave large ones behind at once; then ever more of all nodes.
+        slot = F.pmod(F.xxhash64("component" if hubs_each <= HUBS else "node"), F.lit(hubs_each))
+        hubs = placed.where(may_be_hub).groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "component", "size", "most")).alias("of"))
+        hubs = materialize(hubs.select("bucket", F.col("of.node").alias("hub"), *[F.col(f"of.{c}").alias(f"hub_{c}") for c in ("component", "size", "most")]), "hubs")
         is_hub = hubs.select("bucket", F.col("hub").alias("node"), F.lit(True).alias("is_hub"))
         marked = placed.join(is_hub, ["bucket", "node"], "left")
-        meet = ((F.col("component") != F.col("hub_component")) & (F.col("is_hub").isNull() | (F.col("hub") < F.col("node"))))
+        # A pair meets once: of two hubs of one bucket, the smaller is the hub of the other.
+        meet = ((F.col("component") != F.col("hub_component")) & (F.col("is_hub").isNull() | (F.col("hub") < F.col("node")))
+                & (F.col("size") <= F.col("hub_most")) & (F.col("hub_size") <= F.col("most")))
         edges = marked.join(hubs, "bucket").where(meet).select("hub", "node").distinct()
-        links = materialize(links.union(_verify(edges, nodes, texts, n, percent)), "links")
-        live = marked.where("is_hub IS NULL").select("bucket", "node")
-        labels, hubs_each = components.label(links), hubs_each * MORE_HUBS
+        found = materialize(_verify(edges, nodes, texts.select("node", "text"), n, percent), "links")
+        live = materialize(marked.where("is_hub IS NULL").select(*columns), "live")
+        if not found.isEmpty():
+            links = links.union(found)
+            labels = components.label(links)
+        hubs_each *= HUBS
 
 
 def cluster(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -172,7 +225,7 @@ def cluster(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch"))
         .select(F.monotonically_increasing_id().alias("node"), "digest", "least", "of.doc_id", "of.text_key", "n_shingles", "buckets",
                 "sketch"), "nodes")
-    labels = components.label(_links(documents, nodes, n, percent))
+    labels = _linked(documents, nodes, n, percent)
     # Only sets that differ from a linked one have a label; all others are their own component.
     of = nodes.join(labels, "node").groupBy("component").agg(F.min("least").alias("linked"))
     linked = labels.join(of, "component").select("node", "linked")

@@ -125,6 +125,23 @@ def test_different_documents_around_one_passage(spark, monkeypatch):
     assert sum(seen) < 12 * len(texts)
 
 
+def test_rounds_grow_with_the_logarithm_of_a_bucket(spark, monkeypatch):
+    """A large group of copies in one bucket with many longer documents that are similar to none of them."""
+    monkeypatch.setattr(minhash_dedup, "CROWD", 4)
+    monkeypatch.setattr(minhash_dedup, "HUBS", 4)
+    r = random.Random(31)
+    base = _prose(r, 60).split()
+    texts = [" ".join([*base[:i], _prose(r, 1), *base[i:]]) for i in range(60)]
+    texts += [" ".join([*base, _prose(r, 22)]) for _ in range(60)]
+    rounds = []
+    verify = minhash_dedup._verify
+    monkeypatch.setattr(minhash_dedup, "_verify", lambda *a: rounds.append(1) or verify(*a))
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert _sorted(minhash_dedup.cluster(docs, 4, 80).collect()) == _sorted(_groups(rows, 4, 80))
+    assert len(rounds) <= 6
+
+
 def test_densified_signature():
     """A bin agrees as often as the sets are similar, for sets smaller and larger than the number of bins."""
     r = np.random.RandomState(3)
