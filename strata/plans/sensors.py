@@ -116,7 +116,7 @@ def stream_timer_average(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         F.col("ts").alias("timestamp"), "value")
         rows.write.mode("append").parquet(f"{base}/in")
         averages = timers.timed_average(spark.readStream.schema(schema).parquet(f"{base}/in"), 360, piece_seconds=3600)
-        runner.finish(runner.append(averages, f"{base}/out", f"{base}/checkpoint"))
+        runner.finish(runner.append(averages, f"{base}/out", f"{base}/checkpoint", conf=timers.SETTINGS))
     out = spark.read.schema(integral.OUTPUT).parquet(f"{base}/out")
     return out.select("location_id", "sensor", F.unix_seconds("timestamp").alias("interval_end"), "value", "count_rows")
 

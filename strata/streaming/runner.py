@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata import workspace
+from strata import session, workspace
 from strata.sources.files import union_evolved
 
 
@@ -17,15 +18,16 @@ def _trigger(every: str | None) -> dict:
 
 
 def append(stream: DataFrame, target: str, checkpoint: str, partition_by: list[str] = (), fmt: str = "parquet",
-           every: str | None = None) -> StreamingQuery:
+           every: str | None = None, conf: Mapping[str, str] = MappingProxyType({})) -> StreamingQuery:
     """Append a stream to a table folder, exactly once per checkpoint.
 
     Without `every`, processes what is available and stops. A full refresh is a run with
-    a new target and a new checkpoint.
+    a new target and a new checkpoint. `conf` has session settings that the stream needs; it keeps those of its start.
     """
     writer = (stream.writeStream.format(fmt).outputMode("append")
               .option("checkpointLocation", checkpoint).trigger(**_trigger(every)))
-    return (writer.partitionBy(*partition_by) if partition_by else writer).start(target)
+    with session.settings(stream.sparkSession, conf):
+        return (writer.partitionBy(*partition_by) if partition_by else writer).start(target)
 
 
 def append_flows(flows: dict[str, DataFrame], target: str, checkpoints: str, every: str | None = None) -> list[StreamingQuery]:

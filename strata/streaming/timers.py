@@ -15,8 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from strata import session
 from strata.streaming.integral import KEYS, OUTPUT
 
+#: Settings under which such a stream has to be started: Spark keeps maps and timers in RocksDB only, its default store refuses them.
+SETTINGS = {key: value for key, value in session.RECOMMENDED.items() if ".stateStore." in key}
 _MINUTE, _SECOND, _MILLI = 60_000_000, 1_000_000, 1000
 
 
@@ -89,8 +92,9 @@ class IntervalAverage(StatefulProcessor):
 def timed_average(readings: DataFrame, interval_minutes: int = 10, delay: str = "10 minutes", piece_seconds: int = 60) -> DataFrame:
     """Rows (location_id, sensor, timestamp, value) to one average per closed interval, as `integral.strict_time_weighted_average`.
 
-    A row whose interval's end is at or before the watermark is refused. Needs the RocksDB state store of the library's session
-    settings, and pieces that divide an interval. Null values and times are left out. Session time zone UTC.
+    A row whose interval's end is at or before the watermark is refused. Start it with `SETTINGS`
+    (`runner.append(..., conf=SETTINGS)`), which the library's sessions have. Pieces must divide an interval. Null values and
+    times are left out. Session time zone UTC.
     """
     if interval_minutes * 60 % piece_seconds:
         raise ValueError("pieces must divide the interval")

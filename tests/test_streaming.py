@@ -1,9 +1,12 @@
 import numpy as np
+import oracle
 import pytest
 from pyspark.sql import functions as F
 
-from strata import workspace
+from conftest import SF_DIR
+from strata import session, workspace
 from strata.operators import cdc, quality
+from strata.plans import ORACLE, sensors
 from strata.sources import files
 from strata.streaming import changes, integral, runner, timers, windows
 from strata.streaming.changes import ChangeTable
@@ -58,6 +61,16 @@ def test_lateness(spark, average, rows, early):
     assert emitted[4][:3] == [("k", "s", "12:20", 1.0, rows), ("x", "s", "12:30", 1.0, 1), ("x", "s", "12:40", 1.0, 1)]
 
 
+def test_timers_in_a_session_without_the_recommended_settings(spark):
+    """A session's default state store refuses timers; the stream brings its own setting and leaves the session's alone."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    with session.settings(spark, {key: default}):
+        out = sensors.stream_timer_average(spark, SF_DIR)
+        assert spark.conf.get(key) == default
+    assert oracle.compare(out, oracle.connect(SF_DIR), ORACLE["stream_timer_average"]) is None
+
+
 def test_area_over_pieces_equals_the_area_of_all():
     points = np.array([(90_000_000, 2.0), (150_000_000, 5.0), (200_000_000, 1.0), (420_000_000, 4.0)], timers.POINT)
     whole = timers.area_until_last(points, 0, None)
