@@ -37,8 +37,9 @@ def bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Orders and line items in equally many buckets of the order key, the line items written twice."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    lay = {"orders": named.Layout(buckets=8, bucket_by=("o_orderkey",), sort_by=("o_orderkey",)),
-           "lines": named.Layout(buckets=8, bucket_by=("l_orderkey",), sort_by=("l_orderkey",))}
+    buckets = named.buckets_for(max(orders.count(), lines.count()))  # from the files' footers
+    lay = {"orders": named.Layout(buckets=buckets, bucket_by=("o_orderkey",), sort_by=("o_orderkey",)),
+           "lines": named.Layout(buckets=buckets, bucket_by=("l_orderkey",), sort_by=("l_orderkey",))}
     names = {label: _name(label) for label in lay}
     one = named.create(orders, names["orders"], workspace.new_dir(spark, "bucketed"), lay["orders"])
     named.create(lines.where("l_linenumber <= 3"), names["lines"], workspace.new_dir(spark, "bucketed"), lay["lines"])

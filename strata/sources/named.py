@@ -18,6 +18,11 @@ class Layout:
     sort_by: tuple[str, ...] = ()
 
 
+def buckets_for(rows: int, each: int = 500_000, least: int = 8) -> int:
+    """Buckets for a table of so many rows: a task that writes, sorts or joins one has about `each`, however large the table is."""
+    return max(least, -(-rows // each))
+
+
 def _shaped(df: DataFrame, layout: Layout) -> DataFrame:
     """Rows dealt so that each task writes whole buckets or partitions, not a file for each of them."""
     if layout.buckets:

@@ -1,10 +1,11 @@
 import uuid
 
+import oracle
 import pytest
 from pyspark.sql import functions as F
 
 from strata import workspace
-from strata.plans import tables
+from strata.plans import ORACLE, tables
 from strata.sources import named
 from strata.sources.named import Layout
 
@@ -47,3 +48,16 @@ def test_buckets_are_kept_by_appends(spark, name):
 def test_a_join_by_bucket_needs_no_shuffle(spark, sf_dir):
     plan = tables.bucketed_join(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_buckets_follow_the_rows(spark, sf_dir, monkeypatch):
+    """More rows mean more buckets of the same size, on both sides of the join, which still needs no shuffle."""
+    assert [named.buckets_for(n) for n in (0, 600_000, 36_000_000, 216_000_000)] == [8, 8, 72, 432]
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    sized = named.buckets_for
+    monkeypatch.setattr(named, "buckets_for", lambda rows: sized(rows, each=lines // 20))
+    joined = tables.bucketed_join(spark, sf_dir)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    wanted = sized(lines, each=lines // 20)
+    assert wanted >= 20 and plan.count(f"SelectedBucketsCount: {wanted} out of {wanted}") == 2 and "Exchange" not in plan
+    assert oracle.compare(joined, oracle.connect(sf_dir), ORACLE["bucketed_join"]) is None
