@@ -1,8 +1,9 @@
 """Time-weighted averages with explicit state: a map entry per piece of an interval, and an event-time timer that closes it.
 
 Unlike the aggregates of `integral`, rows are refused by the rule itself as they arrive, and an interval of a sensor that
-has gone silent is closed by its own timer. A sensor's open readings lie in many small map entries of the state store (RocksDB), read
-one after the other when the timer fires.
+has gone silent is closed by a timer. A call to the state store (RocksDB) costs far more than a reading, so the sensors are dealt
+to slots, and a slot shares state and timer of an interval. Its open readings lie in a map entry for each piece, read one after the
+other when the timer fires.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -36,68 +38,104 @@ def area_until_last(points: np.ndarray, since: int, value: float | None) -> floa
 POINT = np.dtype([("t", "<i8"), ("v", "<f8")])
 
 
+_READINGS = pa.schema([("location_id", pa.string()), ("sensor", pa.string()), ("at", pa.int64()), ("value", pa.float64())])
+
+
+def packed(readings: pd.DataFrame, piece: int) -> Iterator[tuple[int, bytes]]:
+    """The start of each piece of so many microseconds, and its readings as bytes that may be appended to others."""
+    at = readings["at"].to_numpy()
+    since = at // piece * piece
+    order = np.argsort(since, kind="stable")
+    since = since[order]
+    keys = [pa.array(readings[c], pa.string()) for c in KEYS]
+    batch = pa.record_batch([*keys, pa.array(at), pa.array(readings["value"].to_numpy())], schema=_READINGS).take(pa.array(order))
+    cuts = np.r_[0, np.flatnonzero(np.diff(since)) + 1, len(since)]
+    for start, end in zip(cuts[:-1], cuts[1:]):
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, _READINGS) as writer:
+            writer.write_batch(batch.slice(start, end - start))
+        yield int(since[start]), out.getvalue().to_pybytes()
+
+
+def by_sensor(data: bytes) -> Iterator[tuple[tuple[str | None, str | None], np.ndarray]]:
+    """Each location and sensor of packed readings with its sorted points."""
+    source, batches = pa.BufferReader(data), []
+    while source.tell() < len(data):
+        batches += pa.ipc.open_stream(source)
+    found = pa.Table.from_batches(batches).combine_chunks()
+    points = np.empty(len(found), POINT)
+    points["t"], points["v"] = found["at"].to_numpy(), found["value"].to_numpy()
+    codes, names = [], []
+    for name in KEYS:
+        coded = found[name].combine_chunks().dictionary_encode(null_encoding="encode")
+        codes.append(coded.indices.to_numpy().astype(np.int64))
+        names.append(coded.dictionary.to_pylist())
+    key = codes[0] * len(names[1]) + codes[1]
+    order = np.lexsort((points["v"], points["t"], key))
+    key, points = key[order], points[order]
+    cuts = np.r_[0, np.flatnonzero(np.diff(key)) + 1, len(key)]
+    for start, end in zip(cuts[:-1], cuts[1:]):
+        location, sensor = divmod(int(key[start]), len(names[1]))
+        yield (names[0][location], names[1][sensor]), points[start:end]
+
+
 class IntervalAverage(StatefulProcessor):
-    """One row per key and interval, once the watermark has passed its end; later rows are refused."""
+    """For a slot of sensors and an interval: one row per sensor, once the watermark has passed its end; later rows are refused."""
 
     def __init__(self, interval_minutes: int, piece_seconds: int):
         self.width, self.piece = interval_minutes * _MINUTE, piece_seconds * _SECOND
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # Intervals by their end: number of rows. Pieces by their start: their points.
-        self.rows = handle.getMapState("rows", "until BIGINT", "n BIGINT")
-        self.points = handle.getMapState("points", "since BIGINT", "points BINARY")
+        # Pieces by their start: the readings of all sensors of the slot.
+        self.pieces = handle.getMapState("pieces", "since BIGINT", "readings BINARY")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        closed = timerValues.getCurrentWatermarkInMs() * _MILLI
-        for part in rows:
-            new = np.empty(len(part), POINT)
-            new["t"], new["v"] = part["at"], part["value"]
-            ends = (new["t"] // self.width + 1) * self.width
-            new, ends = new[ends > closed], ends[ends > closed]
-            for until, n in zip(*np.unique(ends, return_counts=True)):
-                at = (int(until),)
-                known = self.rows.getValue(at)[0] if self.rows.containsKey(at) else 0
-                if not known:
-                    self.handle.registerTimer(int(until) // _MILLI)
-                self.rows.updateValue(at, (known + int(n),))
-            pieces = new["t"] // self.piece * self.piece
-            for since in np.unique(pieces):
-                at = (int(since),)
-                old = np.frombuffer(self.points.getValue(at)[0], POINT) if self.points.containsKey(at) else new[:0]
-                self.points.updateValue(at, (np.concatenate([old, new[pieces == since]]).tobytes(),))
-        yield pd.DataFrame()
+        until = int(key[0])
+        if until > timerValues.getCurrentWatermarkInMs() * _MILLI:
+            if not self.pieces.exists():
+                self.handle.registerTimer(until // _MILLI)
+            for part in rows:
+                for since, readings in packed(part, self.piece):
+                    old = self.pieces.getValue((since,))
+                    self.pieces.updateValue((since,), ((bytes(old[0]) if old else b"") + readings,))
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         until = expiredTimerInfo.getExpiryTimeInMs() * _MILLI
         start = until - self.width
-        area, at, value = 0.0, start, None
-        for since in range(start // self.piece * self.piece, until, self.piece):
-            if not self.points.containsKey((since,)):
+        # Area, time and value of the last point and number of rows of each sensor.
+        sums: dict[tuple, tuple[float, int, float | None, int]] = {}
+        for since in range(start, until, self.piece):
+            if not (found := self.pieces.getValue((since,))):
                 continue
-            points = np.sort(np.frombuffer(self.points.getValue((since,))[0], POINT), order=["t", "v"])
-            area += area_until_last(points, at, value)
-            at, value = int(points["t"][-1]), float(points["v"][-1])
-            self.points.removeKey((since,))
-        n = self.rows.getValue((until,))[0]
-        self.rows.removeKey((until,))
-        area += value * ((until - at) // _MINUTE)
-        yield pd.DataFrame({"location_id": [key[0]], "sensor": [key[1]], "timestamp": [pd.Timestamp(until, unit="us")],
-                            "value": [np.float32(area / (self.width / _MINUTE))], "count_rows": [np.int32(n)]})
+            for sensor, points in by_sensor(bytes(found[0])):
+                area, at, value, n = sums.get(sensor, (0.0, start, None, 0))
+                sums[sensor] = (area + area_until_last(points, at, value), int(points["t"][-1]), float(points["v"][-1]), n + len(points))
+        self.pieces.clear()
+        areas = np.array([area + value * ((until - at) // _MINUTE) for area, at, value, _ in sums.values()])
+        yield pd.DataFrame({"location_id": [location for location, _ in sums], "sensor": [sensor for _, sensor in sums],
+                            "timestamp": pd.Timestamp(until, unit="us"), "value": (areas / (self.width / _MINUTE)).astype(np.float32),
+                            "count_rows": np.array([n for *_, n in sums.values()], np.int32)})
 
     def close(self) -> None:
         pass
 
 
-def timed_average(readings: DataFrame, interval_minutes: int = 10, delay: str = "10 minutes", piece_seconds: int = 60) -> DataFrame:
+def timed_average(readings: DataFrame, interval_minutes: int = 10, delay: str = "10 minutes", piece_seconds: int = 60,
+                  slots: int = 64) -> DataFrame:
     """Rows (location_id, sensor, timestamp, value) to one average per closed interval, as `integral.strict_time_weighted_average`.
 
     A row whose interval's end is at or before the watermark is refused. Start it with `SETTINGS`
-    (`runner.append(..., conf=SETTINGS)`), which the library's sessions have. Pieces must divide an interval. Null values and
-    times are left out. Session time zone UTC.
+    (`runner.append(..., conf=SETTINGS)`), which the library's sessions have. Pieces must divide an interval. The sensors of an interval
+    are dealt to `slots` groups, which tasks share; a stream keeps the number it was started with. Null values and times are left out.
+    Session time zone UTC.
     """
     if interval_minutes * 60 % piece_seconds:
         raise ValueError("pieces must divide the interval")
     known = readings.where("timestamp IS NOT NULL AND value IS NOT NULL").withWatermark("timestamp", delay)
-    rows = known.select(*KEYS, "timestamp", F.unix_micros("timestamp").alias("at"), F.col("value").cast("double").alias("value"))
-    return rows.groupBy(*KEYS).transformWithStateInPandas(IntervalAverage(interval_minutes, piece_seconds), OUTPUT, "Append", "EventTime")
+    at, width = F.unix_micros("timestamp"), F.lit(interval_minutes * _MINUTE)
+    until = at - F.pmod(at, width) + width
+    rows = known.select(*KEYS, "timestamp", at.alias("at"), F.col("value").cast("double").alias("value"), until.alias("until"),
+                        F.pmod(F.xxhash64(*KEYS), F.lit(slots)).alias("slot"))
+    return rows.groupBy("until", "slot").transformWithStateInPandas(IntervalAverage(interval_minutes, piece_seconds), OUTPUT, "Append", "EventTime")

@@ -1,5 +1,6 @@
 import numpy as np
 import oracle
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,6 +80,25 @@ def test_area_over_pieces_equals_the_area_of_all():
     assert timers.area_until_last(first, 0, None) + timers.area_until_last(rest, int(first["t"][-1]), float(first["v"][-1])) == whole
 
 
+def test_packed_readings_of_a_slot_of_sensors():
+    """Appended packs give each sensor's sorted points, also of sensors without a name; a value may be no number."""
+    first = pd.DataFrame({"location_id": ["b", None, "b"], "sensor": ["s", "s", None], "at": [70, 10, 20], "value": [1.0, float("nan"), 3.0]})
+    second = pd.DataFrame({"location_id": ["b", "a"], "sensor": ["s", "s"], "at": [65, 5], "value": [4.0, 5.0]})
+    pieces = [dict(timers.packed(part, 60)) for part in (first, second)]
+    assert [sorted(p) for p in pieces] == [[0, 60], [0, 60]]
+    whole = {since: {k: [tuple(x) for x in p.tolist()] for k, p in timers.by_sensor(pieces[0][since] + pieces[1][since])} for since in (0, 60)}
+    assert whole[60] == {("b", "s"): [(65, 4.0), (70, 1.0)]}
+    assert repr(whole[0].pop((None, "s"))) == "[(10, nan)]" and whole[0] == {("b", None): [(20, 3.0)], ("a", "s"): [(5, 5.0)]}
+
+
+def test_sensors_share_a_slot(spark):
+    """One timer closes an interval for all sensors of a slot, with the same averages; the state is called once a slot, not once a sensor."""
+    def average(readings):
+        return timers.timed_average(readings, slots=1)
+
+    assert feed_batches(spark, RUNBOOK, average) == CLOSED
+
+
 CHANGE = "id INT, seq INT, op STRING, v STRING"
 BATCHES = [[(1, 1, "U", "a"), (2, 1, "U", "b"), (1, 4, "U", "d")], [(2, 3, "D", "b"), (1, 2, "U", "z"), (3, 1, "U", "c")],
            [(2, 2, "U", "late"), (3, 5, "D", None)], [(3, 6, "U", "again"), (1, 3, "U", "y")]]
