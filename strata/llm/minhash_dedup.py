@@ -94,14 +94,12 @@ def _possible(percent: int):
     return (100 * a >= percent * b) & (100 * b >= percent * a) & ((100 + percent) * differ <= (100 - percent) * (a + b))
 
 
-def _verify(edges: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+def _verify(edges: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The edges (hub, node) whose full sets are similar, as a and b.
 
     The members of a hub are dealt to groups of some `TOGETHER`; each group has the hub's text once, before theirs.
     """
-    meta = nodes.select("node", F.col("n_shingles").alias("size"), "sketch")
-    hubs = meta.select(F.col("node").alias("hub"), F.col("size").alias("hub_size"), F.col("sketch").alias("hub_sketch"))
-    close = materialize(edges.join(hubs, "hub").join(meta, "node").where(_possible(percent)).select("hub", "node"), "close")
+    close = materialize(edges, "close")
     sizes = close.groupBy("hub").agg(F.ceil(F.count("*") / TOGETHER).alias("parts"))
     members = close.join(sizes, "hub").select("hub", "node", F.pmod(F.xxhash64("node"), "parts").alias("part"))
     with_hubs = members.union(members.select("hub", F.col("hub").alias("node"), "part").distinct())
@@ -169,7 +167,7 @@ def _linked(documents: DataFrame, nodes: DataFrame, n: int, percent: int) -> Dat
     spark = documents.sparkSession
     postings = nodes.select("node", F.col("n_shingles").alias("size"), F.explode("buckets").alias("bucket"))
     shared = postings.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("bucket")
-    columns = ["bucket", "node", "size", "most"]
+    sketches, columns = nodes.select("node", "sketch"), ["bucket", "node", "size", "most"]
     live = materialize(postings.withColumn("most", _most(percent)).join(shared, "bucket").select(*columns), "buckets")
     texts = materialize(_texts(documents, nodes, live), "texts")
     links, labels = spark.createDataFrame([], "a BIGINT, b BIGINT"), spark.createDataFrame([], "node BIGINT, component BIGINT")
@@ -180,7 +178,7 @@ def _linked(documents: DataFrame, nodes: DataFrame, n: int, percent: int) -> Dat
         split = (placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members"),
                                               F.max(may_be_hub).alias("open"))
                  .where("lo < hi AND open").select("bucket", "members"))
-        placed = materialize(placed.join(split, "bucket").select(*columns, "component", "members"), "placed")
+        placed = materialize(placed.join(split, "bucket").join(sketches, "node").select(*columns, "component", "members", "sketch"), "placed")
         if placed.isEmpty():
             return labels
         if hubs_each > 1 and not refined:
@@ -193,15 +191,16 @@ def _linked(documents: DataFrame, nodes: DataFrame, n: int, percent: int) -> Dat
                 continue
         # First hubs of different components, which leave large ones behind at once; then ever more of all nodes.
         slot = F.pmod(F.xxhash64("component" if hubs_each <= HUBS else "node"), F.lit(hubs_each))
-        hubs = placed.where(may_be_hub).groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "component", "size", "most")).alias("of"))
-        hubs = materialize(hubs.select("bucket", F.col("of.node").alias("hub"), *[F.col(f"of.{c}").alias(f"hub_{c}") for c in ("component", "size", "most")]), "hubs")
+        hubs = placed.where(may_be_hub).groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "component", "size", "most", "sketch")).alias("of"))
+        hubs = materialize(hubs.select("bucket", F.col("of.node").alias("hub"),
+                                       *[F.col(f"of.{c}").alias(f"hub_{c}") for c in ("component", "size", "most", "sketch")]), "hubs")
         is_hub = hubs.select("bucket", F.col("hub").alias("node"), F.lit(True).alias("is_hub"))
         marked = placed.join(is_hub, ["bucket", "node"], "left")
-        # A pair meets once: of two hubs of one bucket, the smaller is the hub of the other.
+        # A pair meets once: of two hubs of one bucket, the smaller is the hub of the other. Only pairs that may be similar leave the join.
         meet = ((F.col("component") != F.col("hub_component")) & (F.col("is_hub").isNull() | (F.col("hub") < F.col("node")))
-                & (F.col("size") <= F.col("hub_most")) & (F.col("hub_size") <= F.col("most")))
+                & (F.col("size") <= F.col("hub_most")) & (F.col("hub_size") <= F.col("most")) & _possible(percent))
         edges = marked.join(hubs, "bucket").where(meet).select("hub", "node").distinct()
-        found = materialize(_verify(edges, nodes, texts.select("node", "text"), n, percent), "links")
+        found = materialize(_verify(edges, texts.select("node", "text"), n, percent), "links")
         live = materialize(marked.where("is_hub IS NULL").select(*columns), "live")
         if not found.isEmpty():
             links = links.union(found)

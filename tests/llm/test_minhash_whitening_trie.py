@@ -125,6 +125,21 @@ def test_different_documents_around_one_passage(spark, monkeypatch):
     assert sum(seen) < 12 * len(texts)
 
 
+def test_only_pairs_that_may_be_similar_leave_the_buckets(spark, monkeypatch):
+    """Different documents around one passage share buckets, but their sketches differ; only near copies become edges."""
+    r = random.Random(41)
+    passage = _prose(r, 40, "ijklmnop")
+    texts = [f"{_prose(r, 12)} {passage} {_prose(r, 12)}" for _ in range(60)]
+    texts += [" ".join([*t.split()[:-1], _prose(r, 1)]) for t in texts[::10]]
+    seen = []
+    verify = minhash_dedup._verify
+    monkeypatch.setattr(minhash_dedup, "_verify", lambda edges, *a: seen.append(edges.count()) or verify(edges, *a))
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert _sorted(minhash_dedup.cluster(docs, 4, 80).collect()) == _sorted(_groups(rows, 4, 80))
+    assert sum(seen) == 6
+
+
 def test_rounds_grow_with_the_logarithm_of_a_bucket(spark, monkeypatch):
     """A large group of copies in one bucket with many longer documents that are similar to none of them."""
     monkeypatch.setattr(minhash_dedup, "CROWD", 4)
