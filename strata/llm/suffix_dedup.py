@@ -14,6 +14,8 @@ suffixes are compared across buckets, dealt by digest, so that one common passag
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -29,8 +31,12 @@ LENGTH, GRAM = 200, 64
 WIDTH = LENGTH - GRAM + 1
 #: Bytes of contexts that are sorted in one bucket, about.
 BUCKET_BYTES = 16 << 20
+#: Contexts that are cut from texts at a time.
+CUT = 10_000
+#: Suffixes of a bucket that are compared at a time, and bytes of contexts that are hashed at a time, about.
+COMPARED, HASHED = 1 << 18, 1 << 20
 #: String starts handled at a time, and the low bits of a sort key that hold a position.
-SEGMENT, POSITION_BITS = 1 << 21, np.uint64(22)
+SEGMENT, POSITION_BITS = 1 << 19, np.uint64(22)
 RESULT = "doc_id BIGINT, n_bytes BIGINT, n_removed BIGINT, n_spans BIGINT, kept_sha256 STRING"
 
 
@@ -118,18 +124,21 @@ def _cut(samples: DataFrame, keyed: DataFrame) -> DataFrame:
     wanted = samples.groupBy(F.col("at.id").alias("id"), _tag("at.place").alias("tag")).agg(
         F.collect_list(F.struct("gram", "context", "known", F.col("at.place").alias("place"))).alias("wanted"))
 
+    kinds = {"gram": pa.int64(), "context": pa.int64(), "known": pa.bool_(), "back": pa.int64(), "span": pa.int64(), "lead": pa.binary(), "left": pa.binary()}
+
+    def rows_of(part):
+        for raw, wanted in zip(*map(iter, part.columns)):
+            raw = raw.as_py()
+            for w in wanted.as_py():
+                first, back, span = w["place"] >> 32, w["place"] >> 8 & 0xFF, w["place"] & 0xFF
+                anchor = first + back
+                yield w["gram"], w["context"], w["known"], back, span, raw[anchor:first + span + LENGTH], raw[first:anchor]
+
     def run(batches):
         for part in slices(batches):
-            rows = []
-            for raw, wanted in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                for w in wanted:
-                    first, back, span = w["place"] >> 32, w["place"] >> 8 & 0xFF, w["place"] & 0xFF
-                    anchor = first + back
-                    rows.append((w["gram"], w["context"], w["known"], back, span, raw[anchor:first + span + LENGTH], raw[first:anchor]))
-            columns = list(zip(*rows)) if rows else [[]] * 7
-            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             names=["gram", "context", "known", "back", "span", "lead", "left"])
+            rows = rows_of(part)
+            while some := list(islice(rows, CUT)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some), kinds.values())], names=list(kinds))
 
     # Documents with one id and text arrive more than once; their contexts are made distinct again below.
     return keyed.join(wanted, ["id", "tag"]).select("raw", "wanted").mapInArrow(
@@ -149,7 +158,7 @@ def equal_neighbours(group: np.ndarray, words: np.ndarray, start: np.ndarray) ->
             break
         tied = np.bincount(label)[label] > 1
         order, label = order[tied], label[tied]
-        word = words[start[order] + step]
+        word = words[start[order] + step].astype(np.uint64)
         turn = np.lexsort((word, label))
         order, label, word = order[turn], label[turn], word[turn]
         label = np.cumsum(np.r_[True, (label[1:] != label[:-1]) | (word[1:] != word[:-1])]) if len(order) else label
@@ -167,58 +176,114 @@ def _ranges(owner: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return owner[first], offset[first], offset[last]
 
 
+EDGE = np.dtype([("digest", "<u8"), ("group", "<i8"), ("gram", "<i8"), ("context", "<i8"), ("offset", "<i8"), ("repeated", "<i8")])
+
+
+class Bucket:
+    """The contexts of one bucket. Beside their bytes it holds one flag per suffix; all else is made for some suffixes at a time."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch]):
+        raw, columns, ends = bytearray(), [], []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lead, left = batch.column("lead").to_pylist(), batch.column("left").to_pylist()
+            raw += b"".join(chain.from_iterable(zip(left, lead)))
+            columns.append([np.array(batch.column(k).to_numpy(zero_copy_only=False)) for k in ("gram", "context", "known", "back", "span")])
+            first, last = (f(range(len(lead)), key=lead.__getitem__) for f in (min, max))
+            ends += [(lead[first], columns[-1][0][first]), (lead[last], columns[-1][0][last])]
+        self.empty = not columns
+        if self.empty:
+            return
+        self.gram, self.context, known, self.back, self.span = map(np.concatenate, zip(*columns))
+        self.mixed = _mix(self.gram.view(np.uint64))
+        #: Grams that may go on in the bucket before and the one after.
+        self.edge = [min(ends)[1], max(ends)[1]]
+        raw += b"\0" * 8
+        self.raw = np.frombuffer(raw, np.uint8)
+        self.words = np.ndarray(len(self.raw) - 7, ">u8", self.raw, strides=(1,))
+        sizes = self.span + LENGTH
+        self.base = np.cumsum(sizes) - sizes
+        self.place = np.cumsum(self.span + 1) - self.span - 1
+        self.repeated = np.repeat(known.astype(bool), self.span + 1)
+
+    def group(self, owner: np.ndarray, offset: np.ndarray) -> np.ndarray:
+        """One value per gram and distance to it; only suffixes that share it can be equal."""
+        return (self.mixed[owner] * BASE + (self.back[owner] - offset).astype(np.uint64)).view(np.int64)
+
+    def parts(self) -> Iterator[tuple[np.ndarray, int, int]]:
+        """Contexts, and distances to their gram from..to, of about `COMPARED` suffixes: whole grams, or some distances of a large one."""
+        order = np.argsort(self.gram, kind="stable")
+        n = self.span[order] + 1
+        begin = np.cumsum(n) - n
+        fresh = np.flatnonzero(np.r_[True, self.gram[order][1:] != self.gram[order][:-1]])
+        cuts = fresh[np.r_[True, np.diff(begin[fresh] // COMPARED) != 0]]
+        for some in np.split(order, cuts[1:]):
+            last = self.back[some]
+            starts = np.cumsum(np.bincount(last - self.span[some], minlength=WIDTH + 1) - np.bincount(last + 1, minlength=WIDTH + 1))
+            turn = (np.cumsum(starts) - 1).clip(0) // COMPARED
+            edges = np.flatnonzero(np.r_[True, turn[1:] != turn[:-1], True])
+            yield from ((some, x, y) for x, y in zip(edges[:-1], edges[1:]))
+
+    def compare(self) -> None:
+        """Flags the suffixes that have an equal one in the bucket."""
+        for some, near, far in self.parts():
+            low = np.maximum(self.back[some] - far + 1, 0)
+            n = np.maximum(np.minimum(self.span[some], self.back[some] - near) - low + 1, 0)
+            owner = np.repeat(some, n)
+            offset = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n - low, n)
+            found = equal_neighbours(self.group(owner, offset), self.words, self.base[owner] + offset)
+            self.repeated[(self.place[owner] + offset)[found]] = True
+
+    def suffixes(self, contexts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Contexts of about `HASHED` bytes in turn, and owner and offset of their suffixes."""
+        sizes = self.span[contexts] + LENGTH
+        for some in np.split(contexts, np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // HASHED)) + 1):
+            n = self.span[some] + 1
+            owner = np.repeat(some, n)
+            yield some, owner, np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+
+    def edges(self, slots: int) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+        """Digests of the suffixes at the bucket's edges, one of equal ones that are known to be: slots and their `EDGE` rows."""
+        for some, owner, offset in self.suffixes(np.flatnonzero(np.isin(self.gram, self.edge))):
+            sizes = self.span[some] + LENGTH
+            sums = _prefix_sums(np.concatenate([self.raw[x:x + n] for x, n in zip(self.base[some], sizes)]))
+            start = np.repeat(np.cumsum(sizes) - sizes, self.span[some] + 1) + offset
+            table = np.rec.fromarrays([_hash(sums, start, start + LENGTH), self.group(owner, offset), self.gram[owner], self.context[owner],
+                                       offset, self.repeated[self.place[owner] + offset].astype(np.int64)], dtype=EDGE)
+            table = table[np.lexsort((table["group"], table["digest"]))]
+            again = (table["digest"][1:] == table["digest"][:-1]) & (table["group"][1:] == table["group"][:-1])
+            table = table[np.r_[True, ~again]]
+            slot = (table["digest"] % np.uint64(slots)).astype(np.int64)
+            order = np.argsort(slot, kind="stable")
+            cuts = np.flatnonzero(np.r_[True, np.diff(slot[order]) != 0, True])
+            yield slot[order[cuts[:-1]]], [table[order[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+
+
 def _sort_buckets(cut: DataFrame, buckets: int, slots: int) -> DataFrame:
     """Ranges (gram, context, lo, hi) of repeated starts, and blobs of digests (slot, blob) of the grams at bucket edges."""
+    names = ["gram", "context", "lo", "hi", "slot", "blob"]
 
     def run(batches):
-        rows = [b for b in batches if b.num_rows]
-        if not rows:
+        bucket = Bucket(batches)
+        if bucket.empty:
             return
-        t = pa.Table.from_batches(rows)
-        gram, context = t["gram"].to_numpy(), t["context"].to_numpy()
-        known = t["known"].to_numpy(zero_copy_only=False).astype(bool)
-        back, span = t["back"].to_numpy(), t["span"].to_numpy()
-        texts = [left + lead for left, lead in zip(t["left"].to_pylist(), t["lead"].to_pylist())]
-        leads = t["lead"].to_pylist()
-        edge = {gram[min(range(len(leads)), key=leads.__getitem__)], gram[max(range(len(leads)), key=leads.__getitem__)]}
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        base = np.cumsum(sizes) - sizes
-        raw = np.frombuffer(b"".join(texts) + b"\0" * 8, np.uint8)
-        words = np.zeros(len(raw) - 7, np.uint64)
-        for k in range(8):
-            words = words << np.uint64(8) | raw[k:len(raw) - 7 + k]
-        owner = np.repeat(np.arange(len(texts)), span + 1)
-        offset = np.arange(len(owner)) - np.repeat(np.cumsum(span + 1) - span - 1, span + 1)
-        start = base[owner] + offset
-        group = (_mix(gram.view(np.uint64))[owner] * BASE + (back[owner] - offset).astype(np.uint64)).view(np.int64)
-        repeated = equal_neighbours(group, words, start) | known[owner]
-        o, lo, hi = _ranges(owner[repeated], offset[repeated]) if repeated.any() else (np.zeros(0, np.int64),) * 3
-        none = pa.nulls(len(o), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(gram[o]), pa.array(context[o]), pa.array(lo), pa.array(hi),
-                                          pa.nulls(len(o), pa.int64()), none], names=["gram", "context", "lo", "hi", "slot", "blob"])
+        bucket.compare()
+        for _, owner, offset in bucket.suffixes(np.arange(len(bucket.gram))):
+            repeated = bucket.repeated[bucket.place[owner] + offset]
+            if repeated.any():
+                o, lo, hi = _ranges(owner[repeated], offset[repeated])
+                yield pa.RecordBatch.from_arrays([pa.array(bucket.gram[o]), pa.array(bucket.context[o]), pa.array(lo), pa.array(hi),
+                                                  pa.nulls(len(o), pa.int64()), pa.nulls(len(o), pa.binary())], names=names)
         # Suffixes of the grams at the bucket's edges: digests, dealt by digest.
-        mine = np.isin(gram, list(edge))[owner]
-        if mine.any():
-            sums = _prefix_sums(raw)
-            digest = _hash(sums, start[mine], start[mine] + LENGTH)
-            table = np.rec.fromarrays([digest, group[mine], gram[owner[mine]], context[owner[mine]], offset[mine],
-                                       repeated[mine].astype(np.int64)], dtype=EDGE)
-            slot = (digest % np.uint64(slots)).astype(np.int64)
-            order = np.argsort(slot, kind="stable")
-            cuts = np.flatnonzero(np.r_[True, np.diff(slot[order]) != 0, True])
-            blobs = [table[order[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-            n = len(blobs)
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64())] * 4 + [pa.array(slot[order[cuts[:-1]]]), pa.array(blobs, pa.binary())],
-                                             names=["gram", "context", "lo", "hi", "slot", "blob"])
+        for slot, blobs in bucket.edges(slots):
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(blobs), pa.int64())] * 4 + [pa.array(slot), pa.array(blobs, pa.binary())], names=names)
 
     # A bucket's grams are in the order of their bytes, which is all that its edges need; only these bytes are sampled.
     return cut.repartitionByRange(buckets, F.substring("lead", 1, GRAM), F.xxhash64("lead", "left")).mapInArrow(
         run, "gram BIGINT, context BIGINT, lo BIGINT, hi BIGINT, slot BIGINT, blob BINARY")
 
 
-EDGE = np.dtype([("digest", "<u8"), ("group", "<i8"), ("gram", "<i8"), ("context", "<i8"), ("offset", "<i8"), ("repeated", "<i8")])
-
-
 def _across(edges: DataFrame) -> DataFrame:
     """Ranges of starts that are new repeats when suffixes of different buckets meet."""
 

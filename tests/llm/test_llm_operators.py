@@ -5,11 +5,13 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as tokens_at
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
@@ -102,6 +104,93 @@ def test_suffixes_of_different_buckets_meet(spark, monkeypatch):
     assert {(d.n_removed >= 260, d.n_spans) for d in done} == {(True, 1)}
 
 
+class _Dealt:
+    """Stands for a table that is dealt to buckets, and gives the function that sorts one."""
+
+    def repartitionByRange(self, *_):
+        return self
+
+    join = select = repartitionByRange
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def _bucket(contexts):
+    """Rows (gram, known, back, span, text) as a bucket's batches."""
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    rows = [(g, i, k, b, n, t[b:], t[:b]) for i, (g, k, b, n, t) in enumerate(contexts)]
+    for i in range(0, len(rows), 1000):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i:i + 1000]), kinds)],
+                                         names=["gram", "context", "known", "back", "span", "lead", "left"])
+
+
+def _contexts(r, grams, n):
+    """Contexts of some grams, every other one between the same few texts; the first gram has half of all."""
+    cores = [r.randbytes(64) for _ in range(grams)]
+    sides = [(r.randbytes(136), r.randbytes(136)) for _ in range(5)]
+    for i in range(n):
+        g, back = r.randrange(grams) * (i % 2), r.randint(0, 136)
+        span = r.randint(0, back)
+        left, right = sides[i % 5] if i % 3 else (r.randbytes(136), r.randbytes(136))
+        yield g, i % 11 == 0, back, span, (left[136 - back:] + cores[g] + right)[:span + 200]
+
+
+def test_a_bucket_is_sorted_in_little_memory(spark):
+    contexts = list(_contexts(random.Random(5), 4000, 14_000))
+    size, batches = sum(len(c[4]) for c in contexts), list(_bucket(contexts))
+    assert size > 3 << 20
+    run = suffix_dedup._sort_buckets(_Dealt(), 1, 4)
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in run(iter(batches)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows and peak < 16 * size
+
+
+def test_long_texts_are_cut_in_little_memory(spark):
+    r, kind = random.Random(8), pa.list_(pa.struct({"gram": pa.int64(), "context": pa.int64(), "known": pa.bool_(), "place": pa.int64()}.items()))
+    texts, wanted = [r.randbytes(200_000) for _ in range(64)], []
+    for text in texts:
+        gram, context, *place = suffix_dedup.contexts_of(text)
+        rows = zip(gram.tolist(), context.tolist(), suffix_dedup._place(*place, 0).tolist())
+        wanted.append([{"gram": g, "context": c, "known": False, "place": p} for g, c, p in rows])
+    n, batch = sum(map(len, wanted)), pa.RecordBatch.from_arrays([pa.array(texts), pa.array(wanted, kind)], names=["raw", "wanted"])
+    del wanted
+    rows = spark.createDataFrame([], "gram BIGINT, context BIGINT, known BOOLEAN, at STRUCT<id: BIGINT, place: BIGINT>")
+    run = suffix_dedup._cut(rows, _Dealt())
+    tracemalloc.start()
+    assert sum(b.num_rows for b in run(iter([batch]))) == n
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5 * sum(map(len, texts))
+
+
+@pytest.mark.parametrize("few", [None, 50])
+def test_a_bucket_is_sorted_whole(spark, monkeypatch, few):
+    """Every equal suffix is found however few are compared and hashed at a time, and the edges' digests lack none."""
+    if few:
+        monkeypatch.setattr(suffix_dedup, "COMPARED", few)
+        monkeypatch.setattr(suffix_dedup, "HASHED", few)
+    contexts = list(_contexts(random.Random(6), 4, 300))
+    starts = {(i, o): (g, b - o, t[o:o + 200]) for i, (g, _, b, n, t) in enumerate(contexts) for o in range(n + 1)}
+    seen = Counter(starts.values())
+    batches = list(suffix_dedup._sort_buckets(_Dealt(), 1, 4)(_bucket(contexts)))
+    found = [(c, o) for b in batches for c, lo, hi in zip(*(b.column(k).to_pylist() for k in ("context", "lo", "hi"))) if c is not None
+             for o in range(lo, hi + 1)]
+    expected = {s for s, key in starts.items() if seen[key] > 1 or contexts[s[0]][1]}
+    assert sorted(found) == sorted(expected) and 0 < len(expected) < len(starts)
+    order = sorted(contexts, key=lambda c: c[4][c[2]:])
+    edges = {order[0][0], order[-1][0]}
+    table = np.concatenate([np.frombuffer(x, suffix_dedup.EDGE) for b in batches for x in b.column("blob").to_pylist() if x is not None])
+    sent = Counter(starts[c, o] for c, o in zip(table["context"].tolist(), table["offset"].tolist()))
+    assert set(sent) == {key for key in seen if key[0] in edges}
+    assert {(c, o) for c, o, x in zip(*(table[k].tolist() for k in ("context", "offset", "repeated"))) if x} <= expected
+    assert all(x or (c, o) not in expected for c, o, x in zip(*(table[k].tolist() for k in ("context", "offset", "repeated"))))
+    assert few or max(sent.values()) == 1
+    assert list(suffix_dedup._sort_buckets(_Dealt(), 1, 4)(iter([]))) == []
+
+
 def test_multikey_quicksort():
     r = random.Random(1)
     raw = bytes(r.choice(b"ab") for _ in range(400)) * 2 + b"\0" * 8
