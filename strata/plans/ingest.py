@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import io
+import itertools
+import tarfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -371,6 +375,24 @@ def untar_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members.select(body[0].cast("bigint").alias("doc_id"), F.md5(body[1]).alias("body_md5"), "error")
 
 
+def _mail_columns() -> list[F.Column]:
+    """Document id and digest of the text of a member that `_pack` made."""
+    lines = F.split("body", "\n", 2)
+    head = F.split(F.get(lines, F.lit(0)), ",")
+    # Unpacking strips the end of a member, so a blank text has no second line.
+    text = F.when(F.size(head) == 1, F.coalesce(F.get(lines, F.lit(1)), F.lit("")))
+    return [F.nullif(F.get(head, F.lit(0)), F.lit("")).cast("bigint").alias("doc_id"), F.md5(text).alias("body_md5")]
+
+
+def _add(archive: tarfile.TarFile, doc_id: str | None, text: str | None) -> None:
+    """A mail-like member: the document id on the first line, with a comma if there is no text."""
+    head = doc_id if isinstance(doc_id, str) else ""
+    data = (f"{head}\n{text}" if isinstance(text, str) else f"{head},").encode()
+    member = tarfile.TarInfo(f"{head}.eml")
+    member.size = len(data)
+    archive.addfile(member, io.BytesIO(data))
+
+
 def _pack(batches):
     """Archives of mail-like members, the document id on the first line: input for unpacking."""
     import io
@@ -393,22 +415,35 @@ def _pack(batches):
                                 "length": [len(content)], "content": [content]})
 
 
+#: Stands for the lot in the name of the archive of documents without id.
+_NO_LOT = "none"
+
+
+def _lot_name(path: str) -> F.Column:
+    """Name of an archive that `_mail` made, with nine characters of the lot; null for documents without id."""
+    stem = F.regexp_extract(path, r"([^/]*)\.tar\.gz$", 1)
+    return F.when(stem != _NO_LOT, F.concat(F.lpad(stem, 9, "0"), F.lit(".tar.gz")))
+
+
 def _mail(spark: SparkSession, sf_dir: str) -> str:
-    """A folder of archives of a hundred documents each, packed once for each table and shared folder."""
+    """A folder of archives of the documents of a hundred ids each, packed once for each table and shared folder."""
     path = f"{workspace.root(spark)}/strata/mail-{hashlib.md5(sf_dir.encode()).hexdigest()}"
     if not workspace.committed(spark, path):
-        def pack(key, rows):
-            import pandas as pd
-
-            name = f"{path}/{key[0]:09d}.tar.gz"
-            store, target = store_of(name)
-            with store.open_output_stream(target, compression=None) as out:
-                out.write(next(_pack(iter([rows.sort_values("doc_id")])))["content"][0])
-            return pd.DataFrame({"name": [name]})
+        def pack(batches):
+            # The rows of a lot follow each other and are written as they come, however many share an id or have none.
+            rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+            for lot, group in itertools.groupby(rows, lambda row: row[0]):
+                name = f"{path}/{_NO_LOT if lot is None else lot.rjust(9, '0')}.tar.gz"
+                store, target = store_of(name)
+                with store.open_output_stream(target, compression=None) as out, tarfile.open(fileobj=out, mode="w|gz", compresslevel=1) as archive:
+                    for _, doc_id, text in group:
+                        _add(archive, doc_id, text)
+                yield pa.RecordBatch.from_pydict({"name": [name]})
 
         workspace.write_text(spark, f"{path}/_READ_ME", "archives of documents", replace=True)
-        docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.expr("doc_id DIV 100").alias("lot"))
-        docs.groupBy("lot").applyInPandas(lambda key, rows: pack(key, rows.drop(columns="lot")), "name STRING").collect()
+        docs = table(spark, sf_dir, "documents").select(F.expr("doc_id DIV 100").cast("string").alias("lot"), "doc_id", "text")
+        lots = docs.repartition("lot").sortWithinPartitions("lot", "doc_id").select("lot", F.col("doc_id").cast("string"), "text")
+        lots.mapInArrow(pack, "name STRING").collect()
         workspace.write_text(spark, f"{path}/_SUCCESS", "")
     return path
 
@@ -419,7 +454,7 @@ def archive_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream of stored archives that are listed, not opened."""
     listed = archives.archive_files(spark, _mail(spark, sf_dir), streaming=True, with_content=False)
     rows = runner.appended(listed, "listing")
-    return rows.select(F.element_at(F.split("path", "/"), -1).alias("name"), (F.col("length") > 100).alias("has_length"),
+    return rows.select(_lot_name("path").alias("name"), (F.col("length") > 100).alias("has_length"),
                        F.lit(len(rows.columns)).alias("n_columns"))
 
 
@@ -428,6 +463,4 @@ def archive_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def untar_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members of stored archives, which the tasks read as streams."""
     members = archives.unpack_stored(archives.archive_files(spark, _mail(spark, sf_dir), with_content=False))
-    body = F.split("body", "\n", 2)
-    return members.select(body[0].cast("bigint").alias("doc_id"), F.md5(body[1]).alias("body_md5"), "error",
-                          F.element_at(F.split("path", "/"), -1).alias("name"))
+    return members.select(*_mail_columns(), "error", _lot_name("path").alias("name"))
