@@ -368,11 +368,9 @@ def unpack_map_in_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT doc_id, md5(rtrim(text, E' \\t\\n\\r\\x0b\\x0c')) AS body_md5, CAST(NULL AS VARCHAR) AS error
           FROM documents""")
 def untar_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = table(spark, sf_dir, "documents").select("doc_id", "text").mapInPandas(
+    packed = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string"), "text").mapInPandas(
         _pack, "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
-    members = archives.unpack_archives(packed)
-    body = F.split("body", "\n", 2)
-    return members.select(body[0].cast("bigint").alias("doc_id"), F.md5(body[1]).alias("body_md5"), "error")
+    return archives.unpack_archives(packed).select(*_mail_columns(), "error")
 
 
 def _mail_columns() -> list[F.Column]:
@@ -394,10 +392,7 @@ def _add(archive: tarfile.TarFile, doc_id: str | None, text: str | None) -> None
 
 
 def _pack(batches):
-    """Archives of mail-like members, the document id on the first line: input for unpacking."""
-    import io
-    import tarfile
-
+    """Archives of a hundred members, ids as text: input for unpacking."""
     import pandas as pd
 
     for batch in batches:
@@ -405,10 +400,7 @@ def _pack(batches):
             part, buffer = batch.iloc[start:start + 100], io.BytesIO()
             with tarfile.open(fileobj=buffer, mode="w:gz", compresslevel=1) as archive:
                 for doc_id, text in zip(part["doc_id"], part["text"]):
-                    data = f"{doc_id}\n{text}".encode()
-                    member = tarfile.TarInfo(f"{doc_id}.eml")
-                    member.size = len(data)
-                    archive.addfile(member, io.BytesIO(data))
+                    _add(archive, doc_id, text)
             content = buffer.getvalue()
             yield pd.DataFrame({"path": [f"mail/{part['doc_id'].iloc[0]}.tar.gz"],
                                 "modificationTime": [pd.Timestamp("2024-01-01")],

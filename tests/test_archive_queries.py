@@ -12,7 +12,7 @@ ROWS = [(1, "a\nb  "), (2, ""), (205, " \t\n"), (3, None), (None, "no id"), (Non
         (1234567890123456, "far"), (1234567890199999, "farther"), *[(7, f"text {i}") for i in range(250)]]
 
 
-@pytest.mark.parametrize("name", ["untar_files"])
+@pytest.mark.parametrize("name", ["untar_members", "untar_files"])
 def test_odd_documents(spark, tmp_path, name):
     ids, texts = zip(*ROWS)
     pq.write_table(pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts), "lang": ["en"] * len(ROWS), "source": ["s"] * len(ROWS),
