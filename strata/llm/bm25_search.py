@@ -1,18 +1,20 @@
 """Exact BM25 top-k search with block-max pruning over an inverted index in shards.
 
-Every task turns its documents into shards: sorted term hashes, postings in document order, term frequencies and
-lengths, stored in the shared folder. Document frequencies, their number and mean length are summed
-over all shards, so scores do not depend on the cut. Queries go to the shards in blocks of bounded size. A shard's
-documents lie in blocks; the sum of a query's block maxima bounds every score in a block. Blocks are scored
-from the highest bound down, and a block whose bound cannot beat the k-th score is skipped, as in block-max
-WAND. Shard results are merged by query. Term weights are rounded to integers (`SCALE` per unit), so sums are exact
-in any order and ties are real: they go to the smaller doc_id.
+Every task turns its documents into shards: sorted term hashes, postings, term frequencies and lengths, stored in the
+shared folder. Document frequencies, their number and mean length are summed over all shards, so scores do not depend
+on the cut. Queries go to the shards in blocks of bounded size, and a shard searches some hundred at a time. Its documents
+lie in blocks, like ones side by side. Rare terms give each document a sum; where that and a query's block maxima cannot
+reach the query's bound, blocks are skipped, as in block-max WAND; elsewhere a matrix product adds the frequent terms. All
+this is done in quanta rounded up, so it bounds the scores closely, and only the few documents whose bound reaches the k-th
+score are summed up exactly. Shard results are merged by query. Term weights are rounded to integers (`SCALE` per unit),
+so sums are exact in any order and ties are real: they go to the smaller doc_id.
 """
 
 from __future__ import annotations
 
 import io
 from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +28,14 @@ from strata.workspace import materialize, new_dir
 
 K1, B, SCALE = 1.2, 0.75, 100_000
 #: Documents and words at most in a shard, documents in a block, queries sent at a time.
-SHARD_DOCS, SHARD_WORDS, BLOCK, QUERIES = 8192, 2_000_000, 64, 4096
-#: Terms in at least one in so many documents of a shard are held as full rows.
-DENSE = 16
+SHARD_DOCS, SHARD_WORDS, BLOCK, QUERIES = 8192, 2_000_000, 64, 8192
+#: Terms in at least one in so many documents of a shard are held as full rows,
+#: and that take so much memory at most. Bounds are summed up in so large parts of a weight.
+DENSE, ROWS, ROW_BYTES, QUANTUM = 16, 4096, 64 << 20, 2048
+#: Queries searched together, postings at most that are read to sum up documents.
+TOGETHER, PORTION = 256, 1 << 18
+#: Frequent terms by which documents of a shard are laid beside like ones, halvings at most; blocks whose rows lie together.
+LIKE, HALVINGS, RUN = 256, 5, 8
 NO_ID = -(1 << 63)
 #: Lots among which shards are drawn by a hash, shards of the first round, and how many times as many each further round reaches.
 LOTS, FIRST, MORE = 1 << 16, 4, 8
@@ -60,13 +67,45 @@ def bag_of(text: str | None) -> Bag:
 
 
 def build_shard(ids: list[int], bags: list[Bag]) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
-    """Terms, document frequencies, document lengths and the packed postings of some documents."""
+    """Terms, document frequencies, document lengths and the packed postings of some documents, like ones beside each other."""
     term, tf = np.concatenate([t for t, _ in bags]), np.concatenate([n for _, n in bags])
     doc = np.repeat(np.arange(len(bags), dtype=np.int32), [len(t) for t, _ in bags])
-    order = np.argsort(term, kind="stable")
+    by_term = np.argsort(term, kind="stable")
     terms, df = np.unique(term, return_counts=True)
     lengths = np.fromiter((n.sum() for _, n in bags), np.int64, len(bags))
-    return terms, df, lengths, _pack(ids=np.array(ids, np.int64), lengths=lengths, doc=doc[order], tf=tf[order])
+    doc = doc[by_term]
+    order = _like_ones(doc, df, lengths)
+    place = np.empty(len(bags), np.int32)
+    place[order] = np.arange(len(bags))
+    return terms, df, lengths[order], _pack(ids=np.array(ids, np.int64)[order], lengths=lengths[order], doc=place[doc], tf=tf[by_term])
+
+
+def _like_ones(doc: np.ndarray, df: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """An order in which documents with the same frequent terms, and of like length, are neighbours, so that block maxima tell more.
+
+    Documents are halved again and again where the vectors of their frequent terms differ most.
+    """
+    some = np.argsort(-df, kind="stable")[:LIKE]
+    has, end = np.zeros((len(lengths), len(some)), np.float32), np.cumsum(df)
+    for i, t in enumerate(some.tolist()):
+        has[doc[end[t] - df[t]:end[t]], i] = 1
+    has /= np.maximum(np.sqrt(has.sum(axis=1, keepdims=True)), 1)
+    parts, start = [np.arange(len(lengths))], np.linspace(1, 2, len(some), dtype=np.float32)
+    for _ in range(HALVINGS):
+        halves = []
+        for part in parts:
+            if len(part) > 4 * BLOCK:
+                own = has[part] - has[part].mean(axis=0)
+                along = start
+                for _ in range(8):
+                    along = own.T @ (own @ along)
+                    along /= max(float(np.sqrt(along @ along)), 1e-30)
+                side = own @ along > 0
+                halves += [part[~side], part[side]]
+            else:
+                halves.append(part)
+        parts = halves
+    return np.concatenate([part[np.argsort(lengths[part], kind="stable")] for part in parts])
 
 
 def index(documents: DataFrame) -> DataFrame:
@@ -107,70 +146,99 @@ class Shard:
         tf = packed["tf"].astype(np.float64)
         self.part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * packed["lengths"][self.doc] / mean_length))
         self.n = len(self.ids)
-        self.blocks = -(-self.n // BLOCK)
-        # Terms of at least every DENSE-th document are rows of a matrix, with their block maxima beside them.
-        self.row: dict[int, int] = {}
-        self.rows = np.zeros((0, self.blocks * BLOCK), np.int32)
-        self.tops = np.zeros((0, self.blocks), np.int64)
-        self.sparse: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def _weights(self, at: int, idf: float) -> tuple[np.ndarray, np.ndarray]:
-        return (self.doc[self.start[at]:self.end[at]],
-                np.rint(self.part[self.start[at]:self.end[at]] * idf * SCALE).astype(np.int64))
+        self.blocks = -(-self.n // (BLOCK * RUN)) * RUN
 
     def prepare(self, terms: np.ndarray, df: np.ndarray, n: int) -> None:
-        """Weigh the postings of all terms that queries will ask for. df and n are global."""
+        """Weigh the postings of all terms, ascending, that queries will ask for. df and n are global."""
         at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
-        hit = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        idf, terms, at = np.log1p((n - df + 0.5) / (df + 0.5))[hit], terms[hit], at[hit]
-        dense = (self.end - self.start)[at] * DENSE >= self.n
-        self.rows = np.zeros((int(dense.sum()), self.blocks * BLOCK), np.int32)
-        for i, (term, a, w) in enumerate(zip(terms[dense].tolist(), at[dense].tolist(), idf[dense].tolist())):
-            docs, weight = self._weights(a, w)
-            self.row[term] = i
-            self.rows[i, docs] = weight
-        self.tops = self.rows.reshape(len(self.rows), -1, BLOCK).max(axis=2, initial=0).astype(np.int64)
-        for term, a, w in zip(terms[~dense].tolist(), at[~dense].tolist(), idf[~dense].tolist()):
-            self.sparse[term] = self._weights(a, w)
+        hit = np.flatnonzero(self.terms[at] == terms) if len(self.terms) else np.zeros(0, np.int64)
+        at, counts, self.terms, self.local = at[hit], self.end - self.start, terms, np.full(len(terms), -1, np.int32)
+        idf, place = np.zeros(len(counts)), np.full(len(counts), -1, np.int32)
+        idf[at], place[at] = np.log1p((n - df[hit] + 0.5) / (df[hit] + 0.5)), hit
+        # Only postings of these terms stay.
+        place = np.repeat(place, counts)
+        keep = place >= 0
+        weight = np.rint(self.part[keep] * np.repeat(idf, counts)[keep] * SCALE).astype(np.int32)
+        doc, place, counts, self.part = self.doc[keep].astype(np.uint16), place[keep], counts[at], None
+        ends = np.cumsum(counts)
+        quanta = -(-weight // QUANTUM)
+        # Terms of at least every DENSE-th document are rows of a matrix, with their block maxima beside them; the most frequent ones if they
+        # are too many. Rows and rare postings have weights in quanta, rounded up, for bounds; sums of so few rows are exact in 32 bits.
+        dense = np.flatnonzero(counts * DENSE >= self.n)
+        dense = dense[np.argsort(-counts[dense], kind="stable")][:min(ROWS, ROW_BYTES // (4 * self.blocks * BLOCK))]
+        self.row, self.rows = np.full(len(terms), -1, np.int32), np.zeros((self.blocks // RUN, len(dense), RUN * BLOCK), np.float32)
+        self.row[hit[dense]] = np.arange(len(dense))
+        at = _ranges((ends - counts)[dense], counts[dense])
+        self.rows[doc[at] // (RUN * BLOCK), np.repeat(np.arange(len(dense)), counts[dense]), doc[at] % (RUN * BLOCK)] = quanta[at]
+        self.tops = self.rows.reshape(-1, len(dense), RUN, BLOCK).max(axis=3, initial=0).transpose(1, 0, 2).reshape(len(dense), self.blocks)
+        self.rare, self.first, self.count = quanta.astype(np.uint32) << 16 | doc, np.zeros(len(terms), np.int64), np.zeros(len(terms), np.int64)
+        self.first[hit], self.count[hit], self.most = ends - counts, counts, int(quanta.max(initial=0))
+        self.count[hit[dense]] = 0
+        # The same postings by document, from which the few documents that bounds leave over are summed up exactly.
+        order = np.argsort(doc, kind="stable")
+        self.place, self.weight = place[order], weight[order]
+        self.size = np.bincount(doc, minlength=self.n)
+        self.begin = np.cumsum(self.size) - self.size
 
     def search(self, terms: list[int], k: int, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
         """(doc_id, score) of the k best documents with a score of `least` or more, best first."""
-        rows = np.array([self.row[t] for t in terms if t in self.row], np.int64)
-        rare = [self.sparse[t] for t in terms if t in self.sparse]
-        score = np.zeros(self.blocks * BLOCK, np.int64)
-        if rare:
-            # Integers below 2^53 add up exactly as floats.
-            score = np.bincount(np.concatenate([d for d, _ in rare]), np.concatenate([w for _, w in rare]),
-                                minlength=len(score)).astype(np.int64)
-        score = score.reshape(-1, BLOCK)
-        bound = score.max(axis=1) + self.tops[rows].sum(axis=0)
-        order = np.argsort(-bound, kind="stable")
-        found = np.zeros((0, 2), np.int64)
-        step, done, floor = 8 * (1 + k // BLOCK), 0, least
-        while done < len(order):
-            take = order[done:done + step]
-            take = take[bound[take] >= floor]
-            if not len(take):
-                break
-            done, step = done + step, step * 16
-            total = (score[take] + self._dense(rows, take)).reshape(-1)
-            good = np.flatnonzero(total >= floor)
-            if len(good):
-                docs = take[good // BLOCK] * BLOCK + good % BLOCK
-                found = np.concatenate([found, np.stack([self.ids[docs], total[good]], axis=1)])
-                found = found[np.lexsort((found[:, 0], -found[:, 1]))][:k]
-                floor = max(least, found[-1, 1]) if len(found) == k else least
-        return found[:, 0], found[:, 1]
-
-    def _dense(self, rows: np.ndarray, take: np.ndarray) -> np.ndarray:
-        """Summed weights of the rows in some blocks, in 32 bits where the block maxima show that they fit."""
-        kind = np.int32 if len(rows) and self.tops[rows].sum(axis=0).max() < 1 << 31 else np.int64
-        if 4 * len(take) < self.blocks:
-            return self.rows.reshape(len(self.rows), -1, BLOCK)[rows[:, None], take].sum(axis=0, dtype=kind)
-        out = np.zeros(self.blocks * BLOCK, kind)
-        for i in rows:
-            out += self.rows[i]
-        return out.reshape(-1, BLOCK)[take]
+        at = np.flatnonzero(np.isin(self.terms, np.array(terms, np.int64)))
+        return self.find(at, np.array([0, len(at)]), np.array([least]), k)[1:]
+
+    def find(self, at: np.ndarray, cuts: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for several queries: query, doc_id and score. A query's terms are the places among those prepared from its cut to the next."""
+        row, n = self.row[at], len(least)
+        of = np.repeat(np.arange(n), np.diff(cuts))
+        asked = np.zeros((n, self.rows.shape[1]), np.float32)
+        asked[of[row >= 0], row[row >= 0]] = 1
+        bound = np.zeros((n, self.blocks * BLOCK), np.float32 if np.diff(cuts).max(initial=0) * self.most < 1 << 24 else np.float64)
+        for i, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+            rare = self.rare[_ranges(self.first[at[x:y]], self.count[at[x:y]])]
+            bound[i] = np.bincount(rare & 0xFFFF, rare >> 16, bound.shape[1])
+        # Unless a block's best document and the block maxima reach the floor, the frequent terms do not matter to a run of blocks.
+        floor = (-(-least // QUANTUM)).astype(bound.dtype)
+        reach = bound.reshape(n, self.blocks, BLOCK).max(axis=2) + asked @ self.tops >= floor[:, None]
+        reach = reach.reshape(n, -1, RUN).any(axis=2)
+        for i in np.flatnonzero(reach.any(axis=0)).tolist():
+            some = np.flatnonzero(reach[:, i])
+            bound[some, i * RUN * BLOCK:(i + 1) * RUN * BLOCK] += asked[some] @ self.rows[i]
+        # The k-th best of some documents is a bound for all: where many are left, those with the best chances are summed up first.
+        many = np.flatnonzero((bound >= floor[:, None]).sum(axis=1) > 4 * k)
+        if len(many):
+            least, best = least.copy(), np.concatenate([np.argpartition(bound[i], bound.shape[1] - k)[-k:] for i in many.tolist()])
+            least[many] = np.maximum(least[many], self._exact(at, of, n, np.repeat(many, k), best).reshape(-1, k).min(axis=1))
+            floor = (-(-least // QUANTUM)).astype(bound.dtype)
+        query, doc = np.nonzero(bound >= floor[:, None])
+        score = self._exact(at, of, n, query, doc)
+        good = score >= least[query]
+        query, found, score = query[good], self.ids[doc[good]], score[good]
+        best = np.lexsort((found, -score, query))
+        query, found, score = query[best], found[best], score[best]
+        best = np.arange(len(query)) - np.searchsorted(query, query) < k
+        return query[best], found[best], score[best]
+
+    def _exact(self, at: np.ndarray, of: np.ndarray, n: int, query: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Scores of some documents, each with a term of its query. Terms `at` belong to the queries `of`, of which there are n."""
+        if not len(doc):
+            return np.zeros(0, np.int64)
+        terms, local = np.unique(at, return_inverse=True)
+        self.local[terms] = np.arange(len(terms))
+        has = np.zeros((n, len(terms) + 1), bool)
+        has[of, local] = True
+        out = []
+        for some in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(np.cumsum(self.size[doc]) // PORTION)) + 1):
+            size = self.size[doc[some]]
+            there = _ranges(self.begin[doc[some]], size)
+            weight = self.weight[there] * has[np.repeat(query[some], size), self.local[self.place[there]]]
+            out.append(np.add.reduceat(weight, np.cumsum(size) - size, dtype=np.int64))
+        self.local[terms] = -1
+        return np.concatenate(out)
+
+
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... count[0] numbers, then those of first[1] and so on."""
+    end = np.cumsum(count)
+    return np.arange(end[-1] if len(end) else 0) + np.repeat(first - (end - count), count)
 
 
 def _blocks(rows, size: int):
@@ -184,6 +252,33 @@ def _blocks(rows, size: int):
         yield block
 
 
+class Block(NamedTuple):
+    """Some queries: ids, the terms of all of them, ascending, and their global df; a query's terms are the places from its cut to the next."""
+
+    ids: np.ndarray
+    terms: np.ndarray
+    df: np.ndarray
+    places: np.ndarray
+    cuts: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list) -> Block:
+        term, df = (np.frombuffer(b"".join(bytes(row[column]) for row in rows), np.int64) for column in ("terms", "df"))
+        terms, first, places = np.unique(term, return_index=True, return_inverse=True)
+        return cls(np.array([row["query_id"] for row in rows], np.int64), terms, df[first], places.astype(np.int32),
+                   np.cumsum([0, *(len(row["terms"]) // 8 for row in rows)]))
+
+
+def _packed(batches):
+    """Query ids with their terms and df as bytes."""
+    for batch in batches:
+        ids, found = batch.columns
+        cuts, pairs = found.offsets.to_numpy(), found.values
+        columns = [(pairs.field(i).to_numpy(zero_copy_only=False)) for i in (0, 1)]
+        yield pa.RecordBatch.from_arrays([ids, *(pa.array([c[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])], pa.binary()) for c in columns)],
+                                         names=["query_id", "terms", "df"])
+
+
 def search(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank (from 1), doc_id and score of the k best documents for the distinct words of each query text.
 
@@ -196,7 +291,11 @@ def search(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     of `QUERIES` queries at a time.
     """
     spark = documents.sparkSession
-    shards = materialize(index(documents), "bm25-index")
+    # Lots from 2^i to 2^(i + 1) are level i. Levels are folders, so a round opens only its own shards.
+    stored, lot = new_dir(spark, "bm25-index"), F.pmod(F.xxhash64("blob"), F.lit(LOTS))
+    parts = index(documents).withColumn("level", F.floor(F.log2(F.greatest(lot, F.lit(1)))).cast("int"))
+    parts.write.partitionBy("level").parquet(stored)
+    shards = spark.read.schema(parts.schema).parquet(stored)
     size = shards.agg(F.sum("n_docs").alias("docs"), F.sum("n_words").alias("words"), F.count("*").alias("shards")).first()
     n, mean = size.docs or 0, (size.words or 0) / max(size.docs or 0, 1) or 1.0
 
@@ -211,50 +310,49 @@ def search(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     asked = asked.select("query_id", F.explode("terms").alias("term")).distinct()
     df = (shards.select(F.explode(F.arrays_zip("terms", "df")).alias("t"))
           .groupBy(F.col("t.terms").alias("term")).agg(F.sum("t.df").alias("df")))
-    known = asked.join(df, "term").groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", "df"))).alias("terms"))
-    known = materialize(known, "bm25-queries")
+    known = asked.join(df, "term").groupBy("query_id").agg(F.collect_list(F.struct("term", "df")).alias("terms"))
+    known = materialize(known.mapInArrow(_packed, "query_id BIGINT, terms BINARY, df BINARY"), "bm25-queries")
     path = new_dir(spark, "bm25-found")
     schema = "query_id BIGINT, doc_id BIGINT, score BIGINT"
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    lots = F.pmod(F.xxhash64("blob"), F.lit(LOTS))
     spark.createDataFrame([], schema).write.parquet(f"{path}/block=-1")
-    for number, block in enumerate(_blocks(known.toLocalIterator(prefetchPartitions=True), QUERIES)):
-        bounds, start = {}, 0
+    for number, rows in enumerate(_blocks(known.toLocalIterator(prefetchPartitions=True), QUERIES)):
+        block, start = Block.of(rows), 0
+        least = np.ones(len(rows), np.int64)
         for until in _rounds(size.shards):
-            sent = spark.sparkContext.broadcast([
-                (q.query_id, [t.term for t in q.terms], [t.df for t in q.terms], bounds.get(q.query_id, 1)) for q in block])
-            some = shards.where((lots >= start) & (lots < until)).select("terms", "df", "blob")
+            sent = spark.sparkContext.broadcast((block, least))
+            some = shards.where((F.col("level") >= start) & (F.col("level") < until.bit_length() - 1)).select("terms", "df", "blob")
             some.mapInArrow(_searcher(sent, n, mean, k), schema).write.mode("append").parquet(f"{path}/block={number}")
             sent.unpersist()
             if until < LOTS:
                 so_far = spark.read.schema(schema).parquet(f"{path}/block={number}").withColumn("rank", F.row_number().over(best))
-                bounds, start = {q: s for q, s in so_far.where(F.col("rank") == k).select("query_id", "score").collect()}, until
+                bounds, start = dict(so_far.where(F.col("rank") == k).select("query_id", "score").collect()), until.bit_length() - 1
+                least = np.fromiter((bounds.get(q, 1) for q in block.ids.tolist()), np.int64, len(rows))
     found = spark.read.schema(schema).parquet(f"{path}/*").withColumn("rank", F.row_number().over(best).cast("bigint")).where(F.col("rank") <= k)
     return found.select("query_id", "rank", F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), (F.col("score") / SCALE).alias("score"))
 
 
 def _rounds(shards: int) -> list[int]:
-    """Up to which of `LOTS` lots the shards are searched in each round: about `FIRST` shards, then `MORE` times as many."""
+    """Up to which of `LOTS` lots the shards are searched in each round: `FIRST` shards at most, then about `MORE` times as many. Powers of two."""
     ends, end = [], max(1, LOTS * FIRST // max(shards, 1))
     while end < LOTS:
-        ends.append(end)
+        ends.append(1 << end.bit_length() - 1)
         end *= MORE
-    return [*ends, LOTS]
+    return [*dict.fromkeys(ends), LOTS]
 
 
 def _searcher(sent, n: int, mean: float, k: int):
     def run(batches):
-        df_of = {t: d for _, terms, dfs, _ in sent.value for t, d in zip(terms, dfs)}
-        wanted, of = np.fromiter(df_of, np.int64, len(df_of)), np.fromiter(df_of.values(), np.float64, len(df_of))
+        block, least = sent.value
         for batch in batches:
             for i in range(batch.num_rows):
                 terms, df = (batch.column(c)[i].values.to_numpy() for c in (0, 1))
                 shard = Shard(terms, df, batch.column(2)[i].as_py(), mean)
-                shard.prepare(wanted, of, n)
-                found = [(q, *shard.search(terms, k, least)) for q, terms, _, least in sent.value]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(np.array([q for q, _, _ in found], np.int64), [len(ids) for _, ids, _ in found])),
-                    pa.array(np.concatenate([ids for _, ids, _ in found])), pa.array(np.concatenate([s for _, _, s in found]))],
-                    names=["query_id", "doc_id", "score"])
+                shard.prepare(block.terms, block.df.astype(np.float64), n)
+                for start in range(0, len(block.ids), TOGETHER):
+                    cuts = block.cuts[start:start + TOGETHER + 1]
+                    query, doc, score = shard.find(block.places[cuts[0]:cuts[-1]], cuts - cuts[0], least[start:start + TOGETHER], k)
+                    yield pa.RecordBatch.from_arrays([pa.array(block.ids[start + query]), pa.array(doc), pa.array(score)],
+                                                     names=["query_id", "doc_id", "score"])
 
     return run

@@ -580,3 +580,35 @@ def test_registered():
 
     names = set(entry.queries())
     assert "pipeline" in names and {int(m[1]) for x in names if (m := re.match(r"op(\d+)_", x))} == set(range(1, 11))
+
+
+def test_bounds_leave_few_documents_of_a_shard(monkeypatch):
+    """Several queries at once over one shard: the same as brute force, with like documents side by side and few of them summed up."""
+    rng, docs = random.Random(3), []
+    for i in range(3000):
+        common, rare = (f"c{i % 3}-", f"r{i % 3}-")
+        words = [common + str(int(rng.expovariate(0.05))) for _ in range(60)] + [rare + str(rng.randrange(4000)) for _ in range(40)]
+        docs.append(" ".join(docs[-30].split()[:90] + words[:10]) if i % 7 == 0 and i > 30 else " ".join(words))
+    bags = [bm25_search.bag_of(x) for x in docs]
+    terms, df, lengths, blob = bm25_search.build_shard(list(range(3000)), bags)
+    shard = bm25_search.Shard(terms, df, blob, float(lengths.mean()))
+    shard.prepare(terms, df.astype(float), 3000)
+    assert (np.diff(shard.ids % 3) != 0).sum() < 300  # three languages
+    asked, summed, exact = range(0, 3000, 50), [], bm25_search.Shard._exact
+    weight = {}
+    for i, (t, n) in enumerate(bags):
+        part = n * 2.2 / (n + 1.2 * (0.25 + 0.75 * n.sum() / lengths.mean()))
+        at = np.searchsorted(terms, t)
+        weight[i] = dict(zip(t.tolist(), np.rint(part * np.log1p((3000 - df[at] + 0.5) / (df[at] + 0.5)) * 1e5).astype(int).tolist()))
+    expected = []
+    for q, i in enumerate(asked):
+        score = sorted((-sum(w.get(t, 0) for t in bags[i][0].tolist()), d) for d, w in weight.items())
+        expected += [(q, d, -s) for s, d in score[:10] if s]
+    monkeypatch.setattr(bm25_search.Shard, "_exact", lambda self, at, of, n, query, doc: summed.append(len(doc)) or exact(self, at, of, n, query, doc))
+    places = [np.sort(np.searchsorted(terms, bags[i][0])) for i in asked]
+    cuts = np.cumsum([0, *map(len, places)])
+    found = shard.find(np.concatenate(places), cuts, np.ones(len(asked), np.int64), 10)
+    assert list(zip(*(x.tolist() for x in found))) == expected
+    kth = np.array([expected[10 * q + 9][2] for q in range(len(asked))])
+    again = shard.find(np.concatenate(places), cuts, kth, 10)
+    assert list(zip(*(x.tolist() for x in again))) == expected and sum(summed) < 0.03 * 3000 * len(asked)
