@@ -27,8 +27,8 @@ from strata.llm.tools import map_rows, slices
 from strata.workspace import materialize, new_dir
 
 K1, B, SCALE = 1.2, 0.75, 100_000
-#: Documents and words at most in a shard, documents in a block, queries sent at a time.
-SHARD_DOCS, SHARD_WORDS, BLOCK, QUERIES = 8192, 2_000_000, 64, 8192
+#: Documents and words at most in a shard, documents in a block, queries and about how many of their terms sent at a time.
+SHARD_DOCS, SHARD_WORDS, BLOCK, QUERIES, TERMS = 8192, 2_000_000, 64, 8192, 2_000_000
 #: Terms in at least one in so many documents of a shard are held as full rows,
 #: and that take so much memory at most. Bounds are summed up in so large parts of a weight.
 DENSE, ROWS, ROW_BYTES, QUANTUM = 16, 4096, 64 << 20, 2048
@@ -70,8 +70,10 @@ def build_shard(ids: list[int], bags: list[Bag]) -> tuple[np.ndarray, np.ndarray
     """Terms, document frequencies, document lengths and the packed postings of some documents, like ones beside each other."""
     term, tf = np.concatenate([t for t, _ in bags]), np.concatenate([n for _, n in bags])
     doc = np.repeat(np.arange(len(bags), dtype=np.int32), [len(t) for t, _ in bags])
-    by_term = np.argsort(term, kind="stable")
-    terms, df = np.unique(term, return_counts=True)
+    by_term = np.argsort(term)
+    term = term[by_term]
+    first = np.flatnonzero(np.r_[len(term) > 0, term[1:] != term[:-1]])
+    terms, df = term[first], np.diff(np.r_[first, len(term)])
     lengths = np.fromiter((n.sum() for _, n in bags), np.int64, len(bags))
     doc = doc[by_term]
     order = _like_ones(doc, df, lengths)
@@ -170,7 +172,8 @@ class Shard:
         self.row[hit[dense]] = np.arange(len(dense))
         at = _ranges((ends - counts)[dense], counts[dense])
         self.rows[doc[at] // (RUN * BLOCK), np.repeat(np.arange(len(dense)), counts[dense]), doc[at] % (RUN * BLOCK)] = quanta[at]
-        self.tops = self.rows.reshape(-1, len(dense), RUN, BLOCK).max(axis=3, initial=0).transpose(1, 0, 2).reshape(len(dense), self.blocks)
+        tops = self.rows.reshape(self.blocks // RUN, len(dense), RUN, BLOCK).max(axis=3, initial=0)
+        self.tops = tops.transpose(1, 0, 2).reshape(len(dense), self.blocks)
         self.rare, self.first, self.count = quanta.astype(np.uint32) << 16 | doc, np.zeros(len(terms), np.int64), np.zeros(len(terms), np.int64)
         self.first[hit], self.count[hit], self.most = ends - counts, counts, int(quanta.max(initial=0))
         self.count[hit[dense]] = 0
@@ -241,17 +244,25 @@ def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(end[-1] if len(end) else 0) + np.repeat(first - (end - count), count)
 
 
-def _blocks(rows, size: int):
-    block = []
+def _blocks(rows):
+    """Lists of at most `QUERIES` rows, each ended by the row with which it has `TERMS` terms."""
+    block, terms = [], 0
     for row in rows:
         block.append(row)
-        if len(block) == size:
+        terms += len(row["terms"]) // 8
+        if len(block) == QUERIES or terms >= TERMS:
             yield block
-            block = []
+            block, terms = [], 0
     if block:
         yield block
 
 
+def _top(row) -> bytes:
+    """The most frequent term of a query."""
+    at = 8 * int(np.frombuffer(row["df"], np.int64).argmax())
+    return bytes(row["terms"][at:at + 8])
+
+
 class Block(NamedTuple):
     """Some queries: ids, the terms of all of them, ascending, and their global df; a query's terms are the places from its cut to the next."""
 
@@ -263,6 +274,8 @@ class Block(NamedTuple):
 
     @classmethod
     def of(cls, rows: list) -> Block:
+        # Queries with the same most frequent term ask for much the same postings, so they follow each other.
+        rows = sorted(rows, key=_top)
         term, df = (np.frombuffer(b"".join(bytes(row[column]) for row in rows), np.int64) for column in ("terms", "df"))
         terms, first, places = np.unique(term, return_index=True, return_inverse=True)
         return cls(np.array([row["query_id"] for row in rows], np.int64), terms, df[first], places.astype(np.int32),
@@ -274,7 +287,7 @@ def _packed(batches):
     for batch in batches:
         ids, found = batch.columns
         cuts, pairs = found.offsets.to_numpy(), found.values
-        columns = [(pairs.field(i).to_numpy(zero_copy_only=False)) for i in (0, 1)]
+        columns = [pairs.field(i).to_numpy() for i in (0, 1)]
         yield pa.RecordBatch.from_arrays([ids, *(pa.array([c[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])], pa.binary()) for c in columns)],
                                          names=["query_id", "terms", "df"])
 
@@ -288,7 +301,7 @@ def search(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     Shards are searched in rounds, a few first and then `MORE` times as many each: what is found so far gives each query's k-th score
     as a bound, below which later shards return nothing. So a query has some k rows a round and not k a shard. The driver holds one block
-    of `QUERIES` queries at a time.
+    of `QUERIES` queries or some `TERMS` terms at a time.
     """
     spark = documents.sparkSession
     # Lots from 2^i to 2^(i + 1) are level i. Levels are folders, so a round opens only its own shards.
@@ -296,8 +309,9 @@ def search(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     parts = index(documents).withColumn("level", F.floor(F.log2(F.greatest(lot, F.lit(1)))).cast("int"))
     parts.write.partitionBy("level").parquet(stored)
     shards = spark.read.schema(parts.schema).parquet(stored)
-    size = shards.agg(F.sum("n_docs").alias("docs"), F.sum("n_words").alias("words"), F.count("*").alias("shards")).first()
-    n, mean = size.docs or 0, (size.words or 0) / max(size.docs or 0, 1) or 1.0
+    sizes = shards.groupBy("level").agg(F.sum("n_docs").alias("docs"), F.sum("n_words").alias("words"), F.count("*").alias("shards")).collect()
+    n, words = (sum(row[column] for row in sizes) for column in ("docs", "words"))
+    mean, rounds = words / max(n, 1) or 1.0, _levels({row.level: row.shards for row in sizes})
 
     def make():
         def work(rows):
@@ -316,17 +330,17 @@ def search(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     schema = "query_id BIGINT, doc_id BIGINT, score BIGINT"
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     spark.createDataFrame([], schema).write.parquet(f"{path}/block=-1")
-    for number, rows in enumerate(_blocks(known.toLocalIterator(prefetchPartitions=True), QUERIES)):
-        block, start = Block.of(rows), 0
+    for number, rows in enumerate(_blocks(known.toLocalIterator(prefetchPartitions=True))):
+        block = Block.of(rows)
         least = np.ones(len(rows), np.int64)
-        for until in _rounds(size.shards):
+        for start, until in rounds:
             sent = spark.sparkContext.broadcast((block, least))
-            some = shards.where((F.col("level") >= start) & (F.col("level") < until.bit_length() - 1)).select("terms", "df", "blob")
+            some = shards.where((F.col("level") >= start) & (F.col("level") < until)).select("terms", "df", "blob")
             some.mapInArrow(_searcher(sent, n, mean, k), schema).write.mode("append").parquet(f"{path}/block={number}")
             sent.unpersist()
-            if until < LOTS:
+            if (start, until) != rounds[-1]:
                 so_far = spark.read.schema(schema).parquet(f"{path}/block={number}").withColumn("rank", F.row_number().over(best))
-                bounds, start = dict(so_far.where(F.col("rank") == k).select("query_id", "score").collect()), until.bit_length() - 1
+                bounds = dict(so_far.where(F.col("rank") == k).select("query_id", "score").collect())
                 least = np.fromiter((bounds.get(q, 1) for q in block.ids.tolist()), np.int64, len(rows))
     found = spark.read.schema(schema).parquet(f"{path}/*").withColumn("rank", F.row_number().over(best).cast("bigint")).where(F.col("rank") <= k)
     return found.select("query_id", "rank", F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), (F.col("score") / SCALE).alias("score"))
@@ -341,6 +355,20 @@ def _rounds(shards: int) -> list[int]:
     return [*dict.fromkeys(ends), LOTS]
 
 
+def _levels(shards: dict[int, int]) -> list[tuple[int, int]]:
+    """From and up to which level each round goes, given the shards of each level. A round of fewer than `FIRST` shards goes on to further levels,
+    as one that found little would leave the next without bounds."""
+    out, start, last = [], 0, LOTS.bit_length() - 1
+    for end in _rounds(sum(shards.values())):
+        until = end.bit_length() - 1
+        while until < last and sum(n for level, n in shards.items() if start <= level < until) < FIRST:
+            until += 1
+        if until > start:
+            out.append((start, until))
+            start = until
+    return out
+
+
 def _searcher(sent, n: int, mean: float, k: int):
     def run(batches):
         block, least = sent.value

@@ -612,3 +612,25 @@ def test_bounds_leave_few_documents_of_a_shard(monkeypatch):
     kth = np.array([expected[10 * q + 9][2] for q in range(len(asked))])
     again = shard.find(np.concatenate(places), cuts, kth, 10)
     assert list(zip(*(x.tolist() for x in again))) == expected and sum(summed) < 0.03 * 3000 * len(asked)
+    # A shard of which the queries ask nothing, and one without words.
+    for bag in (bm25_search.bag_of("other words"), bm25_search.bag_of(" ")):
+        terms, df, lengths, blob = bm25_search.build_shard([1], [bag])
+        shard = bm25_search.Shard(terms, df, blob, 1.0)
+        shard.prepare(bm25_search.terms_of({b"asked": 1}), np.array([1.0]), 2)
+        assert shard.find(np.array([0]), np.array([0, 1]), np.array([1]), 10)[1].tolist() == []
+
+
+def test_blocks_of_queries_are_bounded_by_terms(monkeypatch):
+    monkeypatch.setattr(bm25_search, "QUERIES", 3)
+    monkeypatch.setattr(bm25_search, "TERMS", 5)
+    rows = [{"terms": bytes(8 * n)} for n in (1, 1, 1, 2, 3, 9, 1)]
+    assert [[len(r["terms"]) // 8 for r in block] for block in bm25_search._blocks(rows)] == [[1, 1, 1], [2, 3], [9], [1]]
+
+
+def test_rounds_have_shards():
+    """Shards are drawn by a hash, so the first levels may hold none."""
+    assert bm25_search._levels({}) == bm25_search._levels({3: 1}) == [(0, 16)]
+    for shards in ({14: 30, 15: 23}, {2: 1, 12: 2, 13: 9, 14: 11, 15: 30}, {i: 2**i for i in range(16)}):
+        rounds = bm25_search._levels(shards)
+        assert rounds[0][0] == 0 and rounds[-1][1] == 16 and [x for _, x in rounds[:-1]] == [x for x, _ in rounds[1:]]
+        assert all(sum(shards.get(i, 0) for i in range(*r)) >= bm25_search.FIRST for r in rounds)
